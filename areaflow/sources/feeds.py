@@ -4,19 +4,19 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from areaflow.functions.parsing import epoch_to_utc, joined_texts
 
+# Schemas of decoded messages, for readers of nested files.
 TRANSLATED = "struct<translation: array<struct<text: string>>>"
-TRIP_FEED = T.StructType.fromDDL(
+TRIP_FEED = (
     "header struct<timestamp: bigint>, entity array<struct<id: string, trip_update: struct<"
     "trip: struct<trip_id: string, route_id: string, start_time: string, start_date: string, "
     "schedule_relationship: string>, "
     "stop_time_update: array<struct<stop_sequence: int, stop_id: string, "
     "arrival: struct<delay: int, time: bigint>, departure: struct<delay: int, time: bigint>>>>>>"
 )
-ALERT_FEED = T.StructType.fromDDL(
+ALERT_FEED = (
     "header struct<timestamp: bigint>, entity array<struct<id: string, alert: struct<"
     "cause: string, effect: string, active_period: array<struct<start: bigint, end: bigint>>, "
     "informed_entity: array<struct<route_id: string, stop_id: string, trip: struct<trip_id: string>>>, "

@@ -6,12 +6,10 @@ from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from areaflow.functions.parsing import path_part, snapshot_time_of
 
 SNAPSHOT_PARTS = ("feed", "year", "month", "day", "hour", "minute")
-SNAPSHOT_DEPTH = "/".join(f"{part}=*" for part in SNAPSHOT_PARTS)
 
 
 def scan_all_string(spark: SparkSession, *paths: str) -> DataFrame:
@@ -40,11 +38,14 @@ def latest_load(spark: SparkSession, root: str, partition: str = "load_date") ->
     return rows.withColumn(partition, F.lit(newest))
 
 
-def scan_snapshots(spark: SparkSession, root: str, feed: str, schema: T.StructType) -> DataFrame:
-    """Every parsed snapshot of one feed below root, with typed partition columns."""
-    parts = T.StructType.fromDDL("feed string, year int, month int, day int, hour int, minute int")
-    full = T.StructType([*schema.fields, *[f for f in parts if f.name not in schema.fieldNames()]])
-    return spark.read.schema(full).option("basePath", root).option("header", True).csv(root).where(F.col("feed") == feed)
+def scan_snapshots(spark: SparkSession, root: str, feed: str, columns: str) -> DataFrame:
+    """Every parsed snapshot of one feed below root, with typed partition columns.
+
+    The feed filter prunes directories. Headers must match the given columns (a DDL list).
+    """
+    full = f"{columns}, feed string, year int, month int, day int, hour int, minute int"
+    files = spark.read.schema(full).option("basePath", root).option("header", True).option("enforceSchema", False)
+    return files.csv(root).where(F.col("feed") == feed)
 
 
 def partition_parts(df: DataFrame, path: str = "file_path") -> DataFrame:
@@ -55,6 +56,12 @@ def partition_parts(df: DataFrame, path: str = "file_path") -> DataFrame:
     ).where("feed is not null and snapshot_timestamp is not null")
 
 
+def with_snapshot_parts(df: DataFrame) -> DataFrame:
+    """Add year to minute as zero-padded text, as used in snapshot directory names."""
+    patterns = {"year": "yyyy", "month": "MM", "day": "dd", "hour": "HH", "minute": "mm"}
+    return df.withColumns({part: F.date_format("snapshot_timestamp", p) for part, p in patterns.items()})
+
+
 def snapshot_files(spark: SparkSession, root: str) -> DataFrame:
     """One row per snapshot file below root, empty files included, without reading their content."""
     files = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(root)

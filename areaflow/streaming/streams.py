@@ -9,12 +9,21 @@ from pyspark.sql import types as T
 from areaflow.plans.events import delay_events
 
 LATENESS = "2 hours"
-MAX_FILES_PER_BATCH = 1000
 
 
-def read_snapshots(spark: SparkSession, path: str, schema: T.StructType, files_per_batch: int = MAX_FILES_PER_BATCH) -> DataFrame:
-    """Stream of snapshot files; each file is read once, also over restarts with the same checkpoint."""
-    return spark.readStream.schema(schema).option("maxFilesPerTrigger", files_per_batch).parquet(path)
+def read_snapshots(
+    spark: SparkSession, path: str, schema: T.StructType | str, files_per_batch: int | None = None
+) -> DataFrame:
+    """Stream of snapshot files; each file is read once, also over restarts with the same checkpoint.
+
+    With files_per_batch a backlog is worked off in several batches. Rows older than the watermark that
+    an earlier batch has reached are then late, so a backlog with event times out of order needs either
+    no limit or a lateness that covers the disorder.
+    """
+    reader = spark.readStream.schema(schema)
+    if files_per_batch:
+        reader = reader.option("maxFilesPerTrigger", files_per_batch)
+    return reader.parquet(path)
 
 
 def run_available(stream: DataFrame, path: str, checkpoint: str, mode: str = "append") -> None:
