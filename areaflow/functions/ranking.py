@@ -5,14 +5,27 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from areaflow.runtime import lookup_join, with_bounds
+from areaflow.runtime import MAX_BROADCAST_ROWS, fits_broadcast, lookup_join, with_bounds
 
 RANK_RANGES = 256
 
 
-def percent_rank_nulls_last(df: DataFrame, column: str, output: str, ranges: int = RANK_RANGES) -> DataFrame:
+def percent_rank_nulls_last(
+    df: DataFrame, column: str, output: str, max_rows: int = MAX_BROADCAST_ROWS, ranges: int = RANK_RANGES
+) -> DataFrame:
     """Add percent_rank() over the whole table, ascending with nulls last.
 
+    Up to max_rows rows, measured before, an ordinary window in one task is cheapest; beyond that the
+    ranks are computed range by range.
+    """
+    if fits_broadcast(df.select(column), max_rows):
+        return df.withColumn(output, F.percent_rank().over(Window.orderBy(F.asc_nulls_last(column))))
+    return ranged_percent_rank(df, column, output, ranges)
+
+
+def ranged_percent_rank(df: DataFrame, column: str, output: str, ranges: int = RANK_RANGES) -> DataFrame:
+    """percent_rank() with nulls last, computed in many tasks.
+
     Equal values share a rank, so ranking works on the distinct values and their counts. These are
     split into ranges at boundaries taken from the values with the smallest hashes (an even, repeatable
     pick of at most `ranges` values); each range is ranked in its own task and shifted by the count of
@@ -39,6 +52,6 @@ def percent_rank_nulls_last(df: DataFrame, column: str, output: str, ranges: int
         "_value", (F.col("_within") + shift).alias("_below")
     )
     size = df.agg(F.count(F.lit(1)).alias("_rows"), F.count(column).alias("_present"))
-    ranked = lookup_join(df.withColumn("_value", F.col(column)), below, "_value")
+    ranked = lookup_join(df.withColumn("_value", F.col(column)), below, "_value", small=fits_broadcast(present))
     share = F.coalesce(F.col("_below"), F.col("_present")) / F.greatest(F.col("_rows") - 1, F.lit(1))
     return with_bounds(ranked, size).withColumn(output, share).select(*df.columns, output)

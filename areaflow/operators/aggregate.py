@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from areaflow.functions.parsing import to_whole
 from areaflow.functions.rules import is_late
@@ -38,10 +39,26 @@ def alert_measures() -> list[Column]:
     ]
 
 
-def area_hour_trips(delays: DataFrame) -> DataFrame:
-    """Delay measures by date, hour and area, over observations with an area."""
+def unique_area_names(stop_map: DataFrame) -> DataFrame | None:
+    """One name per area of the map, or None if some area goes by several names (checked by a count)."""
+    names = stop_map.where("is_matched = true").groupBy("area_code", "area_name").agg(F.count(F.lit(1)).alias("_n"))
+    repeated = names.groupBy("area_code").agg(F.count(F.lit(1)).alias("_n")).where("_n > 1")
+    return names.select("area_code", "area_name") if repeated.isEmpty() else None
+
+
+def area_hour_trips(delays: DataFrame, area_names: DataFrame | None = None) -> DataFrame:
+    """Delay measures by date, hour and area, over observations with an area.
+
+    The area name is the largest one among the observations. A text maximum makes Spark sort all rows
+    for the aggregate; given unique_area_names() it is joined afterwards instead, and Spark hashes.
+    """
     rows = delays.where(F.col("area_code").isNotNull())
-    return rows.groupBy(*AREA_HOUR).agg(F.max("area_name").alias("area_name"), *delay_measures("observation_count"))
+    measures = delay_measures("observation_count")
+    if area_names is None:
+        return rows.groupBy(*AREA_HOUR).agg(F.max("area_name").alias("area_name"), *measures)
+    grouped = rows.groupBy(*AREA_HOUR).agg(*measures)
+    named = lookup_join(grouped, area_names, "area_code")
+    return named.select(*AREA_HOUR, "area_name", *grouped.columns[len(AREA_HOUR) :])
 
 
 def area_hour_alerts(alerts: DataFrame) -> DataFrame:
@@ -88,8 +105,10 @@ def route_area_coverage(
     Grouping by route id first means that route names are joined to the few result rows instead of to
     every stop time. A route id with several different names gives one row for each, as grouping by name does.
     """
+    sequence = F.col("stop_sequence")
+    is_text = isinstance(stop_times.schema["stop_sequence"].dataType, T.StringType)
     rows = covered_stop_times(stop_times, trips, stop_map).withColumn(
-        "stop_sequence", to_whole(F.col("stop_sequence").cast("string"))
+        "stop_sequence", to_whole(sequence) if is_text else sequence.cast("bigint")
     )
     grouped = rows.groupBy("route_id", "area_code", "area_name").agg(
         F.count_distinct("stop_id").alias("stop_count_in_area"),

@@ -85,15 +85,13 @@ def null_counts(df: DataFrame, contract: Contract) -> list[Rule]:
 
 def timestamps(df: DataFrame, contract: Contract) -> list[Rule]:
     """Values present that do not parse as a time."""
-    return [
-        Rule(
-            "timestamp_parse",
-            c,
-            F.count_if(F.col(c).isNotNull() & to_time(F.col(c).cast("string")).isNull()),
-            "warning",
-        )
-        for c in _present(df, contract.times)
-    ]
+    rules = []
+    for column in _present(df, contract.times):
+        value = F.col(column)
+        is_text = isinstance(df.schema[column].dataType, T.StringType)
+        bad = value.isNotNull() & to_time(value).isNull() if is_text else F.lit(False)
+        rules.append(Rule("timestamp_parse", column, F.count_if(bad), "warning"))
+    return rules
 
 
 def coordinates(df: DataFrame, contract: Contract) -> list[Rule]:

@@ -72,20 +72,21 @@ def area_cells(areas: DataFrame, cell: float = CELL_DEGREES) -> DataFrame:
     return boxed.withColumn("cell_x", F.explode(columns)).withColumn("cell_y", F.explode(rows))
 
 
-def located_points(points: DataFrame, areas: DataFrame, cell: float = CELL_DEGREES) -> DataFrame:
-    """Points (with stop_lat, stop_lon) that lie strictly within an area, one row per point and area.
+def located_points(points: DataFrame, areas: DataFrame, how: str = "inner", cell: float = CELL_DEGREES) -> DataFrame:
+    """Points (with stop_lat, stop_lon) joined to the areas they lie strictly within.
 
     Points and areas meet on their grid cell, so the join is an equi-join; the bounding box and then the
-    polygon test reduce its rows. A crowded cell is spread over several tasks by the join helper.
+    polygon test are conditions of the same join. A crowded cell is spread over several tasks by the
+    join helper. A left join keeps points outside all areas.
     """
     x, y = F.col("_x"), F.col("_y")
     placed = points.withColumns(
         {"_x": F.col("stop_lon").try_cast("double"), "_y": F.col("stop_lat").try_cast("double")}
     ).withColumns({"cell_x": _cell(x, cell), "cell_y": _cell(y, cell)})
-    pairs = lookup_join(placed, area_cells(areas, cell), ["cell_x", "cell_y"], "inner")
-    boxed = pairs.where(x.between(F.col("min_x"), F.col("max_x")) & y.between(F.col("min_y"), F.col("max_y")))
-    inside = boxed.where(strictly_within(F.col("edges"), x, y))
-    return inside.select(*points.columns, "area_code", "area_name")
+    in_box = x.between(F.col("min_x"), F.col("max_x")) & y.between(F.col("min_y"), F.col("max_y"))
+    inside = in_box & strictly_within(F.col("edges"), x, y)
+    joined = lookup_join(placed, area_cells(areas, cell), ["cell_x", "cell_y"], how, inside)
+    return joined.select(*points.columns, "area_code", "area_name")
 
 
 def valid_stops(stops: DataFrame) -> DataFrame:
@@ -100,9 +101,8 @@ def stop_area_map(stops: DataFrame, areas: DataFrame, cell: float = CELL_DEGREES
     """Every stop with the area it lies in. Stops with bad coordinates and stops outside all areas stay
     unmatched; a stop in two overlapping areas gives two rows."""
     columns = ("stop_id", "stop_name", "stop_lat", "stop_lon")
-    valid = valid_stops(stops).select(*columns)
-    inside = located_points(valid, areas, cell).select("stop_id", "area_code", "area_name")
-    within = valid.join(inside, "stop_id", "left").withColumn("mapping_method", F.lit("within"))
+    located = located_points(valid_stops(stops).select(*columns), areas, "left", cell)
+    within = located.withColumn("mapping_method", F.lit("within"))
     rejected = (
         invalid_stops(stops)
         .select(*columns)

@@ -7,7 +7,6 @@ from pyspark.sql import functions as F
 
 from areaflow.functions.ranking import percent_rank_nulls_last
 from areaflow.operators.aggregate import min_max
-from areaflow.plans.exposure import area_counts
 from areaflow.runtime import lookup_join, with_bounds
 
 NEUTRAL_WEIGHT = 0.5
@@ -29,19 +28,16 @@ def disadvantage_weight(index: DataFrame) -> DataFrame:
     return ranked.withColumn("disadvantage_weight", weight).drop("_rank")
 
 
-def area_context(index: DataFrame, stop_map: DataFrame, coverage: DataFrame) -> DataFrame:
-    """Index values, weight, stop and route counts and the scaled access proxy per area."""
-    columns = index.select("area_code", "area_name", "score", "decile", "percentile")
-    weighted = disadvantage_weight(columns)
-    counted = lookup_join(weighted, area_counts(stop_map, coverage), "area_code").select(
-        *weighted.columns,
-        F.coalesce("stop_count", F.lit(0)).alias("stop_count"),
-        F.coalesce("route_count", F.lit(0)).alias("route_count"),
-    )
+def area_context(index: DataFrame, counts: DataFrame) -> DataFrame:
+    """Index values, weight, stop and route counts (of area_counts()) and the scaled access proxy per area."""
+    columns = ("area_code", "area_name", "score", "decile", "percentile")
+    counted = lookup_join(index.select(*columns), counts, "area_code").na.fill(0, ["stop_count", "route_count"])
     access = F.col("route_count") + F.col("stop_count")
     low, high = F.col("min_access"), F.col("max_access")
     proxy = F.when(high == low, FLAT_ACCESS_SCORE).otherwise(
         100.0 * (access - low).cast("double") / F.nullif((high - low).cast("double"), F.lit(0.0))
     )
-    scaled = with_bounds(counted, min_max(counted, access=access))
-    return scaled.withColumn("transport_access_proxy_score", proxy).drop("min_access", "max_access")
+    scaled = with_bounds(disadvantage_weight(counted), min_max(counted, access=access))
+    return scaled.withColumn("transport_access_proxy_score", proxy).select(
+        *columns, "disadvantage_weight", "stop_count", "route_count", "transport_access_proxy_score"
+    )

@@ -7,10 +7,10 @@ from functools import cached_property
 
 from pyspark.sql import DataFrame
 
-from areaflow.operators.aggregate import route_area_coverage
+from areaflow.operators.aggregate import route_area_coverage, unique_area_names
 from areaflow.plans.context import area_context
 from areaflow.plans.events import alert_events, delay_events
-from areaflow.plans.exposure import area_hour_exposure, route_day_disruption
+from areaflow.plans.exposure import area_counts, area_hour_exposure, route_day_disruption
 from areaflow.plans.marts import area_multi_day_summary
 from areaflow.plans.score import area_hour_score, score_components
 from areaflow.runtime import materialize
@@ -18,8 +18,8 @@ from areaflow.runtime import materialize
 
 @dataclass(frozen=True, eq=False)
 class Pipeline:
-    """Tables of one run. Coverage, exposure and context feed several later steps and are a tiny part
-    of the facts, so each is computed once and written; everything else stays lazy."""
+    """Tables of one run. Coverage, counts, exposure and context feed several later steps and are a tiny
+    part of the facts, so each is computed once and written; everything else stays lazy."""
 
     trip_updates: DataFrame
     service_alerts: DataFrame
@@ -43,14 +43,21 @@ class Pipeline:
         rows = route_area_coverage(self.stop_times, self.trips, self.stop_area_map, self.routes)
         return materialize(rows, "coverage")
 
+    @cached_property
+    def counts(self) -> DataFrame:
+        return materialize(area_counts(self.stop_area_map, self.coverage), "counts")
+
+    @cached_property
+    def area_names(self) -> DataFrame | None:
+        return unique_area_names(self.stop_area_map)
+
     @cached_property
     def exposure(self) -> DataFrame:
-        rows = area_hour_exposure(self.delays, self.alerts, self.stop_area_map, self.coverage)
-        return materialize(rows, "exposure")
+        return materialize(area_hour_exposure(self.delays, self.alerts, self.counts, self.area_names), "exposure")
 
     @cached_property
     def context(self) -> DataFrame:
-        return materialize(area_context(self.area_index, self.stop_area_map, self.coverage), "context")
+        return materialize(area_context(self.area_index, self.counts), "context")
 
     @cached_property
     def components(self) -> DataFrame:

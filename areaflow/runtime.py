@@ -4,9 +4,9 @@ from __future__ import annotations
 
 import tempfile
 import uuid
-from functools import lru_cache
+from functools import lru_cache, reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -68,20 +68,39 @@ def fits_broadcast(
 
 
 def lookup_join(
-    fact: DataFrame, lookup: DataFrame, on: str | list[str], how: str = "left", salts: int = SALTS
+    fact: DataFrame,
+    lookup: DataFrame,
+    on: str | list[str],
+    how: str = "left",
+    condition: Column | None = None,
+    small: bool | None = None,
+    salts: int = SALTS,
 ) -> DataFrame:
-    """Join a fact table to a lookup table on equal column names.
+    """Join a fact table to a lookup table on equal column names and an optional further condition.
 
-    A lookup that measures small is broadcast. A larger one is joined by shuffle with a salt: the
-    lookup is repeated once per salt value and the fact rows of a hot key (or of the null key) go to
-    as many tasks. The salt is the input partition number, which a retried task gets again.
+    A lookup that measures small (or was measured before) is broadcast. A larger one is joined by
+    shuffle with a salt: the lookup is repeated once per salt value and the fact rows of a hot key (or
+    of the null key) go to as many tasks. The salt is the input partition number, which a retried task
+    gets again.
     """
     keys = [on] if isinstance(on, str) else list(on)
-    if fits_broadcast(lookup):
-        return fact.join(F.broadcast(lookup), keys, how)
-    salted_fact = fact.withColumn("_salt", F.pmod(F.spark_partition_id(), F.lit(salts)))
-    salted_lookup = lookup.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
-    return salted_fact.join(salted_lookup, [*keys, "_salt"], how).drop("_salt")
+    if fits_broadcast(lookup) if small is None else small:
+        left, right = fact, F.broadcast(lookup)
+    else:
+        left = fact.withColumn("_salt", F.pmod(F.spark_partition_id(), F.lit(salts)))
+        right = lookup.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
+        keys.append("_salt")
+    if condition is None:
+        return left.join(right, keys, how).drop("_salt")
+    right = right.withColumnsRenamed({k: f"_lookup_{k}" for k in keys})
+    equal = reduce(lambda a, b: a & b, [F.col(k) == F.col(f"_lookup_{k}") for k in keys])
+    return left.join(right, equal & condition, how).drop("_salt", *[f"_lookup_{k}" for k in keys])
+
+
+def spread(df: DataFrame, *keys: str) -> DataFrame:
+    """Split a table that comes in fewer partitions than there are cores (one file, one row group)."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores, *keys) if df.rdd.getNumPartitions() < cores else df
 
 
 def with_bounds(df: DataFrame, bounds: DataFrame) -> DataFrame:
