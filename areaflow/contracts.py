@@ -4,8 +4,6 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import types as T
-
 METADATA_COLUMNS = ("warehouse_dataset", "source_file", "prepared_at", "load_batch_id")
 TABLE_ONLY_COLUMNS = ("loaded_at",)
 
@@ -78,9 +76,8 @@ class Contract:
         return "timestamp" if column in ("prepared_at", "loaded_at") else "string"
 
     @property
-    def table_schema(self) -> T.StructType:
-        parts = [f"`{c}` {self.table_type(c)}" for c in self.table_columns]
-        return T.StructType.fromDDL(", ".join(parts))
+    def table_schema_ddl(self) -> str:
+        return ", ".join(f"`{c}` {self.table_type(c)}" for c in self.table_columns)
 
 
 def _contract(name, domain, key, required, columns, decimals=None, **flags) -> Contract:

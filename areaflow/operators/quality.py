@@ -254,7 +254,7 @@ def failed_score_range(scores: DataFrame, low: float = 0, high: float = 100) ->
     return scores.where((F.col("equity_impact_score") < low) | (F.col("equity_impact_score") > high))
 
 
-def test_result(failed: DataFrame, test: str, count: Column | None = None) -> DataFrame:
+def result_row(failed: DataFrame, test: str, count: Column | None = None) -> DataFrame:
     """Result row of a table test: the number of failures and pass or fail."""
     total = F.coalesce(count if count is not None else F.count(F.lit(1)), F.lit(0)).cast("bigint")
     status = F.when(F.col("failures") == 0, "pass").otherwise("fail")

@@ -9,7 +9,7 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from areaflow.operators.quality import failed_score_range, failed_unique, orphan_keys, test_result
+from areaflow.operators.quality import failed_score_range, failed_unique, orphan_keys, result_row
 from areaflow.plans.score import FORMULA_VERSION
 
 
@@ -114,11 +114,11 @@ def run_table_tests(tables: dict[str, DataFrame], *kinds: str) -> DataFrame:
         if test.kind in ("not_null", "accepted"):
             by_table[test.table].append(test)
         elif test.kind == "unique":
-            results.append(test_result(failed_unique(df, test.column), test.name))
+            results.append(result_row(failed_unique(df, test.column), test.name))
         elif test.kind == "related":
             orphans = orphan_keys(df, test.column, tables[test.values[0]])
-            results.append(test_result(orphans, test.name, F.sum("n")))
+            results.append(result_row(orphans, test.name, F.sum("n")))
         else:
-            results.append(test_result(failed_score_range(df), test.name))
+            results.append(result_row(failed_score_range(df), test.name))
     results.extend(_row_tests(tables[name], tests) for name, tests in by_table.items())
     return reduce(DataFrame.unionByName, results)
