@@ -49,13 +49,20 @@ def with_expressions(body: str) -> str:
     return f"with {listed}\n{body}" if listed else body
 
 
+def run_in_utc(build: Callable[[Tables], DataFrame], spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Build a query with the session zone set to UTC, in which dates and hours are defined."""
+    if spark.conf.get("spark.sql.session.timeZone") != "UTC":
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
+    return comparable(build(Tables(spark, sf_dir)))
+
+
 def query(name: str, sql: str | None = None):
     """Register a function of the derived tables under a name, with its check SQL."""
 
     def register(build: Callable[[Tables], DataFrame]) -> Callable[[Tables], DataFrame]:
         if name in QUERIES:
             raise ValueError(f"query {name} is registered twice")
-        QUERIES[name] = lambda spark, sf_dir: comparable(build(Tables(spark, sf_dir)))
+        QUERIES[name] = lambda spark, sf_dir: run_in_utc(build, spark, sf_dir)
         if sql is not None:
             CHECK_SQL[name] = with_expressions(sql)
         return build

@@ -15,7 +15,7 @@ from areaflow.operators import coverage, quality, standardize
 from areaflow.operators.aggregate import observation_base
 from areaflow.plans import marts
 from areaflow.plans.table_tests import TABLE_TESTS, run_table_tests
-from areaflow.runtime import materialize, scratch_path
+from areaflow.runtime import materialize, scratch_path, with_bounds
 from areaflow.sources import feeds, files, sinks
 from areaflow.streaming import streams
 
@@ -1026,7 +1026,7 @@ def stream_area_hour(t):
     # its own hour stays open. It needs a matched stop, since rows without one are dropped before the watermark.
     stop = t.stop_area_map.where("is_matched").agg(F.min("stop_id").alias("stop_id"))
     later = rows.agg((F.max("snapshot_timestamp") + F.expr("interval 1 day")).alias("snapshot_timestamp"))
-    heartbeat = later.crossJoin(F.broadcast(stop)).select(
+    heartbeat = with_bounds(later, stop).select(
         *[F.col(c) if c in ("snapshot_timestamp", "stop_id") else F.lit(None).cast(rows.schema[c].dataType).alias(c) for c in columns]
     )
     rows.unionByName(heartbeat).write.parquet(source)

@@ -22,6 +22,7 @@ from areaflow.functions.rules import (
     valid_coordinates,
 )
 from areaflow.operators.standardize import blanks_to_null, missing_required
+from areaflow.runtime import with_bounds
 
 # Fixed values of the rules.
 DELAY_COLUMNS = (
@@ -210,7 +211,7 @@ def dataset_report(df: DataFrame, contract: Contract) -> DataFrame:
         F.count(F.lit(1)).alias("row_count"),
         F.create_map(*[x for c in columns for x in (F.lit(c), F.count_if(F.col(c).isNull()))]).alias("null_counts"),
     )
-    report = counts.crossJoin(F.broadcast(duplicate_rows(df, contract.key)))
+    report = with_bounds(counts, duplicate_rows(df, contract.key))
     lacking = F.lit(", ".join(missing_required(df, contract)))
     return report.select(
         F.lit(contract.name).alias("dataset"),

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from areaflow.functions.rules import valid_coordinates
 from areaflow.operators.standardize import require_area_columns
-from areaflow.runtime import lookup_join
+from areaflow.runtime import lookup_join, with_bounds
 
 CELL_DEGREES = 0.5
 LOW_MATCH_RATE = 0.9
@@ -124,7 +124,7 @@ def stop_area_report(stops: DataFrame, mapping: DataFrame) -> DataFrame:
     totals = stops.agg(F.count(F.lit(1)).alias("total_stops"), valid.alias("valid_coordinate_stops"))
     matched = mapping.agg(F.count_if("is_matched").alias("matched_stops"))
     share = F.coalesce(F.col("matched_stops") / F.nullif(F.col("total_stops"), F.lit(0)), F.lit(0.0))
-    return totals.crossJoin(F.broadcast(matched)).select(
+    return with_bounds(totals, matched).select(
         "total_stops",
         "valid_coordinate_stops",
         (F.col("total_stops") - F.col("valid_coordinate_stops")).alias("invalid_coordinate_stops"),

@@ -12,6 +12,7 @@ from areaflow.functions.rules import (
     sufficiency,
 )
 from areaflow.operators.aggregate import rate
+from areaflow.runtime import lookup_join
 
 TOP = 25
 
@@ -20,8 +21,15 @@ def _percent(column: Column) -> Column:
     return F.round(column * 100, 2)
 
 
-def _avg2(column: str) -> Column:
-    return F.round(F.avg(column), 2).alias(f"avg_{column}")
+def _average(column: str, rounded: bool) -> Column:
+    return (F.round(F.avg(column), 2) if rounded else F.avg(column)).alias(f"avg_{column}")
+
+
+def _average_rate(rounded: bool) -> Column:
+    """Average delay rate, as percentage with two digits or as it is."""
+    if rounded:
+        return _percent(F.avg("delay_observation_rate")).alias("avg_delay_rate_pct")
+    return F.avg("delay_observation_rate").alias("avg_delay_observation_rate")
 
 
 def top_k(df: DataFrame, measures: list[str], keys: list[str], k: int = TOP) -> DataFrame:
@@ -59,32 +67,32 @@ def top_routes(route_days: DataFrame, k: int = TOP, with_rate: bool = True) -> D
     return top_k(totals, ["total_delayed_observations"], ["route_id"], k)
 
 
-def decile_bands(scores: DataFrame) -> DataFrame:
-    """Rows, averages and alerts in three groups of deciles."""
+def decile_bands(scores: DataFrame, rounded: bool = True) -> DataFrame:
+    """Rows, averages and alerts in three groups of deciles; rounded for reading, or exact for export."""
     return (
         scores.where(F.col("decile").isNotNull())
         .groupBy(decile_group(F.col("decile")).alias("decile_band"))
         .agg(
             F.count(F.lit(1)).alias("area_hour_rows"),
-            _avg2("equity_impact_score"),
-            _avg2("disruption_score"),
-            _percent(F.avg("delay_observation_rate")).alias("avg_delay_rate_pct"),
+            _average("equity_impact_score", rounded),
+            _average("disruption_score", rounded),
+            _average_rate(rounded),
             F.sum("disruption_alert_count").alias("total_disruption_alerts"),
         )
         .orderBy(F.desc("avg_equity_impact_score"))
     )
 
 
-def hours(scores: DataFrame) -> DataFrame:
-    """Areas, totals and averages per hour, highest impact first."""
+def hours(scores: DataFrame, rounded: bool = True) -> DataFrame:
+    """Areas, totals and averages per hour, highest impact first; rounded for reading, or exact for export."""
     return (
         scores.groupBy("snapshot_hour")
         .agg(
             F.count_distinct("area_code").alias("area_count"),
             F.sum("observation_count").alias("total_observations"),
             F.sum("delayed_observation_count").alias("total_delayed_observations"),
-            _avg2("equity_impact_score"),
-            _percent(F.avg("delay_observation_rate")).alias("avg_delay_rate_pct"),
+            _average("equity_impact_score", rounded),
+            _average_rate(rounded),
         )
         .orderBy(F.desc_nulls_last("avg_equity_impact_score"))
     )
@@ -149,7 +157,7 @@ def high_impact_areas(summary: DataFrame) -> DataFrame:
 def delayed_in_high_impact(delays: DataFrame, summary: DataFrame) -> DataFrame:
     """Delayed observations with a route, in high-impact areas. Areas are unique, so a semi-join is enough."""
     late = delays.where(F.col("is_delayed") & F.col("route_id").isNotNull())
-    return late.join(high_impact_areas(summary).select("area_code"), "area_code", "left_semi")
+    return lookup_join(late, high_impact_areas(summary).select("area_code"), "area_code", "left_semi")
 
 
 def route_contribution(delays: DataFrame, summary: DataFrame, k: int = TOP) -> DataFrame:

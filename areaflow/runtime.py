@@ -104,5 +104,9 @@ def spread(df: DataFrame, *keys: str) -> DataFrame:
 
 
 def with_bounds(df: DataFrame, bounds: DataFrame) -> DataFrame:
-    """Attach a one-row table (an ungrouped aggregate) to every row."""
-    return df.crossJoin(F.broadcast(bounds))
+    """Attach the columns of an ungrouped aggregate to every row.
+
+    The one row is a scalar subquery: Spark computes it once and puts it into the expressions as a constant.
+    """
+    row = bounds.select(F.struct(*bounds.columns)).scalar()
+    return df.withColumn("_bounds", row).select(*[F.col(f"`{c}`") for c in df.columns], "_bounds.*")

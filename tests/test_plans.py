@@ -263,6 +263,9 @@ def test_reports(scores):
     assert reports.top_areas(scores).collect()[-1]["area_code"] == "c"
     bands = {r["decile_band"]: r["area_hour_rows"] for r in reports.decile_bands(scores).collect()}
     assert bands == {"most_disadvantaged_deciles_1_3": 3, "middle_deciles_4_7": 2}
+    exact = reports.decile_bands(scores, rounded=False)
+    assert "avg_delay_observation_rate" in exact.columns and exact.count() == 2
+    assert reports.hours(scores, rounded=False).count() == 5
     assert {r["snapshot_hour"]: r["peak_period_flag"] for r in marts.hourly_pattern(scores).collect()}[16] == "evening_peak"
     row = one(reports.data_sufficiency(scores))
     assert (row["days_in_mart"], row["area_hour_rows"], row["data_sufficiency"]) == (2, 6, "exploratory")

@@ -154,6 +154,16 @@ def test_manifest(frame):
     assert only["status"] == "success"
 
 
+def test_run_record_is_appended(spark, frame, tmp_path):
+    good = frame("trip_id string, route_id string, service_id string", ("t", "r", "s"))
+    manifest = sinks.batch_manifest({"trips": (get_contract("trips"), good, 1)}, "b")
+    run = sinks.ingestion_run(manifest, "builder", F.lit("2026-05-28").cast("timestamp"), "in")
+    for _ in range(2):
+        sinks.append_audit(run, str(tmp_path / "runs"))
+    rows = spark.read.parquet(str(tmp_path / "runs")).collect()
+    assert [(r["run_id"], r["status"], r["records_loaded"]) for r in rows] == [("b", "success", 1)] * 2
+
+
 def test_export_is_one_file_with_header(spark, tmp_path):
     df = spark.range(5).repartition(3).orderBy(F.desc("id")).limit(3)
     path = sinks.export_result(df, str(tmp_path / "report"))
