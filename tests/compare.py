@@ -46,6 +46,16 @@ def difference(spark_frame: pd.DataFrame, sql_frame: pd.DataFrame) -> str | None
     return f"types {bad}" if bad else None
 
 
+SQL_TYPES = {"string": "VARCHAR", "int": "INTEGER", "bigint": "BIGINT", "double": "DOUBLE", "boolean": "BOOLEAN"}
+
+
+def type_difference(con: duckdb.DuckDBPyConnection, types: list[tuple[str, str]], sql: str) -> str | None:
+    """None when both sides declare the same column types, else the columns that differ."""
+    declared = {r[0]: r[1] for r in con.execute(f"describe {sql}").fetchall()}
+    bad = {c: (t, declared.get(c)) for c, t in types if SQL_TYPES.get(t, t) != declared.get(c)}
+    return f"declared types {bad}" if bad else None
+
+
 def main() -> int:
     from __spark_entry__ import oracle_sql, queries
     from areaflow.runtime import get_session
@@ -60,9 +70,14 @@ def main() -> int:
             continue
         start = time.time()
         try:
-            result = build(spark, sf_dir).toPandas()
+            df = build(spark, sf_dir)
+            result = df.toPandas()
             seconds = time.time() - start
-            problem = difference(result, con.execute(checks[name]).df()) if name in checks else "no check SQL"
+            if name in checks:
+                problem = difference(result, con.execute(checks[name]).df())
+                problem = problem or type_difference(con, df.dtypes, checks[name])
+            else:
+                problem = "no check SQL"
         except Exception as error:  # noqa: BLE001
             seconds, problem = time.time() - start, f"{type(error).__name__}: {str(error)[:600]}"
         failed += bool(problem)
