@@ -2,9 +2,8 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
-from functools import lru_cache, reduce
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -30,14 +29,12 @@ def get_session(app: str = "areaflow", master: str | None = None, **conf: str) -
     return builder.getOrCreate()
 
 
-@lru_cache(maxsize=1)
-def _local_scratch() -> str:
-    return tempfile.mkdtemp(prefix="areaflow-")
-
-
 def scratch_path(spark: SparkSession, label: str) -> str:
-    """A new, unused path in the shared folder of spark.checkpoint.dir (a local one where unset)."""
-    root = spark.conf.get("spark.checkpoint.dir", None) or _local_scratch()
+    """A new, unused path in the shared folder of spark.checkpoint.dir, or in the warehouse where that is unset.
+
+    Both are folders that the driver and all executors see.
+    """
+    root = spark.conf.get("spark.checkpoint.dir", None) or f"{spark.conf.get('spark.sql.warehouse.dir')}/_scratch"
     return f"{root.rstrip('/')}/areaflow/{label}-{uuid.uuid4().hex}"
 
 

@@ -4,11 +4,12 @@ from areaflow.runtime import get_session
 
 
 @pytest.fixture(scope="session")
-def spark():
+def spark(tmp_path_factory):
     session = get_session(
         "tests",
         "local[4]",
         spark__sql__shuffle__partitions="4",
+        spark__checkpoint__dir=f"file://{tmp_path_factory.mktemp('shared')}",
         spark__ui__enabled="false",
         spark__ui__showConsoleProgress="false",
     )
