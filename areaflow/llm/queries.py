@@ -7,8 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from areaflow.llm import packing
-from areaflow.llm.common import table
+from areaflow.llm import packing, quality, simhash, toxicity
+from areaflow.llm.common import bucket_of, saved, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 CHECK_SQL: dict[str, str] = {}
@@ -34,3 +34,23 @@ def piece_columns(pieces: DataFrame) -> DataFrame:
 @query
 def op5_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return piece_columns(packing.pack(table(spark, sf_dir, "documents"), tokenizer_path()))
+
+
+@query
+def op2_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = simhash.near_copies(table(spark, sf_dir, "documents"))
+    return found.select("doc_id", simhash.hex_print(F.col("fp")).alias("fingerprint"), "component_id")
+
+
+@query
+def op7_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    counted = saved(quality.with_counts(table(spark, sf_dir, "documents")).drop("text", "n_chars"), "quality-counts")
+    return quality.verdicts(counted, quality.thresholds(counted)).select("doc_id", *quality.BASE, "base_failed", "kept")
+
+
+@query
+def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, held = table(spark, sf_dir, "documents"), bucket_of(F.col("doc_id"), 3) == 1
+    rows = toxicity.sample(docs, table(spark, sf_dir, "labels"), ~held, "doc_id", "text", "toxic", toxicity.SAMPLE_ROWS)
+    found = toxicity.scored(docs.select("doc_id", "text"), toxicity.fit(rows))
+    return found.select("doc_id", held.alias("held_out"), "toxicity.score", "toxicity.predicted")
