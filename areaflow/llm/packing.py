@@ -46,8 +46,6 @@ class WordIds:
     def learn(self, new: list[str]) -> None:
         """Plain lower-case words skip the normaliser, which would leave them alone; others take the full way."""
         known = self.known
-        if len(known) > REMEMBERED:
-            known.clear()
         parts: dict[str, tuple[str, str]] = {}
         plain: set[str] = set()
         other: set[str] = set()
@@ -76,6 +74,8 @@ class WordIds:
             try:
                 out.append(b"".join([known[w] for w in listed]))
             except KeyError:
+                if len(known) > REMEMBERED:
+                    known.clear()
                 self.learn([w for w in set(listed) if w not in known])
                 out.append(b"".join([known[w] for w in listed]))
         return out
