@@ -29,22 +29,39 @@ REMEMBERED = 1_200_000
 class WordIds:
     """Ids of texts by a word-level BPE file, remembered by word.
 
-    White space separates words in such a tokenizer, so a text's ids are those of its words in order.
+    White space separates words in such a tokenizer, so a text's ids are those of its words in order. A plain
+    lower-case word is merged by tiktoken, which is several times faster at the same merges: with a blank for the
+    mark of a word's end, as no word holds one, it merges by the order of ids, and ids are in the order of merges.
+    All else goes through the tokenizer itself.
     """
 
     def __init__(self, path: str) -> None:
+        import json
         import os
 
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
-        from tokenizers import Tokenizer, normalizers, pre_tokenizers
-
-        self.full, self.bare = Tokenizer.from_file(path), Tokenizer.from_file(path)
-        self.bare.normalizer = normalizers.Sequence([])
-        self.bare.pre_tokenizer = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)
+        import tiktoken
+        from tokenizers import Tokenizer
+
+        self.full = Tokenizer.from_file(path)
+        with open(path, encoding="utf-8") as f:
+            model = json.load(f)["model"]
+        special = {t.content for t in self.full.get_added_tokens_decoder().values()}
+        # byte-level alphabet: bytes that print stand for themselves, the others for characters from 256 on
+        plain = [*range(33, 127), *range(161, 173), *range(174, 256)]
+        byte = {chr(b): b for b in plain} | {chr(256 + k): b for k, b in enumerate(b for b in range(256) if b not in plain)}
+        mark = model["end_of_word_suffix"]
+        ranks = {}
+        for token, i in model["vocab"].items():
+            if token not in special:
+                end = token.endswith(mark)
+                ranks[bytes(byte[c] for c in (token.removesuffix(mark) if end else token)) + b" " * end] = i
+        self.merge = tiktoken.Encoding("words", pat_str="[^ ]+ ", mergeable_ranks=ranks, special_tokens={})
+        self.ends = np.zeros(max(ranks.values()) + 1, dtype=bool)
+        self.ends[[i for b, i in ranks.items() if len(b) > 1 and b.endswith(b" ")]] = True
         self.known: dict[str, bytes] = {}
 
     def learn(self, new: list[str]) -> None:
-        """Plain lower-case words skip the normaliser, which would leave them alone; others take the full way."""
         known = self.known
         parts: dict[str, tuple[str, str]] = {}
         plain: set[str] = set()
@@ -52,16 +69,21 @@ class WordIds:
         for w in new:
             core = w.rstrip(STOPS)
             low = core.lower() if core.isascii() else core
-            if core and low.isalpha() and low == low.lower() and (core.isascii() or unicodedata.is_normalized("NFC", low)):
+            if low.isalpha() and low == low.lower() and (core.isascii() or unicodedata.is_normalized("NFC", low)):
                 parts[w] = low, w[len(core) :]
                 plain.add(low)
                 other.add(w[len(core) :])
             else:
                 other.add(w)
-        for tokenizer, group in ((self.bare, plain), (self.full, other)):
-            group = [x for x in group if x not in known]
-            for w, e in zip(group, tokenizer.encode_batch(group, add_special_tokens=False)):
-                known[w] = np.array(e.ids, dtype="<u4").tobytes()
+        group = [w for w in plain if w not in known]
+        if group:
+            ids = np.array(self.merge.encode_ordinary(" ".join(group) + " "), dtype="<u4")
+            cuts = (4 * (np.flatnonzero(self.ends[ids]) + 1)).tolist()
+            line = ids.tobytes()
+            known.update(zip(group, (line[a:b] for a, b in zip([0, *cuts], cuts))))
+        group = [w for w in other if w not in known]
+        for w, e in zip(group, self.full.encode_batch(group, add_special_tokens=False)):
+            known[w] = np.array(e.ids, dtype="<u4").tobytes()
         for w, (low, rest) in parts.items():
             known[w] = known[low] + known[rest]
 

@@ -70,7 +70,8 @@ def repeated_words(hashes: Column, counted: Column) -> Column:
 def with_counts(docs: DataFrame, text: str = "text") -> DataFrame:
     """Add n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words and n_lines (all long) to the columns.
 
-    Counts cover the whole text. A null text is as an empty one: all counts are zero.
+    Counts cover the whole text. A null text is as an empty one: all counts are zero. Save the result before
+    filtering by a count: a pushed-down filter would repeat the work on arrays in every reference to it.
     """
     new = {*BASE, "n_lines"}
     own = [F.col(f"`{c}`") for c in docs.columns if c not in new]
@@ -173,6 +174,6 @@ def keep_good(docs: DataFrame, text: str = "text", lang: str = "lang", source: s
     """The documents that no rule rejects, with the columns of the input."""
     names = [f"_in{k}" for k in range(len(docs.columns))]
     at = lambda c: names[docs.columns.index(c)]
-    counted = with_counts(docs.toDF(*names), at(text))
+    counted = saved(with_counts(docs.toDF(*names), at(text)), "quality-counted")
     limits = thresholds(counted, at(lang), at(source))
     return verdicts(counted, limits, at(lang), at(source)).filter("kept").select(*names).toDF(*docs.columns)

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from areaflow.llm import packing, quality, simhash, toxicity
+from areaflow.llm import mixing, packing, quality, simhash, toxicity, vectors
 from areaflow.llm.common import bucket_of, saved, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -54,3 +54,14 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = toxicity.sample(docs, table(spark, sf_dir, "labels"), ~held, "doc_id", "text", "toxic", toxicity.SAMPLE_ROWS)
     found = toxicity.scored(docs.select("doc_id", "text"), toxicity.fit(rows))
     return found.select("doc_id", held.alias("held_out"), "toxicity.score", "toxicity.predicted")
+
+
+@query
+def op1_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    chosen = mixing.mixed(table(spark, sf_dir, "documents"))
+    return chosen.select("doc_id", "mix_domain", "lang", "source", "mix_tokens", "mix_copies", "mix_budget")
+
+
+@query
+def op9_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return vectors.near_copies(table(spark, sf_dir, "embeddings"))

@@ -1,15 +1,21 @@
 """Near copies by SimHash: fingerprints, and a binary-trie self-join that finds all pairs within a Hamming distance.
 
 The trie is walked as pairs of nodes: both nodes of a pair split at the next bit, a pair whose branches differ
-adds one to its differing bits, and a pair over the error budget is dropped with all that lies below it. To deal
-the walk out, 64 bits are seen as four blocks: of two fingerprints with at most three differing bits, one block is
-equal, so each block in turn is moved to the front, its value names the subtrie, and the walk goes through the
-other 48 bits. A subtrie with too many fingerprints is dealt out once more, by pairs of nodes a few bits below its
-root. Tasks return a spanning star for each linked set, not all pairs.
+adds one to its differing bits, and a pair over the error budget is dropped with all that lies below it; so is a
+pair all of whose rows are linked already. To deal the walk out, fingerprints meet by equal heads:
+
+* `block_heads`: 64 bits in four blocks. Of two fingerprints with at most three differing bits one block is equal, so
+  the walk misses no link.
+* `sampled_heads`: for a similarity, bits of a wide fingerprint differ with a known probability; each of many heads
+  takes 16 of its bits, and two texts at the bound share one of them with a probability of 0.98.
+
+A subtrie with too many fingerprints is dealt out once more, by pairs of nodes a few bits below its root. Tasks return
+a spanning star for each linked set, not all pairs.
 """
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -25,184 +31,215 @@ BLOCKS, BLOCK_BITS = 4, 16
 #: Fingerprints of one subtrie before it is dealt out further, and the bits by which that is done at most.
 SUBTRIE_ROWS, SPLIT_BITS = 1 << 19, 8
 #: Pairs of nodes in one step of the walk, and the size below which a pair of nodes is compared directly.
-STEP_PAIRS, SMALL = 1 << 20, 8
+STEP_PAIRS, SMALL = 1 << 18, 8
+#: Wide fingerprints: words of 64 bits, and heads sampled from their bits.
+WIDE_WORDS, HEADS = 4, 48
+SIGN = np.uint64(1 << 63)
+
+
+def remixed(hashes: np.ndarray, word: int) -> np.ndarray:
+    """Further independent hashes, by multiplying and folding; the first are the hashes themselves."""
+    if not word:
+        return hashes
+    x = (hashes ^ np.uint64(0x9E3779B97F4A7C15 * word & (2**64 - 1))) * np.uint64(0xBF58476D1CE4E5B9)
+    x ^= x >> np.uint64(29)
+    x *= np.uint64(0x94D049BB133111EB)
+    return x ^ (x >> np.uint64(32))
 
 
-def fingerprint(words: list[bytes], shingle: int, seed: int) -> int:
-    """Majority vote by bit over the hashes of all shingles, repeats included; 0 without words."""
+def fingerprint(words: list[bytes], shingle: int, seed: int = 42, wide: int = 1) -> list[int]:
+    """Majority vote by bit over the hashes of all shingles, repeats included; zeros without words."""
     if not words:
-        return 0
+        return [0] * wide
     n = max(1, len(words) - shingle + 1)
+    line, digest = b" ".join(words), xxhash.xxh64_intdigest
     if n == 1:
-        return xxhash.xxh64_intdigest(b" ".join(words), seed)
-    line = b" ".join(words)
-    ends = np.cumsum(np.fromiter(map(len, words), dtype=np.int64, count=len(words)) + 1) - 1
-    starts = np.concatenate(([0], ends[:-1] + 1))[:n].tolist()
-    digest = xxhash.xxh64_intdigest
-    hashes = np.array([digest(line[a:b], seed) for a, b in zip(starts, ends[shingle - 1 :].tolist())], dtype="<u8")
-    ones = np.zeros(64, dtype=np.int64)
-    for lo in range(0, n, 1 << 14):
-        part = hashes[lo : lo + (1 << 14)]
-        ones += np.unpackbits(part.view(np.uint8).reshape(len(part), 8), axis=1, bitorder="little").sum(axis=0, dtype=np.int64)
-    return int(np.packbits(2 * ones > n, bitorder="little").view("<u8")[0])
-
-
-def fingerprints(text: Column, shingle: int = 3, seed: int = 42) -> Column:
-    """64-bit SimHash of a text column as a long."""
-
-    @F.arrow_udf(T.LongType())
+        hashes = np.array([digest(line, seed)], dtype="<u8")
+    else:
+        ends = np.cumsum(np.fromiter(map(len, words), dtype=np.int64, count=len(words)) + 1) - 1
+        starts = np.concatenate(([0], ends[:-1] + 1))[:n].tolist()
+        hashes = np.array([digest(line[a:b], seed) for a, b in zip(starts, ends[shingle - 1 :].tolist())], dtype="<u8")
+    out = []
+    for k in range(wide):
+        ones, own = np.zeros(64, dtype=np.int64), remixed(hashes, k)
+        for lo in range(0, n, 1 << 14):
+            part = own[lo : lo + (1 << 14)]
+            ones += np.unpackbits(part.view(np.uint8).reshape(len(part), 8), axis=1, bitorder="little").sum(axis=0, dtype=np.int64)
+        out.append(int(np.packbits(2 * ones > n, bitorder="little").view("<u8")[0]))
+    return out
+
+
+def fingerprints(text: Column, shingle: int = 3, seed: int = 42, wide: int = 1) -> Column:
+    """SimHash of a text column as an array of longs of 64 bits each."""
+
+    @F.arrow_udf(T.ArrayType(T.LongType()))
     def run(texts: pa.Array) -> pa.Array:
-        prints = np.fromiter((fingerprint(words_of(t.as_py()), shingle, seed) for t in texts), dtype=np.uint64, count=len(texts))
-        return pa.array(prints.view(np.int64))
+        prints = np.array([fingerprint(words_of(t.as_py()), shingle, seed, wide) for t in texts], dtype=np.uint64).reshape(-1)
+        return pa.FixedSizeListArray.from_arrays(pa.array(prints.view(np.int64)), wide).cast(pa.list_(pa.int64()))
 
     return run.asNondeterministic()(text)
 
 
+def block_heads(fp: Column) -> Column:
+    """The four blocks of a 64-bit fingerprint."""
+    return F.array(*[F.shiftrightunsigned(fp[0], BLOCK_BITS * k).bitwiseAND(F.lit((1 << BLOCK_BITS) - 1)) for k in range(BLOCKS)])
+
+
+def sampled_heads(fp: Column) -> Column:
+    """HEADS times 16 bits of a wide fingerprint, drawn once by a fixed seed."""
+    draw = np.random.default_rng(5)
+    picked = np.array([draw.choice(64 * WIDE_WORDS, BLOCK_BITS, replace=False) for _ in range(HEADS)])
+
+    @F.arrow_udf(T.ArrayType(T.LongType()))
+    def run(prints: pa.Array) -> pa.Array:
+        words = prints.flatten().to_numpy().reshape(len(prints), WIDE_WORDS)
+        bits = np.unpackbits(words.astype("<i8").view(np.uint8), axis=1, bitorder="little")
+        heads = (bits[:, picked].astype(np.int64) << np.arange(BLOCK_BITS)).sum(axis=2).reshape(-1)
+        return pa.FixedSizeListArray.from_arrays(pa.array(heads), HEADS).cast(pa.list_(pa.int64()))
+
+    return run(fp)
+
+
 class Trie:
-    """The walk over a block of rows that are sorted by group, side and value.
+    """The walk over a block of rows sorted by group, side and fingerprint (words of 64 bits, the highest first).
 
-    `links` yields arrays of row pairs that differ in at most `budget` of the lowest `bits` bits: within a group
-    without sides, or between the sides of a group.
+    `join` links rows that differ in at most `budget` bits: within a group, or between the sides of a group. `root`
+    then holds the smallest row reachable from each row.
     """
 
-    def __init__(self, values: np.ndarray, bits: int, budget: int) -> None:
-        self.values, self.bits, self.budget = values, bits, budget
-        self.zeros: dict[int, np.ndarray] = {}
-
-    def split(self, lo: np.ndarray, hi: np.ndarray, bit: int) -> np.ndarray:
-        """Where the rows with a one at the bit begin in each node."""
-        if bit not in self.zeros:
-            one = (self.values >> np.uint64(bit)) & np.uint64(1)
-            self.zeros[bit] = np.concatenate(([0], np.cumsum(one == 0)))
-        z = self.zeros[bit]
-        return lo + z[hi] - z[lo]
+    def __init__(self, words: list[np.ndarray], budget: int) -> None:
+        self.words, self.budget = words, budget
+        self.root = np.arange(len(words[0]))
+
+    def link(self, i: np.ndarray, j: np.ndarray) -> None:
+        """Join the sets of the row pairs that are within the budget."""
+        root = self.root
+        apart = root[i] != root[j]
+        i, j = i[apart], j[apart]
+        bits = sum(np.bitwise_count(w[i] ^ w[j]).astype(np.int16) for w in self.words)
+        i, j = i[bits <= self.budget], j[bits <= self.budget]
+        while len(i):
+            a, b = root[i], root[j]
+            apart = a != b
+            i, j, a, b = i[apart], j[apart], a[apart], b[apart]
+            np.minimum.at(root, np.maximum(a, b), np.minimum(a, b))
+            while (root[root] != root).any():
+                root[:] = root[root]
 
-    def direct(self, a0: np.ndarray, a1: np.ndarray, b0: np.ndarray, b1: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    def direct(self, a0: np.ndarray, a1: np.ndarray, b0: np.ndarray, b1: np.ndarray) -> None:
         n = (a1 - a0) * (b1 - b0)
         pair = np.repeat(np.arange(len(n)), n)
         at = np.arange(len(pair)) - np.repeat(np.cumsum(n) - n, n)
         width = (b1 - b0)[pair]
-        i, j = a0[pair] + at // width, b0[pair] + at % width
-        mask = np.uint64((1 << self.bits) - 1)
-        near = (i != j) & (np.bitwise_count((self.values[i] ^ self.values[j]) & mask) <= self.budget)
-        return i[near], j[near]
+        self.link(a0[pair] + at // width, b0[pair] + at % width)
 
-    def links(self, a0: np.ndarray, a1: np.ndarray, b0: np.ndarray, b1: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-        todo = [(self.bits - 1, a0, a1, b0, b1, np.zeros(len(a0), dtype=np.int8))]
+    def join(self, a0: np.ndarray, a1: np.ndarray, b0: np.ndarray, b1: np.ndarray) -> None:
+        """Walk the pairs of nodes [a0, a1) and [b0, b1), rows of one group each."""
+        self.link(np.repeat(b0, a1 - a0), np.concatenate([np.arange(x, y) for x, y in zip(a0, a1)] or [a0]))
+        self.link(np.repeat(a0, b1 - b0), np.concatenate([np.arange(x, y) for x, y in zip(b0, b1)] or [b0]))
+        todo = [(64 * len(self.words) - 1, a0, a1, b0, b1, np.zeros(len(a0), dtype=np.int16))]
         while todo:
             bit, a0, a1, b0, b1, errors = todo.pop()
-            small = ((a1 - a0) * (b1 - b0) <= SMALL) | (bit < 0)
+            change = np.concatenate(([0], np.cumsum(self.root[1:] != self.root[:-1])))
+            apart = (change[a1 - 1] != change[a0]) | (change[b1 - 1] != change[b0]) | (self.root[a0] != self.root[b0])
+            small = apart & (((a1 - a0) * (b1 - b0) <= SMALL) | (bit < 0))
             if small.any():
-                for k in range(0, int(small.sum()), STEP_PAIRS):
-                    part = np.flatnonzero(small)[k : k + STEP_PAIRS]
-                    yield self.direct(a0[part], a1[part], b0[part], b1[part])
-                a0, a1, b0, b1, errors = (x[~small] for x in (a0, a1, b0, b1, errors))
+                self.direct(a0[small], a1[small], b0[small], b1[small])
+            a0, a1, b0, b1, errors = (x[apart & ~small] for x in (a0, a1, b0, b1, errors))
             if not len(a0):
                 continue
-            am, bm, same = self.split(a0, a1, bit), self.split(b0, b1, bit), (a0 == b0) & (a1 == b1)
+            one = (self.words[len(self.words) - 1 - bit // 64] >> np.uint64(bit % 64)) & np.uint64(1)
+            zeros = np.concatenate(([0], np.cumsum(one == 0)))
+            am, bm, same = a0 + zeros[a1] - zeros[a0], b0 + zeros[b1] - zeros[b0], (a0 == b0) & (a1 == b1)
             children = [(a0, am, b0, bm, errors), (am, a1, bm, b1, errors), (a0, am, bm, b1, errors + 1)]
             children.append(tuple(x[~same] for x in (am, a1, b0, bm, errors + 1)))
             a0, a1, b0, b1, errors = (np.concatenate(x) for x in zip(*children))
             keep = (a0 < a1) & (b0 < b1) & (errors <= self.budget) & ~((a0 == b0) & (a1 == b1) & (a1 - a0 == 1))
-            a0, a1, b0, b1, errors = (x[keep] for x in (a0, a1, b0, b1, errors))
-            for k in range(0, len(a0), STEP_PAIRS):
-                todo.append((bit - 1, *(x[k : k + STEP_PAIRS] for x in (a0, a1, b0, b1, errors))))
+            parts = [x[keep] for x in (a0, a1, b0, b1, errors)]
+            for k in range(0, len(parts[0]), STEP_PAIRS):
+                todo.append((bit - 1, *(x[k : k + STEP_PAIRS] for x in parts)))
 
 
-def roots_of(n: int, links: Iterator[tuple[np.ndarray, np.ndarray]]) -> np.ndarray:
-    """The smallest row reachable from each of n rows."""
-    root = np.arange(n)
-    for i, j in links:
-        while True:
-            a, b = root[i], root[j]
-            apart = a != b
-            if not apart.any():
-                break
-            i, j, a, b = i[apart], j[apart], a[apart], b[apart]
-            np.minimum.at(root, np.maximum(a, b), np.minimum(a, b))
-            while (root[root] != root).any():
-                root = root[root]
-    return root
-
-
-def linked(prints: DataFrame, budget: int) -> DataFrame:
-    """Links (a, b) between distinct fingerprints (column fp) that connect exactly those within the budget."""
-    fp = F.col("fp")
-    turned = [
-        F.shiftleft(fp, BLOCK_BITS * k).bitwiseOR(F.shiftrightunsigned(fp, 64 - BLOCK_BITS * k)) if k else fp
-        for k in range(BLOCKS)
-    ]
-    rows = prints.select(
-        F.posexplode(F.array(*turned)).alias("block", "v")
-    ).select("block", F.shiftrightunsigned("v", 64 - BLOCK_BITS).cast("int").alias("head"), "v")
-    rows = saved(rows, "simhash-blocks")
-    full = rows.groupBy("block", "head").count().filter(F.col("count") > SUBTRIE_ROWS)
+def linked(prints: DataFrame, heads: Column, wide: int, budget: int) -> DataFrame:
+    """Links (a, b) between the ids of distinct fingerprints (id long, fp array of `wide` longs): a spanning star of
+    every set that pairs within the budget connect, for each head."""
+    values = [F.col("fp")[k].bitwiseXOR(F.lit(-(2**63))).alias(f"w{k}") for k in range(wide)]  # in unsigned order
+    rows = saved(prints.select("id", *values, F.posexplode(heads).alias("head", "at")), "simhash-heads")
+    full = rows.groupBy("head", "at").count().filter(F.col("count") > SUBTRIE_ROWS)
     depth = F.least(F.lit(SPLIT_BITS), F.ceil(F.log2(F.col("count") / SUBTRIE_ROWS)) + 1).cast("int")
     masks = [[m for m in range(1 << d) if m.bit_count() <= budget] for d in range(SPLIT_BITS + 1)]
-    rows = rows.join(full.select("block", "head", depth.alias("depth")), ["block", "head"], "left").withColumn("depth", F.coalesce("depth", F.lit(0)))
+    rows = rows.join(full.select("head", "at", depth.alias("depth")), ["head", "at"], "left").withColumn("depth", F.coalesce("depth", F.lit(0)))
     rows = rows.withColumn("mask", F.explode(F.element_at(F.array(*[F.array(*map(F.lit, m)) for m in masks]), F.col("depth") + 1)))
-    # the bits below the block, moved down by one so that no sign is in the way, then the first `depth` of them
-    node = F.expr(f"cast(shiftright(shiftrightunsigned(shiftleft(v, {BLOCK_BITS}), 1), 63 - depth) as int)")
-    rows = rows.withColumn("node", node).withColumn("low", F.least("node", F.col("node").bitwiseXOR(F.col("mask"))))
+    # the first `depth` bits of the fingerprint
+    rows = rows.withColumn("node", F.expr("cast(shiftright(shiftrightunsigned(w0, 1), 63 - depth) as int)"))
+    rows = rows.withColumn("low", F.least("node", F.col("node").bitwiseXOR(F.col("mask"))))
     rows = rows.withColumn("side", (F.col("node") != F.col("low")).cast("int"))
-    group = ["block", "head", "low", "mask"]
+    group, names = ["head", "at", "low", "mask"], [f"w{k}" for k in range(wide)]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for t, starts in whole_groups(batches, group):
-            values = t.column("v").to_numpy().view(np.uint64)
+        for t, starts in whole_groups(batches, group, 1 << 17):
+            walk = Trie([t.column(w).to_numpy().view(np.uint64) ^ SIGN for w in names], budget)
             lo, hi = starts[:-1], starts[1:]
-            mask = t.column("mask").to_numpy()[lo]
-            second = np.concatenate(([0], np.cumsum(t.column("side").to_numpy() == 0)))
-            cut = lo + second[hi] - second[lo]
-            walk = Trie(values, 64 - BLOCK_BITS, budget)
-            own = mask == 0
-            root = roots_of(len(t), walk.links(lo, np.where(own, hi, cut), np.where(own, lo, cut), hi))
-            child = np.flatnonzero(root != np.arange(len(t)))
-            turn = t.column("block").to_numpy()[child].astype(np.uint64) * np.uint64(BLOCK_BITS)
-            pair = []
-            for x in (values[child], values[root[child]]):
-                back = (x >> turn) | np.where(turn > 0, x << ((np.uint64(64) - turn) % np.uint64(64)), np.uint64(0))
-                pair.append(pa.array(back.view(np.int64)))
+            first = np.concatenate(([0], np.cumsum(t.column("side").to_numpy() == 0)))
+            cut = lo + first[hi] - first[lo]
+            own = t.column("mask").to_numpy()[lo] == 0
+            nodes = (lo, np.where(own, hi, cut), np.where(own, lo, cut), hi)
+            there = (nodes[0] < nodes[1]) & (nodes[2] < nodes[3]) & (hi - lo > 1)
+            walk.join(*(x[there] for x in nodes))
+            child, ids = np.flatnonzero(walk.root != np.arange(len(t))), t.column("id").to_numpy()
+            pair = [pa.array(ids[child]), pa.array(ids[walk.root[child]])]
             yield pa.RecordBatch.from_arrays(pair, names=["a", "b"])
 
-    return (
-        rows.repartition(*group).sortWithinPartitions(*group, "side", "v")
-        .select(*group, "side", "v").mapInArrow(run, "a long, b long")
-    )
+    return rows.repartition(*group).sortWithinPartitions(*group, "side", *names).select(*group, "side", "id", *names).mapInArrow(run, "a long, b long")
 
 
-def near_copies(docs: DataFrame, key: str = "doc_id", text: str = "text", shingle: int = 3, budget: int = 3, keep: tuple[str, ...] = ()) -> DataFrame:
-    """One row per document: key, fp (fingerprint as a long), component_id (smallest key of the documents reachable
-    by links of at most `budget` differing bits), row_id (unique) and the columns named in `keep`.
+def grouped(base: DataFrame, heads: Column, wide: int, budget: int) -> tuple[DataFrame, DataFrame]:
+    """Nodes (id, fp, key, row: of the smallest key) of a table (key, row, fp), one per distinct fingerprint, with
+    root (id of their component); and (root, key, row) of the smallest key of every component. Null keys come last."""
+    first = F.min_by(F.struct("key", "row"), F.struct(F.col("key").isNull(), "key", "row"))
+    nodes = saved(base.groupBy("fp").agg(first.alias("first"), F.min("row").alias("id")).select("id", "fp", "first.*"), "simhash-nodes")
+    roots = components(linked(nodes.select("id", "fp"), heads, wide, budget), "simhash").withColumnRenamed("v", "id")
+    rooted = nodes.join(roots, "id", "left").withColumn("root", F.coalesce("root", "id"))
+    return rooted, rooted.groupBy("root").agg(first.alias("first")).select("root", "first.*")
+
+
+def near_copies(docs: DataFrame, key: str = "doc_id", text: str = "text", shingle: int = 3, budget: int = 3) -> DataFrame:
+    """One row per document: key, fp (64-bit fingerprint as a long) and component_id (smallest key of the documents
+    reachable by links of at most `budget` differing bits; at most three, see block_heads).
 
     A null or blank text has fingerprint zero and is linked like any other. Null keys are never the smallest unless
     a component has no other; repeated rows are documents of their own. An empty table gives no rows.
     """
-    base = docs.select(key, *keep, F.monotonically_increasing_id().alias("row_id"), fingerprints(F.col(text), shingle).alias("fp"))
+    if budget >= BLOCKS:
+        raise ValueError("four blocks find links of at most three differing bits")
+    base = docs.select(F.col(key).alias("key"), F.monotonically_increasing_id().alias("row"), fingerprints(F.col(text), shingle).alias("fp"))
     base = saved(base, "simhash-prints")
-    nodes = saved(base.groupBy("fp").agg(F.min(key).alias("least")), "simhash-nodes")
-    roots = components(linked(nodes, budget), "simhash").withColumnRenamed("v", "fp")
-    rooted = nodes.join(roots, "fp", "left").withColumn("root", F.coalesce("root", "fp"))
-    owner = rooted.groupBy("root").agg(F.min("least").alias("component_id"))
-    return base.join(rooted.select("fp", "root").join(owner, "root").drop("root"), "fp")
+    nodes, owners = grouped(base, block_heads(F.col("fp")), 1, budget)
+    found = nodes.select("fp", "root").join(owners.select("root", F.col("key").alias("component_id")), "root").drop("root")
+    return base.join(found, "fp").select(F.col("key").alias(key), F.col("fp")[0].alias("fp"), "component_id")
 
 
 def hex_print(fp: Column) -> Column:
     return F.lpad(F.lower(F.hex(fp)), 16, "0")
 
 
-def drop_near_copies(docs: DataFrame, key: str = "doc_id", text: str = "text", shingle: int = 3, budget: int = 3) -> DataFrame:
-    """The documents that stay: of each component the one with the smallest key (of repeated rows, the first)."""
+def differing_bits(similarity: float, bits: int) -> int:
+    """Bits in which fingerprints of texts differ on average whose shingles have this Jaccard similarity: shingle
+    vectors of such texts have the cosine 2s / (1 + s)."""
+    return round(bits * math.acos(2 * similarity / (1 + similarity)) / math.pi)
+
+
+def drop_near_copies(docs: DataFrame, key: str = "doc_id", text: str = "text", shingle: int = 5, similarity: float = 0.8) -> DataFrame:
+    """The documents that stay: of each group of near copies the one with the smallest key (of rows with that key the
+    first; null keys come last), with the columns of the input.
+
+    Similarity is estimated by a fingerprint of 256 bits, to about 0.03. Texts without words are copies of each
+    other. An empty table gives no rows.
+    """
     names = [f"_in{k}" for k in range(len(docs.columns))]
-    inner = docs.toDF(*names)
-    new_key, new_text = names[docs.columns.index(key)], names[docs.columns.index(text)]
-    whole = saved(inner.withColumn("_fp", fingerprints(F.col(new_text), shingle)).withColumn("_row", F.monotonically_increasing_id()), "simhash-docs")
-    nodes = saved(
-        whole.groupBy("_fp").agg(F.min_by(F.struct(F.col(new_key).alias("k"), F.col("_row").alias("r")), F.struct(F.col(new_key).isNull(), new_key, "_row")).alias("first"))
-        .select(F.col("_fp").alias("fp"), "first"),
-        "simhash-nodes",
-    )
-    roots = components(linked(nodes.select("fp"), budget), "simhash").withColumnRenamed("v", "fp")
-    rooted = nodes.join(roots, "fp", "left").withColumn("root", F.coalesce("root", "fp"))
-    stay = rooted.groupBy("root").agg(F.min_by(F.col("first.r"), F.struct(F.col("first.k").isNull(), F.col("first.k"), F.col("first.r"))).alias("_row"))
-    return whole.join(stay.select("_row"), "_row", "left_semi").select(*names).toDF(*docs.columns)
+    at = lambda c: F.col(names[docs.columns.index(c)])
+    whole = docs.toDF(*names).withColumn("fp", fingerprints(at(text), shingle, wide=WIDE_WORDS)).withColumn("row", F.monotonically_increasing_id())
+    whole = saved(whole, "simhash-docs")
+    budget = differing_bits(similarity, 64 * WIDE_WORDS)
+    _, owners = grouped(whole.select(at(key).alias("key"), "row", "fp"), sampled_heads(F.col("fp")), WIDE_WORDS, budget)
+    return whole.join(owners.select("row"), "row", "left_semi").select(*names).toDF(*docs.columns)
