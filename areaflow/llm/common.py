@@ -79,6 +79,17 @@ def whole_groups(batches: Iterator[pa.RecordBatch], keys: list[str], rows: int =
         yield block(held)
 
 
+def join_sets(root: np.ndarray, i: np.ndarray, j: np.ndarray) -> None:
+    """Join the sets of the row pairs i, j, in place: root holds the smallest row of each row's set."""
+    while len(i):
+        a, b = root[i], root[j]
+        apart = a != b
+        i, j, a, b = i[apart], j[apart], a[apart], b[apart]
+        np.minimum.at(root, np.maximum(a, b), np.minimum(a, b))
+        while (root[root] != root).any():
+            root[:] = root[root]
+
+
 def components(edges: DataFrame, label: str) -> DataFrame:
     """Connected components of the edges (a, b): one row (v, root) for each vertex, root being the smallest
     vertex reachable from v.

@@ -7,8 +7,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from areaflow.llm import mixing, packing, quality, simhash, toxicity, vectors
+from areaflow.llm import language, mixing, packing, quality, simhash, toxicity, vectors, warc
 from areaflow.llm.common import bucket_of, saved, table
+from areaflow.runtime import scratch_path
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 CHECK_SQL: dict[str, str] = {}
@@ -65,3 +66,25 @@ def op1_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op9_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
     return vectors.near_copies(table(spark, sf_dir, "embeddings"))
+
+
+@query
+def op6_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    folder = scratch_path(spark, "llm-warc")
+    folder = folder if ":" in folder.split("/")[0] else f"file://{folder}"
+    saved(warc.write_archives(table(spark, sf_dir, "pages"), folder), "warc-archives")
+    found = warc.read_archives(spark, folder)
+    page = lambda c: F.try_element_at(F.split(F.col(c), ":"), F.lit(-1)).try_cast("long")
+    sound = F.when(F.col("error").isNotNull(), F.raise_error(F.concat(F.lit("archive: "), F.col("error")))).otherwise(page("record_id"))
+    return found.select(
+        sound.alias("page_id"), F.coalesce(F.octet_length("payload").cast("long"), F.col("payload_length")).alias("payload_bytes"),
+        "payload_digest", F.col("type").alias("record_type"), page("refers_to").alias("refers_to"),
+    )
+
+
+@query
+def op3_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, held = table(spark, sf_dir, "documents"), bucket_of(F.col("doc_id"), 4) == 2
+    model = language.fit(language.sample(docs, ~held, "doc_id", "text", "lang"))
+    found = language.identified(docs.select("doc_id", "text"), model)
+    return found.select("doc_id", held.alias("held_out"), "language.lang_pred", "language.score")

@@ -25,7 +25,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from areaflow.llm.common import components, saved, whole_groups, words_of
+from areaflow.llm.common import components, join_sets, saved, whole_groups, words_of
 
 BLOCKS, BLOCK_BITS = 4, 16
 #: Fingerprints of one subtrie before it is dealt out further, and the bits by which that is done at most.
@@ -117,14 +117,7 @@ class Trie:
         apart = root[i] != root[j]
         i, j = i[apart], j[apart]
         bits = sum(np.bitwise_count(w[i] ^ w[j]).astype(np.int16) for w in self.words)
-        i, j = i[bits <= self.budget], j[bits <= self.budget]
-        while len(i):
-            a, b = root[i], root[j]
-            apart = a != b
-            i, j, a, b = i[apart], j[apart], a[apart], b[apart]
-            np.minimum.at(root, np.maximum(a, b), np.minimum(a, b))
-            while (root[root] != root).any():
-                root[:] = root[root]
+        join_sets(root, i[bits <= self.budget], j[bits <= self.budget])
 
     def direct(self, a0: np.ndarray, a1: np.ndarray, b0: np.ndarray, b1: np.ndarray) -> None:
         n = (a1 - a0) * (b1 - b0)

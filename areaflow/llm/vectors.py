@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from areaflow.llm.common import components, saved, whole_groups
+from areaflow.llm.common import components, join_sets, saved, whole_groups
 
 #: Vectors that the fit takes at most, cells, subspaces and codes of each subspace.
 SAMPLE_ROWS, CELLS, SUBSPACES, CODES = 8_192, 64, 8, 64
@@ -99,8 +99,8 @@ def unit(column: pa.ChunkedArray, size: int) -> np.ndarray:
 
 
 def links(nodes: DataFrame, size: int, cosine: float) -> DataFrame:
-    """From distinct vectors (id, label, vector, copies): rows (id, other, n), n counting copies of linked vectors that
-    `other` (an id of the same component) stands for; every component is connected by its (id, other)."""
+    """From distinct vectors (id, label, vector, copies): rows (id, other, n). The n of an id add up to the copies of the
+    vectors linked to it, and the pairs (id, other) connect exactly what links connect."""
     sample = nodes.orderBy(F.xxhash64("id"), "id").limit(SAMPLE_ROWS).select("vector").toArrow()
     if not len(sample):
         return nodes.select("id", F.col("id").alias("other"), F.lit(0).cast("long").alias("n")).limit(0)
@@ -147,6 +147,7 @@ def links(nodes: DataFrame, size: int, cosine: float) -> DataFrame:
         q = shared.value
         for t, starts in whole_groups(batches, ["label", "cell", "a", "b"], 1 << 14):
             probes, ids, copies = t.column("probe").to_numpy(), t.column("id").to_numpy(), t.column("copies").to_numpy()
+            root = np.arange(len(t))
             cells, vectors = t.column("cell").to_numpy(), unit(t.column("vector"), size)
             for lo, hi in zip(starts[:-1].tolist(), starts[1:].tolist()):
                 cut = lo + int((probes[lo:hi] == 0).sum())
@@ -166,13 +167,13 @@ def links(nodes: DataFrame, size: int, cosine: float) -> DataFrame:
                         part = slice(k, k + (1 << 16))
                         near[part] = (vectors[i[part]] * vectors[j[part]]).sum(axis=1) >= cosine
                     i, j = i[near], j[near]
-                    if len(i):
-                        # the partners of a probing vector in this list count as one row, with the smallest of them
-                        at, where = np.unique(i, return_inverse=True)
-                        least = np.full(len(at), np.iinfo(np.int64).max)
-                        np.minimum.at(least, where, ids[j])
-                        n = np.bincount(where, weights=copies[j]).astype(np.int64)
-                        yield pa.RecordBatch.from_arrays([pa.array(ids[at]), pa.array(least), pa.array(n)], names=["id", "other", "n"])
+                    join_sets(root, i, j)
+                    at, where = np.unique(i, return_inverse=True)
+                    n = np.bincount(where, weights=copies[j], minlength=len(at)).astype(np.int64)
+                    yield pa.RecordBatch.from_arrays([pa.array(ids[at]), pa.array(ids[at]), pa.array(n)], names=["id", "other", "n"])
+            child = np.flatnonzero(root != np.arange(len(t)))
+            pair = [pa.array(ids[child]), pa.array(ids[root[child]])]
+            yield pa.RecordBatch.from_arrays([*pair, pa.array(np.zeros(len(child), dtype=np.int64))], names=["id", "other", "n"])
 
     group = ["label", "cell", "a", "b"]
     return rows.repartition(*group).sortWithinPartitions(*group, "probe", "id").mapInArrow(run, "id long, other long, n long")
