@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from areaflow.llm import hmm, language, mixing, packing, quality, simhash, toxicity, vectors, warc
+from areaflow.llm import hmm, html_text, language, mixing, packing, quality, simhash, toxicity, vectors, warc
 from areaflow.llm.common import bucket_of, saved, table
 from areaflow.runtime import scratch_path
 
@@ -95,3 +95,8 @@ def op8_hmm(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs, held = table(spark, sf_dir, "documents").select("doc_id", "text"), bucket_of(F.col("doc_id"), 7) == 2
     found = hmm.scored(docs.withColumn("held_out", held), ~held)
     return found.select("doc_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score")
+
+
+@query
+def op4_html(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_text.extract(table(spark, sf_dir, "pages")).select("page_id", "url", "visible_text")
