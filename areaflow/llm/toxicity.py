@@ -1,12 +1,13 @@
 """Toxicity by the nearest labelled examples: exact TF-IDF cosine over a block-max inverted index.
 
 Terms are words and word beginnings (lower-case A-Z), as insults also occur inside compounds. The vector space
-holds the terms whose document frequency differs between the labels; a vector is log term frequency times inverse
+holds the terms whose document frequency is clearly higher among toxic examples; a vector is log term frequency times inverse
 document frequency, of length one. The index keeps, per term, the postings in blocks of consecutive examples and
 each block's largest weight. A search adds those up to a bound for every block, opens blocks in descending order
 of their bound and stops when no bound reaches the k-th best cosine, so its result is that of comparing with
-every example. Neighbours vote with weights 1 / (distance + 0.1); votes become probabilities by a monotone fit to
-the leave-one-out votes of the examples. The fit uses a bounded sample of labelled rows; scores cover all texts.
+every example. Neighbours vote with weights cosine / (distance + 0.1) against one vote for the overall share of toxic
+examples, so that far neighbours alone decide nothing; votes become probabilities by a monotone fit to the
+leave-one-out votes of the examples. The fit uses a bounded sample of labelled rows; scores cover all texts.
 """
 
 from __future__ import annotations
@@ -25,22 +26,18 @@ from pyspark.sql import types as T
 from areaflow.llm.common import words_of
 
 #: Labelled rows that the fit takes at most (a random choice by hash of the key, the same at every run).
-SAMPLE_ROWS = 12_000
+SAMPLE_ROWS = 8_000
 #: Lengths of word beginnings that are terms, in bytes; least document frequency and least standard score of a term.
-STEMS, LEAST_DF, LEAST_Z = (4, 5, 6, 7), 4, 6.0
+STEMS, LEAST_DF, LEAST_Z = (4, 5, 6, 7), 12, 8.0
 NEIGHBOURS, BLOCK = 15, 64
 #: Score from which a text is predicted toxic.
 CUTOFF = 0.7
 
 
-def terms_of(words: list[bytes]) -> Counter:
-    """Term frequencies: words, and beginnings of words that are longer than these (marked with a blank)."""
-    out: Counter = Counter()
-    for w, n in Counter(words).items():
-        out[w] += n
-        for k in STEMS:
-            if len(w) > k:
-                out[w[:k] + b" "] += n
+def terms_of(words: list[bytes]) -> set[bytes]:
+    """Terms of a text: words, and beginnings of words that are longer than these (marked with a blank)."""
+    out = set(words)
+    out.update([w[:k] + b" " for w in out for k in STEMS if len(w) > k])
     return out
 
 
@@ -57,16 +54,25 @@ class Examples:
     maxima: np.ndarray = None
     steps: tuple[np.ndarray, np.ndarray] = None
     without: float = 0.0
+    heads: frozenset[bytes] = frozenset()
+
+    def __post_init__(self) -> None:
+        self.heads = frozenset(t[: STEMS[0]] for t in self.vocabulary)
+
+    def found(self, words: list[bytes]) -> Counter:
+        """Frequencies of the terms of the vector space in a text."""
+        own, heads, least = self.vocabulary, self.heads, STEMS[0]
+        out: Counter = Counter()
+        for w in words:
+            if w[:least] in heads:
+                for t in (w, *[w[:k] + b" " for k in STEMS if len(w) > k]):
+                    if t in own:
+                        out[t] += 1
+        return out
 
     def vector(self, words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
         """Terms of the vector space in a text, and their weights; both empty for a text without any."""
-        own = self.vocabulary
-        found: dict[int, int] = {}
-        for w, n in Counter(words).items():
-            for t in (w, *[w[:k] + b" " for k in STEMS if len(w) > k]):
-                i = own.get(t)
-                if i is not None:
-                    found[i] = found.get(i, 0) + n
+        found = {self.vocabulary[t]: n for t, n in self.found(words).items()}
         at = np.fromiter(sorted(found), dtype=np.int64, count=len(found))
         weights = np.array([1 + math.log(found[i]) for i in at.tolist()]) * self.idf[at]
         return at, weights / (np.sqrt((weights**2).sum()) or 1.0)
@@ -106,8 +112,8 @@ class Examples:
 
     def vote(self, found: list[tuple[float, int]]) -> float:
         """Share of toxic among the neighbours, weighted by distance."""
-        weights = [1 / (1.1 - min(1.0, c)) for c, _ in found]
-        return sum(w * self.labels[e] for w, (_, e) in zip(weights, found)) / sum(weights)
+        weights = [c / (1.1 - min(1.0, c)) for c, _ in found]
+        return (self.labels.mean() + sum(w * self.labels[e] for w, (_, e) in zip(weights, found))) / (1 + sum(weights))
 
     def score(self, words: list[bytes]) -> tuple[float, list[tuple[float, int]]]:
         found = self.nearest(*self.vector(words))
@@ -135,22 +141,29 @@ def monotone(votes: np.ndarray, labels: np.ndarray) -> tuple[np.ndarray, np.ndar
 
 
 def fit(rows: list[tuple]) -> Examples:
-    """Fit to (key, text, label) rows. Without rows every score is 0; without differing terms it is the share of
-    toxic rows."""
+    """Fit to (key, text, label) rows; of equal texts the first counts. Without rows every score is 0; without
+    differing terms it is the share of toxic rows."""
+    rows = list({text: (key, text, label) for key, text, label in reversed(rows)}.values())[::-1]
     words = [words_of(text) for _, text, _ in rows]
     labels = np.array([label for _, _, label in rows], dtype=np.int64)
     counts = np.array([(labels == 0).sum(), (labels == 1).sum()])
-    df = (Counter(), Counter())
+    with_toxic: Counter = Counter()
     for w, y in zip(words, labels.tolist()):
-        df[y].update(terms_of(w).keys())
+        if y:
+            with_toxic.update(terms_of(w))
+    likely = Examples({t: 0 for t, n in with_toxic.items() if 2 * n >= LEAST_DF}, None, labels, [])
+    with_other: Counter = Counter()
+    for w, y in zip(words, labels.tolist()):
+        if not y:
+            with_other.update(likely.found(w))
     chosen = []
     if counts.min() > 0:
-        for t in sorted(df[0].keys() | df[1].keys()):
-            n0, n1 = df[0][t], df[1][t]
+        for t in sorted(likely.vocabulary):
+            n0, n1 = with_other[t], with_toxic[t]
             both = (n0 + n1) / len(rows)
             if n0 + n1 >= LEAST_DF and both < 1:
                 z = (n1 / counts[1] - n0 / counts[0]) / math.sqrt(both * (1 - both) * (1 / counts[0] + 1 / counts[1]))
-                if abs(z) >= LEAST_Z:
+                if z >= LEAST_Z:
                     chosen.append((t, n0 + n1))
     idf = np.array([math.log((1 + len(rows)) / (1 + n)) + 1 for _, n in chosen])
     model = Examples({t: i for i, (t, _) in enumerate(chosen)}, idf, labels, [key for key, _, _ in rows])
