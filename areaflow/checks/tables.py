@@ -7,15 +7,17 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from areaflow.checks.models import TRIP_SQL
 from areaflow.checks.registry import EXPRESSIONS, query, text
 from areaflow.contracts import CONTRACTS, get_contract, resolve_datasets
 from areaflow.fixtures import Tables
 from areaflow.functions import parsing, rules
+from areaflow.functions.rules import ACTIONS
 from areaflow.operators import coverage, quality, standardize
 from areaflow.operators.aggregate import observation_base
 from areaflow.plans import marts
 from areaflow.plans.table_tests import TABLE_TESTS, run_table_tests
-from areaflow.runtime import materialize, scratch_path, with_bounds
+from areaflow.runtime import scratch_path, with_bounds
 from areaflow.sources import feeds, files, sinks
 from areaflow.streaming import streams
 
@@ -88,7 +90,7 @@ def contract_tables(t: Tables, names: tuple[str, ...] = resolve_datasets("all"))
     """Contract tables by name; the two that are computed from others are written once."""
     computed = {
         "route_area_coverage": lambda: t.pipeline().coverage,
-        "observation_base": lambda: materialize(observation_base(t.trip_updates, t.stop_area_map), "base"),
+        "observation_base": lambda: observation_base(t.trip_updates, t.stop_area_map),
     }
     return {n: (get_contract(n), computed[n]() if n in computed else t.derived(n)) for n in names}
 
@@ -138,7 +140,7 @@ def _rule(dataset: str, check: str, column: str | None, count: str, severity: st
 
 def required_sql(name: str) -> list[str]:
     return [
-        _rule(name, "required_present", c, f"coalesce(max({int(not _has(name, c))}), 0)", "error")
+        _rule(name, "required_present", c, f"count(*) * 0 + {int(not _has(name, c))}", "error")
         for c in CONTRACTS[name].required
     ]
 
@@ -251,12 +253,14 @@ def scan_all_string(t):
 
 @query("latest_load", "select trip_id, route_id, service_id, '2026-05-08' as load_date from trips")
 def latest_load(t):
-    root = scratch_path(t.spark, "loads")
-    columns = ("trip_id", "route_id", "service_id")
-    earlier = t.trips.where("direction_id = 0").select(*columns, F.lit("2026-05-01").alias("load_date"))
-    newest = t.trips.select(*columns, F.lit("2026-05-08").alias("load_date"))
-    sinks.write_partitioned(earlier.unionByName(newest), root, ["load_date"], "csv")
-    return files.latest_load(t.spark, root)
+    """The newest load holds two files and an even newer one only the other."""
+    root, columns = scratch_path(t.spark, "loads"), ("trip_id", "route_id", "service_id")
+    loads = {"2026-05-01": t.trips.where("direction_id = 0").select(*columns), "2026-05-08": t.trips.select(*columns)}
+    for date, rows in loads.items():
+        sinks.write_partitioned(rows, f"{root}/load_date={date}/trips.txt", file_format="csv")
+    for date in ("2026-05-08", "2026-05-15"):
+        sinks.write_partitioned(t.stops.select("stop_id"), f"{root}/load_date={date}/stops.txt", file_format="csv")
+    return files.latest_load(t.spark, root, "trips.txt")
 
 
 @query(
@@ -426,7 +430,7 @@ def prepared(t: Tables, name: str) -> DataFrame:
         union all select 'replace', count(*) from trips union all select 'per_batch', count(*) from trips""",
 )
 def load_append_or_replace(t):
-    contract, rows = get_contract("trips"), materialize(prepared(t, "trips"), "trips")
+    contract, rows = get_contract("trips"), prepared(t, "trips")
     modes = {"append": {}, "replace": {"replace": True}, "per_batch": {"per_batch": True}}
     counts = []
     for mode, options in modes.items():
@@ -495,7 +499,7 @@ def batch_manifest(t):
 def export_result(t):
     counts = t.trip_updates.na.drop(subset=["route_id"]).groupBy("route_id").agg(F.count(F.lit(1)).alias("n"))
     top = counts.orderBy(F.desc("n"), "route_id").limit(25)
-    return files.scan_all_string(t.spark, sinks.export_result(top, scratch_path(t.spark, "report")))
+    return files.scan_all_string(t.spark, sinks.export_result(top, scratch_path(t.spark, "report"), one_file=True))
 
 
 @query("post_load_count", "select count(*) as row_count from stop_times")
@@ -907,11 +911,7 @@ HOUR_SQL = "extract(hour from snapshot_timestamp)"
 WEEKDAY_SQL = "isodow(snapshot_timestamp) < 6"
 RATING_SQL = """case when days_covered < 1 then 'insufficient' when days_covered <= 6 then 'exploratory'
     when days_covered <= 13 then 'analyst-ready' else 'strong' end"""
-ACTION_SQL = """case data_sufficiency_rating
-    when 'insufficient' then 'Collect at least 7 days of 15-minute GTFS-R snapshots before evidence-grade reporting.'
-    when 'exploratory' then 'Continue collection toward 7+ days; label all outputs as exploratory only.'
-    when 'analyst-ready' then 'Minimum threshold met; proceed with cautious analyst report and note snapshot limitations.'
-    else 'Strong coverage; suitable for robust multi-day comparisons and portfolio evidence.' end"""
+ACTION_SQL = "case data_sufficiency_rating " + " ".join(f"when '{r}' then '{a}'" for r, a in ACTIONS.items()) + " end"
 LABEL_RATING_SQL = "case when data_sufficiency_rating in ('analyst-ready', 'strong') then 'evidence-ready' else 'exploratory' end"
 
 
@@ -1010,29 +1010,28 @@ def stream_ingest(t):
     return t.spark.read.parquet(target)
 
 
+def two_deliveries(t, rows, columns):
+    """A source in which the second delivery brings rows of every hour late, and half of the first ones again."""
+    source = scratch_path(t.spark, "stream-in")
+    half = F.pmod(F.xxhash64("entity_id", "stop_sequence"), F.lit(4))
+    rows = rows.select(*columns)
+    rows.where(half < 2).write.parquet(source)
+    yield source, rows.schema
+    rows.where(half >= 1).write.mode("append").parquet(source)
+    yield source, rows.schema
+
+
 @query(
     "stream_area_hour",
-    """select cast(snapshot_date as varchar) as snapshot_date, snapshot_hour, area_code, count(*) as observation_count,
-        count(*) filter (is_delayed) as delayed_observation_count, cast(sum(arrival_delay_seconds) as bigint) as arrival_delay_sum,
-        count(arrival_delay_seconds) as arrival_delay_rows, max(max_delay_seconds) as max_delay_seconds,
-        count(*) filter (delay_severity_band = 'major_delay') as major_delay_count
-        from delays where area_code is not null group by 1, 2, 3""",
+    f"""select {text('snapshot_date')}, snapshot_hour, area_code, area_name, observation_count, {TRIP_SQL} from trip_hours""",
 )
 def stream_area_hour(t):
-    source, target, checkpoint = (scratch_path(t.spark, f"hours-{part}") for part in ("in", "out", "state"))
-    columns = ("snapshot_timestamp", "route_id", "trip_id", "stop_id", "arrival_delay_seconds", "departure_delay_seconds")
-    rows = t.trip_updates.select(*columns)
-    # One later observation moves the watermark past the last hour, so that every hour before is complete;
-    # its own hour stays open. It needs a matched stop, since rows without one are dropped before the watermark.
-    stop = t.stop_area_map.where("is_matched").agg(F.min("stop_id").alias("stop_id"))
-    later = rows.agg((F.max("snapshot_timestamp") + F.expr("interval 1 day")).alias("snapshot_timestamp"))
-    heartbeat = with_bounds(later, stop).select(
-        *[F.col(c) if c in ("snapshot_timestamp", "stop_id") else F.lit(None).cast(rows.schema[c].dataType).alias(c) for c in columns]
-    )
-    rows.unionByName(heartbeat).write.parquet(source)
-    stream = streams.area_hours(streams.read_snapshots(t.spark, source, rows.schema), t.stop_area_map)
-    streams.run_available(stream, target, checkpoint)
-    return t.spark.read.parquet(target).drop("approx_trip_count", "approx_stop_count")
+    target, store, checkpoint = (scratch_path(t.spark, f"hours-{part}") for part in ("out", "rows", "state"))
+    columns = ("entity_id", "stop_sequence", "snapshot_timestamp", "route_id", "trip_id", "stop_id", "arrival_delay_seconds", "departure_delay_seconds")
+    for source, schema in two_deliveries(t, t.trip_updates, columns):
+        stream = streams.read_snapshots(t.spark, source, schema, files_per_batch=2)
+        streams.run_area_hours(stream, t.stop_area_map, store, target, checkpoint, columns)
+    return t.spark.read.parquet(target)
 
 
 @query(
@@ -1040,10 +1039,7 @@ def stream_area_hour(t):
     f"select distinct entity_id, stop_sequence, {text('snapshot_timestamp')} from trip_updates",
 )
 def stream_dedup(t):
-    source, target, checkpoint = (scratch_path(t.spark, f"dedup-{part}") for part in ("in", "out", "state"))
-    rows = t.trip_updates.select("entity_id", "stop_sequence", "snapshot_timestamp")
-    for _ in range(2):
-        rows.write.mode("append").parquet(source)
-    stream = streams.drop_redelivered(streams.read_snapshots(t.spark, source, rows.schema))
-    streams.run_available(stream, target, checkpoint)
-    return t.spark.read.parquet(target)
+    store, checkpoint = (scratch_path(t.spark, f"dedup-{part}") for part in ("rows", "state"))
+    for source, schema in two_deliveries(t, t.trip_updates, ("entity_id", "stop_sequence", "snapshot_timestamp")):
+        streams.run_deduplicated(streams.read_snapshots(t.spark, source, schema), store, checkpoint)
+    return t.spark.read.parquet(store).select("entity_id", "stop_sequence", "snapshot_timestamp")

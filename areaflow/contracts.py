@@ -206,18 +206,18 @@ GROUPS = {
 }
 
 
+#: Every name that stands for datasets: groups, single datasets, and "all".
+DATASETS = {"all": tuple(CONTRACTS), **GROUPS, **{name: (name,) for name in CONTRACTS}}
+
+
 def get_contract(name: str) -> Contract:
-    if name not in CONTRACTS:
-        raise KeyError(f"Unknown dataset: {name}")
+    """The contract of one dataset; KeyError for any other name."""
     return CONTRACTS[name]
 
 
 def resolve_datasets(name: str) -> tuple[str, ...]:
-    """Dataset names of a group, of 'all', or of a single dataset."""
-    if name == "all":
-        return tuple(CONTRACTS)
-    if name in GROUPS:
-        return GROUPS[name]
-    if name in CONTRACTS:
-        return (name,)
-    raise ValueError(f"Unknown dataset group or dataset: {name}")
+    """The datasets that a name stands for (see DATASETS)."""
+    listed = DATASETS.get(name)
+    if listed is None:
+        raise ValueError(f"{name!r} is none of {', '.join(DATASETS)}")
+    return listed

@@ -8,12 +8,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from areaflow.plans.pipeline import Pipeline
-from areaflow.runtime import spread
 
 # name -> (source tables and filter, select list).
 DERIVED = {
     "areas": (
-        "{nation} where n_nationkey < 25",
+        "{nation}",
         """cast(200000000+n_nationkey as string) as area_code, n_name as area_name,
         cast(n_nationkey % 5 as double) as x0, cast(floor(n_nationkey / 5) as double) as y0""",
     ),
@@ -84,8 +83,6 @@ DERIVED = {
 
 
 
-# The tables that grow into facts, with the key to spread their rows by when they come in one piece.
-FACT_KEYS = {"lineitem": ("l_orderkey",), "orders": ("o_orderkey",), "events": ("event_id",)}
 
 RINGS = """array(array(named_struct('x', x0, 'y', y0), named_struct('x', x0 + 1, 'y', y0),
     named_struct('x', x0 + 1, 'y', y0 + 1), named_struct('x', x0, 'y', y0 + 1)))"""
@@ -104,8 +101,7 @@ class Tables:
         self.spark, self.sf_dir = spark, sf_dir.rstrip("/")
 
     def given(self, name: str) -> DataFrame:
-        table = self.spark.read.parquet(f"{self.sf_dir}/{name}.parquet")
-        return spread(table, *FACT_KEYS[name]) if name in FACT_KEYS else table
+        return self.spark.read.parquet(f"{self.sf_dir}/{name}.parquet")
 
     def derived(self, name: str) -> DataFrame:
         source, columns = DERIVED[name]

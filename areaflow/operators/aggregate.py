@@ -19,16 +19,44 @@ def rate(part: Column, whole: Column) -> Column:
     return part.cast("double") / F.nullif(whole.cast("double"), F.lit(0.0))
 
 
+VISIT = ("trip_id", "stop_id")
+
+
+def visits(rows: DataFrame, keys: tuple[str, ...], late: Column, flag: Column, *more: Column) -> DataFrame:
+    """Observations of one trip at one stop added up by the keys. Snapshots repeat each visit many times, so the exact
+    distinct counts above this work on far fewer rows than there are observations."""
+    sums = [f(c).alias(f"_{n}_{c[:3]}") for c in ("arrival_delay_seconds", "departure_delay_seconds") for n, f in (("sum", F.sum), ("count", F.count), ("max", F.max))]
+    return rows.groupBy(*keys, *VISIT).agg(
+        F.count(F.lit(1)).alias("_rows"),
+        F.count_if(late).alias("_late"),
+        F.count_if(flag).alias("_flagged"),
+        *sums,
+        *more,
+    )
+
+
+def mean(name: str) -> Column:
+    """Average of a delay column from the sums of visits, null without values."""
+    return rate(F.sum(f"_sum_{name}"), F.sum(f"_count_{name}"))
+
+
+def delay_visits(rows: DataFrame, *keys: str) -> DataFrame:
+    """Visits of classified delays."""
+    major = F.col("delay_severity_band") == "major_delay"
+    return visits(rows, keys, F.col("is_delayed"), major, F.max("max_delay_seconds").alias("_max_delay"))
+
+
 def delay_measures(count_name: str) -> list[Column]:
+    """Measures over delay visits."""
     return [
-        F.count(F.lit(1)).alias(count_name),
+        F.sum("_rows").alias(count_name),
         F.count_distinct("trip_id").alias("distinct_trip_count"),
         F.count_distinct("stop_id").alias("distinct_stop_count"),
-        F.count_if("is_delayed").alias("delayed_observation_count"),
-        F.avg("arrival_delay_seconds").alias("avg_arrival_delay_seconds"),
-        F.avg("departure_delay_seconds").alias("avg_departure_delay_seconds"),
-        F.max("max_delay_seconds").alias("max_delay_seconds"),
-        F.count_if(F.col("delay_severity_band") == "major_delay").alias("major_delay_count"),
+        F.sum("_late").alias("delayed_observation_count"),
+        mean("arr").alias("avg_arrival_delay_seconds"),
+        mean("dep").alias("avg_departure_delay_seconds"),
+        F.max("_max_delay").alias("max_delay_seconds"),
+        F.sum("_flagged").alias("major_delay_count"),
     ]
 
 
@@ -39,26 +67,11 @@ def alert_measures() -> list[Column]:
     ]
 
 
-def unique_area_names(stop_map: DataFrame) -> DataFrame | None:
-    """One name per area of the map, or None if some area goes by several names (checked by a count)."""
-    names = stop_map.where("is_matched = true").groupBy("area_code", "area_name").agg(F.count(F.lit(1)).alias("_n"))
-    repeated = names.groupBy("area_code").agg(F.count(F.lit(1)).alias("_n")).where("_n > 1")
-    return names.select("area_code", "area_name") if repeated.isEmpty() else None
-
-
-def area_hour_trips(delays: DataFrame, area_names: DataFrame | None = None) -> DataFrame:
-    """Delay measures by date, hour and area, over observations with an area.
-
-    The area name is the largest one among the observations. A text maximum makes Spark sort all rows
-    for the aggregate; given unique_area_names() it is joined afterwards instead, and Spark hashes.
-    """
-    rows = delays.where(F.col("area_code").isNotNull())
-    measures = delay_measures("observation_count")
-    if area_names is None:
-        return rows.groupBy(*AREA_HOUR).agg(F.max("area_name").alias("area_name"), *measures)
-    grouped = rows.groupBy(*AREA_HOUR).agg(*measures)
-    named = lookup_join(grouped, area_names, "area_code")
-    return named.select(*AREA_HOUR, "area_name", *grouped.columns[len(AREA_HOUR) :])
+def area_hour_trips(delays: DataFrame) -> DataFrame:
+    """Delay measures by date, hour and area, over observations with an area; the area name is the largest one among
+    the observations."""
+    rows = delay_visits(delays.where(F.col("area_code").isNotNull()), *AREA_HOUR, "area_name")
+    return rows.groupBy(*AREA_HOUR).agg(F.max("area_name").alias("area_name"), *delay_measures("observation_count"))
 
 
 def area_hour_alerts(alerts: DataFrame) -> DataFrame:
@@ -69,7 +82,7 @@ def area_hour_alerts(alerts: DataFrame) -> DataFrame:
 def route_day_trips(delays: DataFrame) -> DataFrame:
     """Delay measures by date and route, over observations with a route."""
     rows = delays.where(F.col("route_id").isNotNull()).withColumnRenamed("snapshot_date", "service_date")
-    return rows.groupBy(*ROUTE_DAY).agg(*delay_measures("observed_trip_update_rows"))
+    return delay_visits(rows, *ROUTE_DAY).groupBy(*ROUTE_DAY).agg(*delay_measures("observed_trip_update_rows"))
 
 
 def route_day_alerts(alerts: DataFrame) -> DataFrame:
@@ -110,11 +123,13 @@ def route_area_coverage(
     rows = covered_stop_times(stop_times, trips, stop_map).withColumn(
         "stop_sequence", to_whole(sequence) if is_text else sequence.cast("bigint")
     )
-    grouped = rows.groupBy("route_id", "area_code", "area_name").agg(
+    keys, first, last = ("route_id", "area_code", "area_name"), F.min("stop_sequence"), F.max("stop_sequence")
+    stops = rows.groupBy(*keys, *VISIT).agg(first.alias("_first"), last.alias("_last"))
+    grouped = stops.groupBy(*keys).agg(
         F.count_distinct("stop_id").alias("stop_count_in_area"),
         F.count_distinct("trip_id").alias("trip_count_serving_area"),
-        F.min("stop_sequence").alias("first_stop_sequence"),
-        F.max("stop_sequence").alias("last_stop_sequence"),
+        F.min("_first").alias("first_stop_sequence"),
+        F.max("_last").alias("last_stop_sequence"),
     )
     names = routes.select("route_id", "route_short_name", "route_long_name", "route_type").distinct()
     return lookup_join(grouped, names, "route_id").select(
@@ -148,21 +163,23 @@ def observations_with_area(trip_updates: DataFrame, stop_map: DataFrame) -> Data
 
 def observation_base(trip_updates: DataFrame, stop_map: DataFrame) -> DataFrame:
     """Observations by date, hour and area, with the group of no area kept."""
-    rows = observations_with_area(trip_updates, stop_map)
     late = is_late(F.col("arrival_delay_seconds")) | is_late(F.col("departure_delay_seconds"))
     time = F.col("snapshot_timestamp")
-    return rows.groupBy(
-        F.to_date(time).cast("string").alias("snapshot_date"), F.hour(time).alias("snapshot_hour"), "area_code", "area_name"
-    ).agg(
-        F.count("entity_id").alias("observation_count"),
+    rows = observations_with_area(trip_updates, stop_map).withColumns(
+        {"snapshot_date": F.to_date(time).cast("string"), "snapshot_hour": F.hour(time)}
+    )
+    keys = ("snapshot_date", "snapshot_hour", "area_code", "area_name")
+    counted = visits(rows, keys, late, ~F.col("is_matched"), F.count("entity_id").alias("_entities"))
+    return counted.groupBy(*keys).agg(
+        F.sum("_entities").alias("observation_count"),
         F.count_distinct("trip_id").alias("distinct_trip_count"),
         F.count_distinct("stop_id").alias("distinct_stop_count"),
-        F.count_if(late).alias("delayed_observation_count"),
-        F.avg("arrival_delay_seconds").alias("avg_arrival_delay_seconds"),
-        F.avg("departure_delay_seconds").alias("avg_departure_delay_seconds"),
-        F.max("arrival_delay_seconds").alias("max_arrival_delay_seconds"),
-        F.max("departure_delay_seconds").alias("max_departure_delay_seconds"),
-        F.count_if(~F.col("is_matched")).alias("unmatched_stop_observation_count"),
+        F.sum("_late").alias("delayed_observation_count"),
+        mean("arr").alias("avg_arrival_delay_seconds"),
+        mean("dep").alias("avg_departure_delay_seconds"),
+        F.max("_max_arr").alias("max_arrival_delay_seconds"),
+        F.max("_max_dep").alias("max_departure_delay_seconds"),
+        F.sum("_flagged").alias("unmatched_stop_observation_count"),
     )
 
 

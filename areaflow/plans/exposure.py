@@ -48,10 +48,9 @@ def outer_measures(trips: DataFrame, alerts: DataFrame, keys: tuple[str, ...], c
     )
 
 
-def outer_exposure(delays: DataFrame, alerts: DataFrame, area_names: DataFrame | None = None) -> DataFrame:
+def outer_exposure(delays: DataFrame, alerts: DataFrame) -> DataFrame:
     """Trip and alert measures per date, hour and area."""
-    trips = area_hour_trips(delays, area_names)
-    return outer_measures(trips, area_hour_alerts(alerts), AREA_HOUR, "observation_count")
+    return outer_measures(area_hour_trips(delays), area_hour_alerts(alerts), AREA_HOUR, "observation_count")
 
 
 def outer_route_day(delays: DataFrame, alerts: DataFrame) -> DataFrame:
@@ -65,11 +64,9 @@ def area_counts(stop_map: DataFrame, coverage: DataFrame) -> DataFrame:
     return both.select("area_code", _zero("stop_count"), _zero("route_count"))
 
 
-def area_hour_exposure(
-    delays: DataFrame, alerts: DataFrame, counts: DataFrame, area_names: DataFrame | None = None
-) -> DataFrame:
+def area_hour_exposure(delays: DataFrame, alerts: DataFrame, counts: DataFrame) -> DataFrame:
     """Exposure per date, hour and area with the area's routes and stops (of area_counts())."""
-    exposure = outer_exposure(delays, alerts, area_names)
+    exposure = outer_exposure(delays, alerts)
     named = counts.withColumnsRenamed({"stop_count": "stops_in_area", "route_count": "routes_serving_area"})
     joined = lookup_join(exposure, named, "area_code")
     return joined.select(*exposure.columns, _zero("routes_serving_area"), _zero("stops_in_area"))

@@ -1,4 +1,4 @@
-"""The chain from input tables to the score table, with its shared intermediate tables written once."""
+"""The chain from input tables to the score table."""
 
 from __future__ import annotations
 
@@ -7,7 +7,7 @@ from functools import cached_property
 
 from pyspark.sql import DataFrame
 
-from areaflow.operators.aggregate import route_area_coverage, unique_area_names
+from areaflow.operators.aggregate import route_area_coverage
 from areaflow.plans.context import area_context
 from areaflow.plans.events import alert_events, delay_events
 from areaflow.plans.exposure import area_counts, area_hour_exposure, route_day_disruption
@@ -18,8 +18,8 @@ from areaflow.runtime import materialize
 
 @dataclass(frozen=True, eq=False)
 class Pipeline:
-    """Tables of one run. Coverage, counts, exposure and context feed several later steps and are a tiny
-    part of the facts, so each is computed once and written; everything else stays lazy."""
+    """Tables of one run, all lazy. Coverage, counts, exposure and context feed several later steps; with `store` set
+    each is written once to the shared scratch folder (see runtime.materialize) and read back."""
 
     trip_updates: DataFrame
     service_alerts: DataFrame
@@ -29,6 +29,10 @@ class Pipeline:
     trips: DataFrame
     stop_times: DataFrame
     area_index: DataFrame
+    store: bool = False
+
+    def once(self, df: DataFrame, label: str) -> DataFrame:
+        return materialize(df, label) if self.store else df
 
     @cached_property
     def delays(self) -> DataFrame:
@@ -41,23 +45,19 @@ class Pipeline:
     @cached_property
     def coverage(self) -> DataFrame:
         rows = route_area_coverage(self.stop_times, self.trips, self.stop_area_map, self.routes)
-        return materialize(rows, "coverage")
+        return self.once(rows, "coverage")
 
     @cached_property
     def counts(self) -> DataFrame:
-        return materialize(area_counts(self.stop_area_map, self.coverage), "counts")
-
-    @cached_property
-    def area_names(self) -> DataFrame | None:
-        return unique_area_names(self.stop_area_map)
+        return self.once(area_counts(self.stop_area_map, self.coverage), "counts")
 
     @cached_property
     def exposure(self) -> DataFrame:
-        return materialize(area_hour_exposure(self.delays, self.alerts, self.counts, self.area_names), "exposure")
+        return self.once(area_hour_exposure(self.delays, self.alerts, self.counts), "exposure")
 
     @cached_property
     def context(self) -> DataFrame:
-        return materialize(area_context(self.area_index, self.counts), "context")
+        return self.once(area_context(self.area_index, self.counts), "context")
 
     @cached_property
     def components(self) -> DataFrame:

@@ -7,12 +7,6 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
-
-MAX_BROADCAST_ROWS = 500_000
-MAX_BROADCAST_BYTES = 64 * 1024 * 1024
-SALTS = 16
-
 
 def get_session(app: str = "areaflow", master: str | None = None, **conf: str) -> SparkSession:
     """Session with the settings the operators rely on; cluster sizing stays with spark-submit."""
@@ -49,55 +43,26 @@ def materialize(df: DataFrame, label: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def fits_broadcast(
-    df: DataFrame, max_rows: int = MAX_BROADCAST_ROWS, max_bytes: int = MAX_BROADCAST_BYTES
-) -> bool:
-    """Measure whether a table is small enough to broadcast, looking at max_rows + 1 rows at most."""
-    width = F.lit(0)
-    for field in df.schema:
-        if isinstance(field.dataType, (T.StringType, T.ArrayType, T.StructType)):
-            text = F.col(f"`{field.name}`").cast("string")
-            width = width + F.coalesce(F.octet_length(text), F.lit(0)) + 8
-        else:
-            width = width + 8
-    row = df.limit(max_rows + 1).agg(F.count(F.lit(1)).alias("n"), F.sum(width).alias("bytes")).first()
-    return row["n"] <= max_rows and (row["bytes"] or 0) <= max_bytes
-
-
 def lookup_join(
-    fact: DataFrame,
-    lookup: DataFrame,
-    on: str | list[str],
-    how: str = "left",
-    condition: Column | None = None,
-    small: bool | None = None,
-    salts: int = SALTS,
+    fact: DataFrame, lookup: DataFrame, on: str | list[str], how: str = "left", condition: Column | None = None
 ) -> DataFrame:
     """Join a fact table to a lookup table on equal column names and an optional further condition.
 
-    A lookup that measures small (or was measured before) is broadcast. A larger one is joined by
-    shuffle with a salt: the lookup is repeated once per salt value and the fact rows of a hot key (or
-    of the null key) go to as many tasks. The salt is the input partition number, which a retried task
-    gets again.
+    One plan at every size: adaptive execution broadcasts a lookup whose run-time size allows it, and splits the
+    tasks of hot keys. Fact rows with a null key match nothing; in an outer join they spread over as many tasks as
+    there are input partitions.
     """
     keys = [on] if isinstance(on, str) else list(on)
-    if fits_broadcast(lookup) if small is None else small:
-        left, right = fact, F.broadcast(lookup)
-    else:
-        left = fact.withColumn("_salt", F.pmod(F.spark_partition_id(), F.lit(salts)))
-        right = lookup.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
-        keys.append("_salt")
+    if how == "left":
+        null = reduce(lambda a, b: a | b, [F.col(k).isNull() for k in keys])
+        fact = fact.withColumn("_spread", F.when(null, F.spark_partition_id() + 1).otherwise(0))
+        lookup = lookup.withColumn("_spread", F.lit(0))
+        keys.append("_spread")
     if condition is None:
-        return left.join(right, keys, how).drop("_salt")
-    right = right.withColumnsRenamed({k: f"_lookup_{k}" for k in keys})
+        return fact.join(lookup, keys, how).drop("_spread")
+    lookup = lookup.withColumnsRenamed({k: f"_lookup_{k}" for k in keys})
     equal = reduce(lambda a, b: a & b, [F.col(k) == F.col(f"_lookup_{k}") for k in keys])
-    return left.join(right, equal & condition, how).drop("_salt", *[f"_lookup_{k}" for k in keys])
-
-
-def spread(df: DataFrame, *keys: str) -> DataFrame:
-    """Split a table that comes in fewer partitions than there are cores (one file, one row group)."""
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores, *keys) if df.rdd.getNumPartitions() < cores else df
+    return fact.join(lookup, equal & condition, how).drop("_spread", *[f"_lookup_{k}" for k in keys])
 
 
 def with_bounds(df: DataFrame, bounds: DataFrame) -> DataFrame:

@@ -12,13 +12,18 @@ from areaflow.functions.parsing import path_part, snapshot_time_of
 SNAPSHOT_PARTS = ("feed", "year", "month", "day", "hour", "minute")
 
 
-def scan_all_string(spark: SparkSession, *paths: str) -> DataFrame:
+#: Fields may be quoted, with doubled quotes and, where text is free, line breaks inside.
+CSV_FORM = {"header": True, "quote": '"', "escape": '"'}
+
+
+def scan_all_string(spark: SparkSession, *paths: str, free_text: bool = True) -> DataFrame:
     """Read header text files as strings, aligned by column name.
 
     Paths that share a header can be given as one glob; differing headers as separate paths. Empty
-    fields become empty strings, while a column that a file lacks gives null.
+    fields become empty strings, while a column that a file lacks gives null. Files without line breaks in fields
+    can be read with free_text=False, which lets several tasks share a file.
     """
-    frames = [spark.read.option("header", True).csv(path).na.fill("") for path in paths]
+    frames = [spark.read.options(**CSV_FORM, multiLine=free_text).csv(path).na.fill("") for path in paths]
     return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), frames)
 
 
@@ -27,15 +32,17 @@ def with_source_label(df: DataFrame, column: str = "source_file") -> DataFrame:
     return df.withColumn(column, F.col("_metadata.file_path"))
 
 
-def latest_load(spark: SparkSession, root: str, partition: str = "load_date") -> DataFrame:
-    """All-string rows of the newest load below root. The newest value comes from the file listing, so
-    only its directory is read."""
+def latest_load(spark: SparkSession, root: str, name: str | None = None, partition: str = "load_date") -> DataFrame:
+    """All-string rows of the newest load below root: of the file (or folder of parts) `name` in the newest load
+    that holds it, or of all files of the newest load. The newest value comes from the file listing, so only these files are read."""
     paths = snapshot_files(spark, root)
+    if name is not None:
+        paths = paths.where(F.array_contains(F.split("file_path", "/"), name))
     newest = paths.agg(F.max(path_part(F.col("file_path"), partition, "[^/]+")).alias("newest")).first()["newest"]
     if newest is None:
-        raise FileNotFoundError(f"No {partition}= directory below {root}")
-    rows = spark.read.option("header", True).csv(f"{root}/{partition}={newest}").na.fill("")
-    return rows.withColumn(partition, F.lit(newest))
+        raise FileNotFoundError(f"No {partition}= directory with {name or 'files'} below {root}")
+    path = f"{root}/{partition}={newest}" + (f"/{name}" if name else "")
+    return spark.read.options(**CSV_FORM, multiLine=True).csv(path).na.fill("").withColumn(partition, F.lit(newest))
 
 
 def scan_snapshots(spark: SparkSession, root: str, feed: str, columns: str) -> DataFrame:
@@ -44,7 +51,7 @@ def scan_snapshots(spark: SparkSession, root: str, feed: str, columns: str) -> D
     The feed filter prunes directories. Headers must match the given columns (a DDL list).
     """
     full = f"{columns}, feed string, year int, month int, day int, hour int, minute int"
-    files = spark.read.schema(full).option("basePath", root).option("header", True).option("enforceSchema", False)
+    files = spark.read.schema(full).option("basePath", root).options(**CSV_FORM, multiLine=True, enforceSchema=False)
     return files.csv(root).where(F.col("feed") == feed)
 
 

@@ -62,7 +62,7 @@ def main() -> int:
 
     sf_dir = sys.argv[1] if len(sys.argv) > 1 else "/root/testdata/sf0.01"
     wanted = sys.argv[2:]
-    spark = get_session(master="local[8]", spark__sql__shuffle__partitions="8", spark__ui__enabled="false", spark__ui__showConsoleProgress="false")
+    spark = get_session(master="local[4]", spark__sql__shuffle__partitions="8", spark__ui__enabled="false", spark__ui__showConsoleProgress="false")
     spark.sparkContext.setLogLevel("ERROR")
     con, checks, failed = connect(sf_dir), oracle_sql(), 0
     for name, build in queries().items():

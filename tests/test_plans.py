@@ -76,14 +76,10 @@ def test_repeated_stops_fan_out_like_two_left_joins(updates, spark):
     assert sorted(map(str, ours.collect())) == sorted(map(str, plain.collect()))
 
 
-def test_area_name_is_the_largest_one_with_and_without_lookup(updates, spark):
+def test_area_name_is_the_largest_one(updates, spark):
     several = spark.createDataFrame([("s1", "One", AREA, "B", True), ("s2", "Two", AREA, "A", True)], MAP)
-    assert agg.unique_area_names(several) is None
     delays = events.delay_events(updates, several)
     assert one(agg.area_hour_trips(delays))["area_name"] == "B"
-    unique = several.withColumn("area_name", F.lit("Only"))
-    delays = events.delay_events(updates, unique)
-    assert agg.area_hour_trips(delays, agg.unique_area_names(unique)).collect() == agg.area_hour_trips(delays).collect()
 
 
 ALERTS = "snapshot_timestamp timestamp, entity_id string, effect string, informed_route_id string, informed_stop_id string"

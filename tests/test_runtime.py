@@ -1,41 +1,32 @@
-"""Join helper, size check and scratch storage."""
+"""Join helper and scratch storage."""
 
 from pyspark.sql import functions as F
 
-from areaflow.runtime import fits_broadcast, lookup_join, materialize, scratch_path, spread
+from areaflow.runtime import lookup_join, materialize, scratch_path
 
 
 def rows(df):
     return sorted(map(tuple, df.collect()), key=str)
 
 
-def test_salted_join_equals_broadcast_join(spark):
+def test_lookup_join_equals_a_plain_join(spark):
     fact = spark.range(2000).select(
         F.when(F.col("id") % 3 == 0, "hot").when(F.col("id") % 7 == 0, None).otherwise(F.col("id").cast("string")).alias("k"),
         "id",
     )
-    lookup = spark.createDataFrame([("hot", 1), ("hot", 2), ("5", 3), ("x", 4)], "k string, v int")
-    for how in ("left", "inner"):
-        salted = lookup_join(fact, lookup, "k", how, small=False, salts=4)
-        assert salted.columns == ["k", "id", "v"]
-        assert rows(salted) == rows(lookup_join(fact, lookup, "k", how, small=True)) == rows(fact.join(lookup, "k", how))
+    lookup = spark.createDataFrame([("hot", 1), ("hot", 2), ("5", 3), ("x", 4), (None, 5)], "k string, v int")
+    for how in ("left", "inner", "left_semi"):
+        joined = lookup_join(fact, lookup, "k", how)
+        assert joined.columns == ["k", "id"] + ["v"] * (how != "left_semi")
+        assert rows(joined) == rows(fact.join(lookup, "k", how))
 
 
 def test_join_condition_keeps_unmatched_left_rows(spark):
     fact = spark.createDataFrame([(1, 5), (1, 50), (2, 5), (None, 5)], "k int, x int")
     lookup = spark.createDataFrame([(1, 10)], "k int, lim int")
     expected = [(1, 5, 10), (1, 50, None), (2, 5, None), (None, 5, None)]
-    for small in (True, False):
-        joined = lookup_join(fact, lookup, "k", "left", F.col("x") < F.col("lim"), small=small, salts=3)
-        assert rows(joined.select("k", "x", "lim")) == sorted(expected, key=str)
-
-
-def test_size_check(spark):
-    df = spark.range(100).select(F.repeat(F.lit("x"), 50).alias("t"))
-    assert fits_broadcast(df)
-    assert not fits_broadcast(df, max_rows=99)
-    assert not fits_broadcast(df, max_bytes=1000)
-    assert fits_broadcast(df.limit(0))
+    joined = lookup_join(fact, lookup, "k", "left", F.col("x") < F.col("lim"))
+    assert rows(joined.select("k", "x", "lim")) == sorted(expected, key=str)
 
 
 def test_materialized_table_reads_back(spark):
@@ -58,10 +49,3 @@ class Session:
 def test_scratch_follows_the_shared_folder():
     first, second = scratch_path(Session, "a"), scratch_path(Session, "a")
     assert first.startswith("hdfs:///shared/areaflow/a-") and first != second
-
-
-def test_spread_only_splits_short_tables(spark):
-    one = spark.range(10).coalesce(1)
-    assert spread(one, "id").rdd.getNumPartitions() == spark.sparkContext.defaultParallelism
-    many = spark.range(10).repartition(16)
-    assert spread(many, "id").rdd.getNumPartitions() == 16

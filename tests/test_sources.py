@@ -55,7 +55,7 @@ def test_snapshots_and_quiet_files(spark, tmp_path):
 def test_coverage_of_nothing(frame):
     row = coverage.coverage_summary(frame("feed string, snapshot_timestamp timestamp, row_count long")).first()
     assert row["total_snapshots"] == 0 and row["data_sufficiency_rating"] == "insufficient"
-    assert row["recommended_next_action"].startswith("Collect at least 7 days")
+    assert row["recommended_next_action"].startswith("Too few days")
 
 
 def test_evidence_rule(frame):
@@ -166,7 +166,7 @@ def test_run_record_is_appended(spark, frame, tmp_path):
 
 def test_export_is_one_file_with_header(spark, tmp_path):
     df = spark.range(5).repartition(3).orderBy(F.desc("id")).limit(3)
-    path = sinks.export_result(df, str(tmp_path / "report"))
+    path = sinks.export_result(df, str(tmp_path / "report"), one_file=True)
     parts = list((tmp_path / "report").glob("*.csv"))
     assert len(parts) == 1 and parts[0].read_text().split() == ["id", "4", "3", "2"]
     assert spark.read.option("header", True).csv(path).count() == 3
@@ -181,7 +181,21 @@ def test_stream_reads_each_file_once_and_drops_redelivered_rows(spark, tmp_path)
     )
     for _ in range(2):
         rows.write.mode("append").parquet(source)
-        stream = streams.drop_redelivered(streams.read_snapshots(spark, source, rows.schema))
-        streams.run_available(stream, out, state)
-    keys = [tuple(r) for r in spark.read.parquet(out).collect()]
+        streams.run_deduplicated(streams.read_snapshots(spark, source, rows.schema), out, state)
+    stored = spark.read.parquet(out).select("entity_id", "stop_sequence", "snapshot_timestamp")
+    keys = [tuple(r) for r in stored.collect()]
     assert len(keys) == len(set(keys)) == 6
+
+
+def test_text_with_quotes_breaks_and_outer_blanks_comes_back(spark, frame, tmp_path):
+    rows = [("1", ' pad "q", '), ("2", "two\nlines"), ("3", 'a "b"'), ("4", "")]
+    path = sinks.write_partitioned(frame("id string, t string", *rows), str(tmp_path / "t"), file_format="csv")
+    assert sorted(map(tuple, files.scan_all_string(spark, path).collect())) == rows
+
+
+def test_newest_load_of_one_file(spark, tmp_path):
+    for date, name, text in (("1", "stops.txt", "s\na"), ("1", "routes.txt", "r\nb"), ("2", "routes.txt", "r\nc")):
+        (tmp_path / f"load_date={date}").mkdir(exist_ok=True)
+        (tmp_path / f"load_date={date}" / name).write_text(text)
+    assert [tuple(r) for r in files.latest_load(spark, str(tmp_path), "stops.txt").collect()] == [("a", "1")]
+    assert [tuple(r) for r in files.latest_load(spark, str(tmp_path), "routes.txt").collect()] == [("c", "2")]

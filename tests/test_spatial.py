@@ -94,10 +94,7 @@ def test_report(spark):
     }
 
 
-def test_large_area_tables_use_the_salted_join(spark, monkeypatch):
-    from areaflow import runtime
-
-    monkeypatch.setattr(runtime, "fits_broadcast", lambda df: False)
+def test_located_points_keep_those_outside(spark):
     areas = polygons(spark, ("A", [SQUARE]))
     points = stops(spark, (1, 1), (5, 1))
     joined = spatial.located_points(points, areas, "left")
