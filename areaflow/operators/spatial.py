@@ -51,42 +51,47 @@ def _cell(degrees: Column, cell: float) -> Column:
     return F.floor(degrees / F.lit(cell)).cast("int")
 
 
-def area_cells(areas: DataFrame, cell: float = CELL_DEGREES) -> DataFrame:
-    """Areas (area_code, area_name, rings) repeated for every grid cell their bounding box touches."""
-    boxed = areas.withColumn("edges", polygon_edges(F.col("rings"))).select(
-        "area_code",
-        "area_name",
-        "edges",
-        *[
-            f(F.col(f"edges.{c}")).alias(name)
-            for name, f, c in (
-                ("min_x", F.array_min, "ax"),
-                ("max_x", F.array_max, "ax"),
-                ("min_y", F.array_min, "ay"),
-                ("max_y", F.array_max, "ay"),
-            )
-        ],
-    )
-    columns = F.sequence(_cell(F.col("min_x"), cell), _cell(F.col("max_x"), cell))
-    rows = F.sequence(_cell(F.col("min_y"), cell), _cell(F.col("max_y"), cell))
-    return boxed.withColumn("cell_x", F.explode(columns)).withColumn("cell_y", F.explode(rows))
+def area_boxes(areas: DataFrame) -> DataFrame:
+    """Areas with edges, bounding box and an id of the polygon (area codes may have several)."""
+    bounds = (("min_x", F.array_min, "ax"), ("max_x", F.array_max, "ax"), ("min_y", F.array_min, "ay"), ("max_y", F.array_max, "ay"))
+    boxed = areas.select("area_code", "area_name", F.xxhash64("area_code", "area_name", "rings").alias("polygon"), polygon_edges(F.col("rings")).alias("edges"))
+    return boxed.select("*", *[f(F.col(f"edges.{c}")).alias(name) for name, f, c in bounds])
+
+
+def cells_of(low: str, high: str, cell: float) -> Column:
+    return F.explode(F.sequence(_cell(F.col(low), cell), _cell(F.col(high), cell)))
+
+
+def area_cells(boxes: DataFrame, cell: float = CELL_DEGREES) -> DataFrame:
+    """Polygons without their edges for every grid cell that the bounding box touches."""
+    return boxes.drop("edges").withColumn("cell_x", cells_of("min_x", "max_x", cell)).withColumn("cell_y", cells_of("min_y", "max_y", cell))
+
+
+def area_bands(boxes: DataFrame, cell: float = CELL_DEGREES) -> DataFrame:
+    """Polygons by grid row, each with only the edges that reach into the row: those that a test of a point there
+    looks at. An edge is repeated for the rows that it crosses, not for the cells of the box."""
+    rows = boxes.select("polygon", "edges", cells_of("min_y", "max_y", cell).alias("cell_y"))
+    reaches = lambda e: (_cell(F.least(e["ay"], e["by"]), cell) <= F.col("cell_y")) & (_cell(F.greatest(e["ay"], e["by"]), cell) >= F.col("cell_y"))
+    return rows.select("polygon", "cell_y", F.filter("edges", reaches).alias("edges"))
 
 
 def located_points(points: DataFrame, areas: DataFrame, how: str = "inner", cell: float = CELL_DEGREES) -> DataFrame:
     """Points (with stop_lat, stop_lon) joined to the areas they lie strictly within.
 
-    Points and areas meet on their grid cell, so the join is an equi-join; the bounding box and then the
-    polygon test are conditions of the same join. A crowded cell is spread over several tasks by the
-    join helper. A left join keeps points outside all areas.
+    Each place is looked up once: places meet bounding boxes on their grid cell (an equi-join without geometry),
+    then the edges of the box's grid row decide. A left join keeps points outside all areas.
     """
     x, y = F.col("_x"), F.col("_y")
-    placed = points.withColumns(
-        {"_x": F.col("stop_lon").try_cast("double"), "_y": F.col("stop_lat").try_cast("double")}
-    ).withColumns({"cell_x": _cell(x, cell), "cell_y": _cell(y, cell)})
-    in_box = x.between(F.col("min_x"), F.col("max_x")) & y.between(F.col("min_y"), F.col("max_y"))
-    inside = in_box & strictly_within(F.col("edges"), x, y)
-    joined = lookup_join(placed, area_cells(areas, cell), ["cell_x", "cell_y"], how, inside)
-    return joined.select(*points.columns, "area_code", "area_name")
+    placed = points.withColumns({"_x": F.col("stop_lon").try_cast("double"), "_y": F.col("stop_lat").try_cast("double")})
+    places = placed.where(x.isNotNull() & y.isNotNull()).select("_x", "_y").distinct()
+    places = places.withColumns({"cell_x": _cell(x, cell), "cell_y": _cell(y, cell)})
+    boxes = area_boxes(areas)
+    near = places.join(area_cells(boxes, cell), ["cell_x", "cell_y"])
+    near = near.where(x.between(F.col("min_x"), F.col("max_x")) & y.between(F.col("min_y"), F.col("max_y")))
+    near = near.select("_x", "_y", "cell_y", "polygon", "area_code", "area_name")
+    inside = near.join(area_bands(boxes, cell), ["polygon", "cell_y"]).where(strictly_within(F.col("edges"), x, y))
+    found = inside.select("_x", "_y", "area_code", "area_name")
+    return lookup_join(placed, found, ["_x", "_y"], how).select(*points.columns, "area_code", "area_name")
 
 
 def valid_stops(stops: DataFrame) -> DataFrame:
