@@ -7,12 +7,16 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from areaflow.llm import hmm, html_text, language, mixing, packing, quality, simhash, toxicity, vectors, warc
+from areaflow.llm import check_sql, hmm, html_text, language, mixing, packing, quality, simhash, toxicity, vectors, warc
 from areaflow.llm.common import bucket_of, saved, table
 from areaflow.runtime import scratch_path
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
-CHECK_SQL: dict[str, str] = {}
+CHECK_SQL: dict[str, str] = {
+    "op1_mixing": check_sql.mixing_sql(),
+    "op7_quality": check_sql.quality_sql(),
+    "op9_vectors": check_sql.VECTORS_SQL,
+}
 
 
 def tokenizer_path() -> str:
