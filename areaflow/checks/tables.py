@@ -16,6 +16,7 @@ from areaflow.functions.rules import ACTIONS
 from areaflow.operators import coverage, quality, standardize
 from areaflow.operators.aggregate import observation_base
 from areaflow.plans import marts
+from areaflow.plans.build import build
 from areaflow.plans.table_tests import TABLE_TESTS, run_table_tests
 from areaflow.runtime import scratch_path, with_bounds
 from areaflow.sources import feeds, files, sinks
@@ -468,7 +469,9 @@ def blank_to_null(t):
     return standardize.blanks_to_null(raw)
 
 
-MANIFEST = ("stops", "trips", "trip_updates", "stop_area_map")
+# All contracts; in the check one has no source and one fails.
+ABSENT, FAILING = "area_index", "routes"
+MANIFEST = tuple(n for n in CONTRACTS if n not in (ABSENT, FAILING))
 
 
 def manifest_sql() -> str:
@@ -478,17 +481,21 @@ def manifest_sql() -> str:
         for build in (required_sql, count_sql, all_null_sql, time_sql, coordinate_sql, delay_sql, matched_sql, duplicate_sql)
         for sql in build(name)
     )
-    return f"""select load_batch_id, dataset, row_count, cast(1 as bigint) as source_count, warnings, errors,
+    return f"""select load_batch_id, dataset, row_count, cast(dataset <> '{ABSENT}' as bigint) as source_count, cast(warnings as bigint) as warnings, cast(errors as bigint) as errors,
         cast(sum(row_count) over () as bigint) as records_loaded,
         case when sum(errors) over () = 0 then 'success' else 'completed_with_errors' end as status
         from (select '{BATCH}' as load_batch_id, dataset, max(affected) filter ("check" = 'row_count') as row_count,
             count(*) filter (severity = 'warning') as warnings, count(*) filter (severity = 'error') as errors
-            from ({rules_sql}) group by dataset)"""
+            from ({rules_sql}) group by dataset
+            union all select '{BATCH}', '{ABSENT}', 0, {int(CONTRACTS[ABSENT].allow_empty)}, {int(not CONTRACTS[ABSENT].allow_empty)}
+            union all select '{BATCH}', '{FAILING}', 0, 0, 1)"""
 
 
 @query("batch_manifest", manifest_sql())
 def batch_manifest(t):
-    return sinks.batch_manifest({name: (get_contract(name), t.derived(name), 1) for name in MANIFEST}, BATCH)
+    sources = {n: (lambda _, df=df: df) for n, (_, df) in contract_tables(t).items() if n != ABSENT}
+    sources[FAILING] = lambda spark: spark.read.parquet(scratch_path(spark, "never-written"))
+    return build(t.spark, sources, tuple(CONTRACTS), scratch_path(t.spark, "build"), BATCH).drop("message")
 
 
 @query(
@@ -888,20 +895,34 @@ def source_freshness(t):
     return reduce(DataFrame.unionByName, parts)
 
 
-@query(
-    "reconcile_counts",
-    """select dataset, s as source_row_count, o as output_row_count, o - s as delta,
+RECONCILED = {
+    "trips": ("(select count(*) from orders)", "(select count(*) from trips)"),
+    "trip_updates": ("(select count(*) from lineitem)", "(select count(*) from trip_updates where stop_id is not null)"),
+    "service_alerts": ("(select count(*) from events)", None),
+    "routes": (None, "(select count(*) from routes)"),
+    "stops": ("(select count(*) from supplier)", "(select count(*) from stops)"),
+    "stop_times": ("(select count(*) from lineitem)", "(select count(*) from stop_times)"),
+}
+
+
+def reconcile_sql() -> str:
+    """Counts of all contracts; a dataset without a source is 0 on both sides."""
+    rows = []
+    for name in CONTRACTS:
+        source, output = RECONCILED.get(name, (None, None))
+        rows.append(f"""select '{name}' as dataset, {source or 0} as s, {output if source and output else 0} as o,
+            {source is None} as missing_source, {source is not None and output is None} as missing_output""")
+    return f"""select dataset, s as source_row_count, o as output_row_count, o - s as delta,
         case when s = 0 and o = 0 then 'both_empty' when s <> o then 'mismatch' else 'match' end as status,
-        dataset = 'routes' as missing_source, dataset = 'service_alerts' as missing_output from (
-        select 'trips' as dataset, (select count(*) from orders) as s, (select count(*) from trips) as o
-        union all select 'trip_updates', (select count(*) from lineitem), (select count(*) from trip_updates where stop_id is not null)
-        union all select 'service_alerts', (select count(*) from events), 0
-        union all select 'routes', 0, 0)""",
-)
+        missing_source, missing_output from ({" union all ".join(rows)})"""
+
+
+@query("reconcile_counts", reconcile_sql())
 def reconcile_counts(t):
-    sources = {"trips": t.given("orders"), "trip_updates": t.given("lineitem"), "service_alerts": t.given("events")}
-    outputs = {"trips": t.trips, "trip_updates": t.trip_updates.na.drop(subset=["stop_id"]), "routes": t.routes}
-    return quality.reconcile_counts(quality.table_counts(sources), quality.table_counts(outputs))
+    given = {"trips": "orders", "trip_updates": "lineitem", "service_alerts": "events", "stops": "supplier", "stop_times": "lineitem"}
+    outputs = {n: t.derived(n) for n in ("trips", "routes", "stops", "stop_times")} | {"trip_updates": t.trip_updates.na.drop(subset=["stop_id"])}
+    sources = quality.table_counts({n: t.given(table) for n, table in given.items()})
+    return quality.reconcile_counts(sources, quality.table_counts(outputs), tuple(CONTRACTS))
 
 
 # Coverage

@@ -283,11 +283,15 @@ def table_counts(tables: dict[str, DataFrame]) -> DataFrame:
     return reduce(DataFrame.unionByName, counts)
 
 
-def reconcile_counts(source: DataFrame, output: DataFrame) -> DataFrame:
-    """Compare (dataset, row_count) of sources and outputs; an absent side counts as zero rows."""
+def reconcile_counts(source: DataFrame, output: DataFrame, names: tuple[str, ...] = ()) -> DataFrame:
+    """Compare (dataset, row_count) of sources and outputs; an absent side counts as zero rows. Datasets of `names` are
+    listed even where both sides are absent."""
     both = source.withColumnRenamed("row_count", "s").join(
         output.withColumnRenamed("row_count", "o"), "dataset", "full_outer"
     )
+    if names:
+        listed = source.sparkSession.createDataFrame([(n,) for n in names], "dataset string")
+        both = listed.join(both, "dataset", "full_outer")
     source_rows, output_rows = F.coalesce("s", F.lit(0)), F.coalesce("o", F.lit(0))
     # A dataset without any source is reported as empty on both sides and only flagged as missing.
     compared = F.when(F.col("s").isNull(), 0).otherwise(output_rows)
