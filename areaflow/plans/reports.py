@@ -179,7 +179,7 @@ def hourly_marts(pattern: DataFrame) -> DataFrame:
     return pattern.orderBy("snapshot_hour")
 
 
-def data_sufficiency(scores: DataFrame) -> DataFrame:
+def data_sufficiency(scores: DataFrame, rated: bool = True) -> DataFrame:
     """Days, hours, rows, areas and observations of the score table, and the rating of the days."""
     counts = scores.agg(
         F.count_distinct("snapshot_date").alias("days_in_mart"),
@@ -188,4 +188,4 @@ def data_sufficiency(scores: DataFrame) -> DataFrame:
         F.count_distinct("area_code").alias("area_count"),
         F.sum("observation_count").alias("total_observations"),
     )
-    return counts.withColumn("data_sufficiency", sufficiency(F.col("days_in_mart")))
+    return counts.withColumn("data_sufficiency", sufficiency(F.col("days_in_mart"))) if rated else counts
