@@ -7,7 +7,7 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from areaflow.checks.models import TRIP_SQL
+from areaflow.checks.models import PATTERN_SQL, TRIP_SQL
 from areaflow.checks.registry import EXPRESSIONS, query, text
 from areaflow.contracts import CONTRACTS, get_contract, resolve_datasets
 from areaflow.fixtures import Tables
@@ -730,31 +730,45 @@ def dq_duplicate_keys(t):
     return reduce(DataFrame.unionByName, [quality.duplicate_keys(df, c) for c, df in contract_tables(t).values()])
 
 
+def others(t: Tables, check, *but: str) -> DataFrame:
+    """A rule over all contract tables except those that a check gives broken values itself."""
+    parts = [quality.run_rules(df, c, check) for n, (c, df) in contract_tables(t).items() if n not in but and check(df, c)]
+    return reduce(DataFrame.unionByName, parts)
+
+
+def others_sql(build, *but: str) -> str:
+    return "\nunion all ".join(sql for name in CONTRACTS if name not in but for sql in build(name))
+
+
 @query(
     "dq_timestamps",
-    """select 'service_alerts' as dataset, 'timestamp_parse' as "check", 'snapshot_timestamp' as "column",
+    f"""select 'service_alerts' as dataset, 'timestamp_parse' as "check", 'snapshot_timestamp' as "column",
         case when count(*) filter (event_id % 9 = 0) > 0 then 'warning' else 'passed' end as severity,
-        count(*) filter (event_id % 9 = 0) as affected from events""",
+        count(*) filter (event_id % 9 = 0) as affected from events union all {others_sql(time_sql, "service_alerts")}""",
 )
 def dq_timestamps(t):
     rows = t.given("events").selectExpr(
         "case when event_id % 9 = 0 then 'not a time' when event_id % 7 = 0 then null else cast(ts as string) end as snapshot_timestamp"
     )
-    return quality.run_rules(rows, get_contract("service_alerts"), quality.timestamps)
+    broken = quality.run_rules(rows, get_contract("service_alerts"), quality.timestamps)
+    return broken.unionByName(others(t, quality.timestamps, "service_alerts"))
 
 
-@query("dq_coordinates", coordinate_sql("stops")[0])
+@query("dq_coordinates", each(coordinate_sql))
 def dq_coordinates(t):
-    return quality.run_rules(as_text(t.stops), get_contract("stops"), quality.coordinates)
+    text = quality.run_rules(as_text(t.stops), get_contract("stops"), quality.coordinates)
+    rest = [quality.run_rules(df, c, quality.coordinates) for n, (c, df) in contract_tables(t).items() if n != "stops" and quality.coordinates(df, c)]
+    return reduce(DataFrame.unionByName, rest, text)
 
 
-@query(
-    "dq_delay_range",
-    "\nunion all ".join(delay_sql("trip_updates")).replace("arrival_delay_seconds <", "arrival_delay_seconds * 100 <").replace("arrival_delay_seconds >", "arrival_delay_seconds * 100 >"),
-)
+HUNDREDFOLD = [sql.replace("(arrival_delay_seconds <", "(arrival_delay_seconds * 100 <").replace("or arrival_delay_seconds >", "or arrival_delay_seconds * 100 >") for sql in delay_sql("trip_updates")]
+
+
+@query("dq_delay_range", "\nunion all ".join([*HUNDREDFOLD, others_sql(delay_sql, "trip_updates")]))
 def dq_delay_range(t):
     scaled = t.trip_updates.withColumn("arrival_delay_seconds", F.col("arrival_delay_seconds") * 100)
-    return quality.run_rules(scaled, get_contract("trip_updates"), quality.delay_range)
+    broken = quality.run_rules(scaled, get_contract("trip_updates"), quality.delay_range)
+    return broken.unionByName(others(t, quality.delay_range, "trip_updates"))
 
 
 @query(
@@ -837,7 +851,7 @@ TEST_TABLE = {name: SQL_TABLE.get(name, name) for name in {test.table for test i
     "hotspots": "scores",
     "area_day_summary": "scores",
     "area_multi_day_summary": "multi_day",
-    "hourly_pattern": "(select snapshot_hour, 'off_peak' as peak_period_flag from scores group by 1)",
+    "hourly_pattern": f"({PATTERN_SQL})",
     "decile_comparison": "(select decile from scores where decile is not null group by 1)",
     "route_day_mart": "route_days",
 }
