@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -75,7 +76,7 @@ def op9_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op6_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     folder = scratch_path(spark, "llm-warc")
-    folder = folder if ":" in folder.split("/")[0] else f"file://{folder}"
+    folder = re.sub(r"^(file:)?/(?!/)", "file:///", folder)  # a local path as the URI that Arrow takes
     saved(warc.write_archives(table(spark, sf_dir, "pages"), folder), "warc-archives")
     found = warc.read_archives(spark, folder)
     page = lambda c: F.try_element_at(F.split(F.col(c), ":"), F.lit(-1)).try_cast("long")
