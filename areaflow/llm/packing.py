@@ -23,7 +23,7 @@ from pyspark.sql import types as T
 #: Punctuation that always ends a run of letters, so that the letters before it can be encoded alone.
 STOPS = ".,|!?;:"
 #: Words whose ids a worker remembers; beyond that it starts anew.
-REMEMBERED = 1_200_000
+REMEMBERED = 300_000
 
 
 class WordIds:

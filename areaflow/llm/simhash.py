@@ -157,7 +157,7 @@ def linked(prints: DataFrame, heads: Column, wide: int, budget: int) -> DataFram
     """Links (a, b) between the ids of distinct fingerprints (id long, fp array of `wide` longs): a spanning star of
     every set that pairs within the budget connect, for each head."""
     values = [F.col("fp")[k].bitwiseXOR(F.lit(-(2**63))).alias(f"w{k}") for k in range(wide)]  # in unsigned order
-    rows = saved(prints.select("id", *values, F.posexplode(heads).alias("head", "at")), "simhash-heads")
+    rows = prints.select("id", *values, F.posexplode(heads).alias("head", "at"))
     full = rows.groupBy("head", "at").count().filter(F.col("count") > SUBTRIE_ROWS)
     depth = F.least(F.lit(SPLIT_BITS), F.ceil(F.log2(F.col("count") / SUBTRIE_ROWS)) + 1).cast("int")
     masks = [[m for m in range(1 << d) if m.bit_count() <= budget] for d in range(SPLIT_BITS + 1)]
