@@ -6,6 +6,7 @@ where an output column has the name of an input column, the output column replac
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -79,6 +80,13 @@ def whole_groups(batches: Iterator[pa.RecordBatch], keys: list[str], rows: int =
         yield block(held)
 
 
+def part_of(df: DataFrame, key: Column, rows: int) -> DataFrame:
+    """About `rows` rows chosen by a hash of the key, the same at every run, and never more than twice as many; each
+    task hands on its share only."""
+    parts = max(1, math.ceil(df.count() / rows))
+    return df.filter(F.pmod(F.xxhash64(key), F.lit(parts)) == 0).limit(2 * rows)
+
+
 def join_sets(root: np.ndarray, i: np.ndarray, j: np.ndarray) -> None:
     """Join the sets of the row pairs i, j, in place: root holds the smallest row of each row's set."""
     while len(i):

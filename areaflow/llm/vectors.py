@@ -24,9 +24,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from areaflow.llm.common import components, join_sets, saved, whole_groups
+from areaflow.llm.common import components, join_sets, part_of, saved, whole_groups
 
-#: Vectors that the fit takes at most, cells, subspaces and codes of each subspace.
+#: Vectors that the fit takes (about; at most twice as many), cells, subspaces and codes of each subspace.
 SAMPLE_ROWS, CELLS, SUBSPACES, CODES = 8_192, 64, 8, 64
 #: Rows of a list that meet probes in one task at a time.
 BLOCK_ROWS = 1_024
@@ -101,8 +101,8 @@ def unit(column: pa.ChunkedArray, size: int) -> np.ndarray:
 def links(nodes: DataFrame, size: int, cosine: float) -> DataFrame:
     """From distinct vectors (id, label, vector, copies): rows (id, other, n). The n of an id add up to the copies of the
     vectors linked to it, and the pairs (id, other) connect exactly what links connect."""
-    sample = nodes.orderBy(F.xxhash64("id"), "id").limit(SAMPLE_ROWS).select("vector").toArrow()
-    if not len(sample):
+    sample = part_of(nodes.select("id", "vector"), F.col("id"), SAMPLE_ROWS).toArrow().sort_by("id")
+    if not sample.num_rows:
         return nodes.select("id", F.col("id").alias("other"), F.lit(0).cast("long").alias("n")).limit(0)
     radius = math.sqrt(max(0.0, 2 - 2 * cosine))
     shared = nodes.sparkSession.sparkContext.broadcast(fit(unit(sample.column("vector"), size)))  # bounded by its parameters

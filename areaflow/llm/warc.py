@@ -21,12 +21,14 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from areaflow.llm.common import part_of
+
 #: Fixed values of the format.
 DICTIONARY_FRAME, ZSTD_FRAME = 0x184D2A5D, 0xFD2FB528
 VERSION, PROFILE = b"WARC/1.1", "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 NEEDED = ("warc-type", "warc-record-id", "warc-date", "content-length")
 DATE = "2026-01-01T00:00:00Z"
-#: Payload bytes after which a task begins the next archive; pages and bytes of the dictionary's sample at most.
+#: Payload bytes after which a task begins the next archive; pages (about) and bytes (at most) of the dictionary's sample.
 ARCHIVE_BYTES, SAMPLE_PAGES, SAMPLE_BYTES, DICTIONARY_BYTES = 8 << 20, 1_000, 8 << 20, 64 << 10
 LEVEL = 3
 
@@ -55,12 +57,11 @@ def record(key: object, url: str | None, payload: bytes, first: object, revisit:
     return head + b"\r\n" + block + b"\r\n\r\n"
 
 
-def dictionary_of(pages: DataFrame, key: str, html: str) -> bytes:
+def dictionary_of(pages: DataFrame, html: str) -> bytes:
     """A dictionary trained on a bounded sample of pages; empty if they are too few to train one."""
     sample, total = [], 0
-    chosen = pages.select(F.xxhash64(F.col(key), F.length(html)).alias("h"), html).filter(F.length(html) <= SAMPLE_BYTES // 16)
-    for r in chosen.orderBy("h").limit(SAMPLE_PAGES).collect():
-        data = r[1].encode("utf-8", "surrogatepass")
+    for r in part_of(pages.select(html), F.col(html), SAMPLE_PAGES).filter(F.length(html) <= SAMPLE_BYTES // 16).collect():
+        data = r[0].encode("utf-8", "surrogatepass")
         if total + len(data) <= SAMPLE_BYTES:
             sample.append(data)
             total += len(data)
@@ -78,7 +79,7 @@ def write_archives(pages: DataFrame, folder: str, key: str = "page_id", url: str
     smallest key are responses and the others revisits; null keys are never the smallest unless all are. A null url
     becomes the record's own name. An empty table writes nothing.
     """
-    trained = dictionary_of(pages, key, html)
+    trained = dictionary_of(pages, html)
     shared = pages.sparkSession.sparkContext.broadcast(trained)  # at most DICTIONARY_BYTES
     rows = pages.select(F.col(key).alias("key"), F.col(url).alias("url"), F.coalesce(F.col(html), F.lit("")).alias("html"))
     rows = rows.withColumn("sha", F.sha1("html"))
