@@ -179,8 +179,13 @@ def linked(prints: DataFrame, heads: Column, wide: int, budget: int) -> DataFram
             nodes = (lo, np.where(own, hi, cut), np.where(own, lo, cut), hi)
             there = (nodes[0] < nodes[1]) & (nodes[2] < nodes[3]) & (hi - lo > 1)
             walk.join(*(x[there] for x in nodes))
-            child, ids = np.flatnonzero(walk.root != np.arange(len(t))), t.column("id").to_numpy()
-            pair = [pa.array(ids[child]), pa.array(ids[walk.root[child]])]
+            # the smallest id is the centre of a star, so that the stars of different heads share their links
+            ids = t.column("id").to_numpy()
+            centre = ids.copy()
+            np.minimum.at(centre, walk.root, ids)
+            centre = centre[walk.root]
+            child = np.flatnonzero(ids != centre)
+            pair = [pa.array(ids[child]), pa.array(centre[child])]
             yield pa.RecordBatch.from_arrays(pair, names=["a", "b"])
 
     return rows.repartition(*group).sortWithinPartitions(*group, "side", *names).select(*group, "side", "id", *names).mapInArrow(run, "a long, b long")
