@@ -1,10 +1,11 @@
 """Toxicity by the nearest labelled examples: exact TF-IDF cosine over a block-max inverted index.
 
 Terms are words and word beginnings (lower-case A-Z), as insults also occur inside compounds. The vector space
-holds the terms whose document frequency is clearly higher among toxic examples; a vector is log term frequency times inverse
+holds the terms whose share of the toxic examples is a multiple of that of the others, a bound that does not depend on
+how many examples there are; a vector is log term frequency times inverse
 document frequency, of length one. The index keeps, per term, the postings in blocks of consecutive examples and
-each block's largest weight. A search adds those up to a bound for every block, opens blocks in descending order
-of their bound and stops when no bound reaches the k-th best cosine, so its result is that of comparing with
+each block's largest weight. A search adds those up to a bound for every block, opens more and more blocks in descending
+order of their bound and stops when no bound reaches the k-th best cosine, so its result is that of comparing with
 every example. Neighbours vote with weights cosine / (distance + 0.1) against one vote for the overall share of toxic
 examples, so that far neighbours alone decide nothing; votes become probabilities by a monotone fit to the
 leave-one-out votes of the examples. The fit uses a bounded sample of labelled rows; scores cover all texts.
@@ -26,10 +27,12 @@ from pyspark.sql import types as T
 from areaflow.llm.common import words_of
 
 #: Labelled rows that the fit takes at most (a random choice by hash of the key, the same at every run).
-SAMPLE_ROWS = 8_000
-#: Lengths of word beginnings that are terms, in bytes; least document frequency and least standard score of a term.
-STEMS, LEAST_DF, LEAST_Z = (4, 5, 6, 7), 12, 8.0
-NEIGHBOURS, BLOCK = 15, 64
+SAMPLE_ROWS = 12_000
+#: Lengths of word beginnings that are terms, in bytes; toxic examples that have a term at least, and the least ratio of
+#: its (smoothed) shares of toxic and other examples.
+STEMS, LEAST_TOXIC, LEAST_RATIO = (4, 5, 6, 7), 2, 4.0
+#: Neighbours that vote, examples of a block, and blocks that a search opens first.
+NEIGHBOURS, BLOCK, FIRST_BLOCKS = 15, 64, 8
 #: Score from which a text is predicted toxic.
 CUTOFF = 0.7
 
@@ -43,14 +46,14 @@ def terms_of(words: list[bytes]) -> set[bytes]:
 
 @dataclass
 class Examples:
-    """The fitted index: vocabulary with inverse document frequencies, postings by term and block, block maxima,
-    the examples' keys and labels, and the calibration steps."""
+    """The fitted index: vocabulary with inverse document frequencies, postings (examples and weights) by term, block
+    maxima, the examples' keys and labels, and the calibration steps."""
 
     vocabulary: dict[bytes, int]
     idf: np.ndarray
     labels: np.ndarray
     keys: list
-    postings: list[dict[int, tuple[np.ndarray, np.ndarray]]] = field(default_factory=list)
+    listed: list[tuple[np.ndarray, np.ndarray]] = field(default_factory=list)
     maxima: np.ndarray = None
     steps: tuple[np.ndarray, np.ndarray] = None
     without: float = 0.0
@@ -77,20 +80,21 @@ class Examples:
         weights = np.array([1 + math.log(found[i]) for i in at.tolist()]) * self.idf[at]
         return at, weights / (np.sqrt((weights**2).sum()) or 1.0)
 
+    @property
+    def postings(self) -> list[dict[int, tuple[np.ndarray, np.ndarray]]]:
+        """Per term, the postings of each block."""
+        blocks = lambda ids: np.unique(ids // BLOCK).tolist()
+        return [{b: (ids[ids // BLOCK == b] - b * BLOCK, weights[ids // BLOCK == b]) for b in blocks(ids)} for ids, weights in self.listed]
+
     def index(self, vectors: list[tuple[np.ndarray, np.ndarray]]) -> None:
-        blocks = -(-len(vectors) // BLOCK)
-        listed: list[list[tuple[int, float]]] = [[] for _ in self.vocabulary]
-        for e, (at, weights) in enumerate(vectors):
-            for t, w in zip(at.tolist(), weights.tolist()):
-                listed[t].append((e, w))
-        self.maxima = np.zeros((len(listed), blocks))
-        for t, rows in enumerate(listed):
-            self.postings.append({})
-            ids, weights = np.array([r[0] for r in rows], dtype=np.int64), np.array([r[1] for r in rows])
-            for b in np.unique(ids // BLOCK).tolist():
-                own = ids // BLOCK == b
-                self.postings[t][b] = ids[own] - b * BLOCK, weights[own]
-                self.maxima[t, b] = weights[own].max()
+        terms = np.concatenate([at for at, _ in vectors] or [np.zeros(0, dtype=np.int64)])
+        weights = np.concatenate([w for _, w in vectors] or [np.zeros(0)])
+        ids = np.repeat(np.arange(len(vectors)), [len(at) for at, _ in vectors])
+        self.maxima = np.zeros((len(self.vocabulary), -(-len(vectors) // BLOCK)))
+        np.maximum.at(self.maxima, (terms, ids // BLOCK), weights)
+        order = np.argsort(terms, kind="stable")
+        ends = np.cumsum(np.bincount(terms, minlength=len(self.vocabulary)))[:-1]
+        self.listed = list(zip(np.split(ids[order], ends), np.split(weights[order], ends))) if self.vocabulary else []
 
     def nearest(self, at: np.ndarray, weights: np.ndarray, leave: int = -1) -> list[tuple[float, int]]:
         """The NEIGHBOURS examples of largest cosine above zero, ties by position; `leave` is left out."""
@@ -98,16 +102,24 @@ class Examples:
             return []
         bounds = weights @ self.maxima[at]
         best: list[tuple[float, int]] = []
-        for b in np.argsort(-bounds, kind="stable").tolist():
-            if bounds[b] <= 0 or (len(best) == NEIGHBOURS and bounds[b] < -best[-1][0] - 1e-12):
+        order, k, step = np.argsort(-bounds, kind="stable"), 0, FIRST_BLOCKS
+        while k < len(order):
+            bound = bounds[order[k]]
+            if bound <= 0 or (len(best) == NEIGHBOURS and bound < -best[-1][0] - 1e-12):
                 break
-            cosines = np.zeros(BLOCK)
+            opened = np.zeros(len(bounds), dtype=bool)
+            opened[order[k : k + step]] = True
+            cosines = np.zeros(len(bounds) * BLOCK)
             for t, w in zip(at.tolist(), weights.tolist()):
-                if b in self.postings[t]:
-                    rows, values = self.postings[t][b]
-                    cosines[rows] += w * values
-            new = [(-float(cosines[r]), b * BLOCK + r) for r in np.flatnonzero(cosines > 0).tolist() if b * BLOCK + r != leave]
-            best = sorted(best + new)[:NEIGHBOURS]
+                rows, values = self.listed[t]
+                own = opened[rows // BLOCK]
+                cosines[rows[own]] += w * values[own]
+            if leave >= 0:
+                cosines[leave] = 0
+            near = np.flatnonzero(cosines > 0)
+            near = near[np.argsort(-cosines[near], kind="stable")[:NEIGHBOURS]]
+            best = sorted([*best, *zip((-cosines[near]).tolist(), near.tolist())])[:NEIGHBOURS]
+            k, step = k + step, 4 * step
         return [(-c, e) for c, e in best]
 
     def vote(self, found: list[tuple[float, int]]) -> float:
@@ -144,30 +156,28 @@ def fit(rows: list[tuple]) -> Examples:
     """Fit to (key, text, label) rows; of equal texts the first counts. Without rows every score is 0; without
     differing terms it is the share of toxic rows."""
     rows = list({text: (key, text, label) for key, text, label in reversed(rows)}.values())[::-1]
-    words = [words_of(text) for _, text, _ in rows]
+    words = lambda: (words_of(text) for _, text, _ in rows)  # noqa: E731  one text's words at a time
     labels = np.array([label for _, _, label in rows], dtype=np.int64)
     counts = np.array([(labels == 0).sum(), (labels == 1).sum()])
     with_toxic: Counter = Counter()
-    for w, y in zip(words, labels.tolist()):
+    for w, y in zip(words(), labels.tolist()):
         if y:
             with_toxic.update(terms_of(w))
-    likely = Examples({t: 0 for t, n in with_toxic.items() if 2 * n >= LEAST_DF}, None, labels, [])
+    likely = Examples({t: 0 for t, n in with_toxic.items() if n >= LEAST_TOXIC}, None, labels, [])
     with_other: Counter = Counter()
-    for w, y in zip(words, labels.tolist()):
+    for w, y in zip(words(), labels.tolist()):
         if not y:
             with_other.update(likely.found(w))
     chosen = []
     if counts.min() > 0:
         for t in sorted(likely.vocabulary):
             n0, n1 = with_other[t], with_toxic[t]
-            both = (n0 + n1) / len(rows)
-            if n0 + n1 >= LEAST_DF and both < 1:
-                z = (n1 / counts[1] - n0 / counts[0]) / math.sqrt(both * (1 - both) * (1 / counts[0] + 1 / counts[1]))
-                if z >= LEAST_Z:
-                    chosen.append((t, n0 + n1))
+            ratio = (n1 + 0.5) / (counts[1] + 1) / ((n0 + 0.5) / (counts[0] + 1))
+            if n0 + n1 < len(rows) and ratio >= LEAST_RATIO:
+                chosen.append((t, n0 + n1))
     idf = np.array([math.log((1 + len(rows)) / (1 + n)) + 1 for _, n in chosen])
     model = Examples({t: i for i, (t, _) in enumerate(chosen)}, idf, labels, [key for key, _, _ in rows])
-    vectors = [model.vector(w) for w in words]
+    vectors = [model.vector(w) for w in words()]
     model.index(vectors)
     votes, voted = [], []
     for e, v in enumerate(vectors):

@@ -67,3 +67,12 @@ def test_fit_without_rows_or_without_one_label():
     assert toxicity.fit([]).score([b"x"]) == (0.0, [])
     score, found = toxicity.fit([(1, "a", 0), (2, "b", 0)]).score([b"a"])
     assert score < 0.5 and not found
+
+
+def test_terms_do_not_depend_on_the_number_of_examples():
+    held = [r for r in texts(600, 4) if r[2]]
+    for n in (150, 600, 3000):
+        model = toxicity.fit(list(texts(n, 5)))
+        assert all(w.encode() in model.vocabulary or w[:4].encode() + b" " in model.vocabulary for w in BAD)
+        found = sum(model.score(words_of(t))[0] >= toxicity.CUTOFF for _, t, _ in held)
+        assert found >= 0.9 * len(held)
