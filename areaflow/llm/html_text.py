@@ -31,6 +31,8 @@ CLOSES = {
     "tfoot": ({"tbody", "thead", "tfoot", "tr", "td", "th", "caption"}, {"table"}), "body": ({"head"}, set()),
 }
 SCOPES = frozenset("table td th caption button object template html".split())
+#: Elements whose start tags leave an open head open.
+IN_HEAD = frozenset("head title meta link style script base noscript template".split())
 #: Elements that are nested deeper are flattened into the deepest one.
 DEEPEST = 200
 HIDDEN_STYLE = re.compile(r"display\s*:\s*none|visibility\s*:\s*(hidden|collapse)", re.IGNORECASE)
@@ -76,10 +78,10 @@ class Builder(HTMLParser):
             return
         if tag in CLOSES_P:
             self.leave({"p"}, SCOPES)
+        if self.open[-1].tag == "head" and tag not in IN_HEAD:
+            self.open.pop()
         if tag in CLOSES:
             self.leave(*CLOSES[tag])
-        elif self.open[-1].tag == "head" and tag in BLOCKS:
-            self.open.pop()
         new = Element(tag, dict(attrs))
         self.open[-1].parts.append(new)
         if tag not in VOID and len(self.open) < DEEPEST:
@@ -98,6 +100,8 @@ class Builder(HTMLParser):
                 return
 
     def handle_data(self, data: str) -> None:
+        if self.open[-1].tag == "head" and data.strip(" \t\n\r\f"):
+            self.open.pop()
         self.open[-1].parts.append(data)
 
 

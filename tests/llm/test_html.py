@@ -46,3 +46,14 @@ def test_table_of_pages(frame):
     got = [r["visible_text"] for r in html_text.extract(pages).collect()]
     assert got == [None, "", "x", "x"]
     assert html_text.extract(pages.limit(0)).count() == 0
+
+
+def test_text_and_inline_elements_end_an_open_head():
+    from areaflow.llm.html_text import visible_text
+
+    head = "<head><title>t</title> <meta charset=utf-8><style>p {}</style><script>x</script>"
+    assert visible_text(head + "Hello <b>x</b>") == "Hello x"
+    for body in ("<a href=u>x</a>", "<span>x</span>", "<img alt=x>", "<br>x", "<b>x</b>"):
+        assert visible_text(head + body) == "x"
+    assert visible_text(head + "<li>x").endswith("x") and visible_text(head + "<table><tr><td>x") == "x"
+    assert visible_text(head + "</head><body>y") == "y" and visible_text(head) == ""
