@@ -30,6 +30,8 @@ LEVELS = ("domain", "lang", "source")
 
 
 def lookup(values: dict[str, object], key: Column, other: object) -> Column:
+    if not values:
+        return F.lit(other)
     pairs = [F.lit(x) for kv in values.items() for x in kv]
     return F.coalesce(F.try_element_at(F.create_map(*pairs), key), F.lit(other))
 
@@ -91,18 +93,20 @@ def mixed(
     text: str = "text",
     lang: str = "lang",
     source: str = "source",
+    domains: dict[str, tuple[int, tuple[str, ...]]] = DOMAINS,
+    languages: dict[str, int] = LANGUAGES,
 ) -> DataFrame:
     """The chosen documents with all their columns, mix_domain, mix_tokens, mix_copies (times it is taken) and
     mix_budget (its leaf's budget).
 
-    The budget is `share` of all tokens. Null languages and sources are nodes of their own ('' in the tree), and
+    The budget is `share` of all tokens; `domains` (weight and sources) and `languages` (weights) make the tree. Null languages and sources are nodes of their own ('' in the tree), and
     sources of no domain make up another one. Texts without words count no token and are taken in every whole
     pass. Ties of the order (null or repeated keys) are broken by the text. An empty table gives no rows.
     """
     out = ("mix_domain", "mix_tokens", "mix_copies", "mix_budget")
     names = [f"_in{k}" for k in range(len(docs.columns))]
     at = lambda c: F.col(names[docs.columns.index(c)])
-    domain_of = {s: d for d, (_, listed) in DOMAINS.items() for s in listed}
+    domain_of = {s: d for d, (_, listed) in domains.items() for s in listed}
     domain = lookup(domain_of, at(source), OTHER_DOMAIN[0])
     tagged = docs.toDF(*names).select(
         "*", domain.alias("domain"), F.coalesce(at(lang), F.lit("")).alias("lang"), F.coalesce(at(source), F.lit("")).alias("source"),
@@ -110,8 +114,8 @@ def mixed(
     )
     leaves = tagged.groupBy(*LEVELS).agg(F.sum("n").alias("tokens"), F.count(F.lit(1)).alias("docs"))
     leaves = leaves.select(
-        "*", lookup({d: w for d, (w, _) in DOMAINS.items()}, F.col("domain"), OTHER_DOMAIN[1]).alias("w_domain"),
-        lookup(LANGUAGES, F.col("lang"), OTHER_LANGUAGE).alias("w_lang"), F.lit(SOURCE_WEIGHT).alias("w_source"),
+        "*", lookup({d: w for d, (w, _) in domains.items()}, F.col("domain"), OTHER_DOMAIN[1]).alias("w_domain"),
+        lookup(languages, F.col("lang"), OTHER_LANGUAGE).alias("w_lang"), F.lit(SOURCE_WEIGHT).alias("w_source"),
     )
     leaves = saved(leaves, "mixing-leaves")
     total = F.expr(f"cast((cast(sum(tokens) as decimal(30,0)) * {share[0]}) div {share[1]} as long)")

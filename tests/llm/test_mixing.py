@@ -88,3 +88,12 @@ def test_nulls_repeats_and_empty_tables(frame):
     assert mixing.mixed(docs, share=(1, 1)).filter("mix_tokens > 0").count() >= 1
     assert mixing.mixed(docs.limit(0)).count() == 0
     assert mixing.mixed(frame(schema, (1, None, None, None))).count() in (0, 1)
+
+
+def test_tree_of_other_sources(frame):
+    from areaflow.llm import mixing
+
+    docs = frame("doc_id long, text string, lang string, source string", *[(k, "a b", "xx", s) for k, s in enumerate(["n1", "n2"] * 20)])
+    domains = {"one": (3, ("n1",)), "two": (1, ("n2",))}
+    found = mixing.mixed(docs, share=(1, 2), domains=domains, languages={}).collect()
+    assert {r["source"]: (r["mix_domain"], r["mix_budget"]) for r in found} == {"n1": ("one", 30), "n2": ("two", 10)}
