@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from areaflow.llm import check_sql, hmm, html_text, language, mixing, packing, quality, simhash, toxicity, vectors, warc
+from areaflow.llm import check_sql, hmm, html_text, language, mixing, packing, quality, simhash, toxicity, vectors, warc, whitening
 from areaflow.llm.common import bucket_of, saved, table
 from areaflow.runtime import scratch_path
 
@@ -105,3 +105,9 @@ def op8_hmm(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op4_html(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html_text.extract(table(spark, sf_dir, "pages")).select("page_id", "url", "visible_text")
+
+
+@query
+def op13_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = whitening.components(whitening.whitened(table(spark, sf_dir, "embeddings")))
+    return rows.select("vec_id", "component", "n", "deviation", "whitened", "explained", "identity_error")

@@ -18,6 +18,7 @@ COLUMNS = {
     "op8_hmm": ("documents", {"doc_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score"}),
     "op9_vectors": ("embeddings", {"vec_id", "n_links", "component_id", "kept"}),
     "op10_toxicity": ("documents", {"doc_id", "held_out", "score", "predicted"}),
+    "op13_whitening": (None, {"vec_id", "component", "n", "deviation", "whitened", "explained", "identity_error"}),
 }
 
 
