@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from areaflow.llm import mixing, quality
+from areaflow.llm import decontaminate, mixing, quality, spelling
 
 WORDS = r"list_filter(regexp_split_to_array(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda x: x <> '')"
 BASE_FAILED = f"(n_words < {quality.LEAST_WORDS} or 100 * n_repeat_words > {quality.MOST_REPEATED} * n_words)"
@@ -100,3 +100,52 @@ VECTORS_SQL = """with recursive good as (select vec_id, label, cast(embedding as
     select vec_id, coalesce(n, 0) as n_links, least(vec_id, coalesce(m, vec_id)) as component_id, vec_id <= coalesce(m, vec_id) as kept
     from embeddings left join (select a, count(*) as n from links group by a) x on x.a = vec_id
     left join (select a, min(b) as m from reach group by a) y on y.a = vec_id"""
+
+
+LOWER = "translate({}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+
+
+def leaks_sql() -> str:
+    """Every window of every item joined to every run of as many words of a document, as text."""
+    words = "regexp_extract_all(" + LOWER.format("coalesce(text, '')") + r", '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
+    runs = "array_to_string(w[p:p + n - 1], ' ')"
+    return f"""with d as (select row_number() over () as r, doc_id, {words} as w from documents),
+        i as (select item_id, w, least(len(w), {decontaminate.WINDOW}) as n from (select item_id, {words} as w from benchmark) where len(w) > 0),
+        windows as (select distinct item_id, n, {runs} as s from (select *, unnest(range(1, len(w) - n + 2)) as p from i)),
+        there as (select r, p, n, {runs} as s from (select r, w, n, unnest(range(1, len(w) - n + 2)) as p from d join (select distinct n from windows) on len(w) >= n)),
+        found as (select distinct r, p, n, item_id from there join windows using (n, s)),
+        hit as (select r, count(distinct q) as n_hit from (select r, unnest(range(p, p + n)) as q from found) group by r),
+        named as (select r, count(*) as n_items, string_agg(item_id, ',' order by item_id) as names from (select distinct r, cast(item_id as varchar) as item_id from found) group by r)
+        select doc_id, cast(len(w) as bigint) as n_words, cast(coalesce(n_hit, 0) as bigint) as n_hit, cast(coalesce(n_items, 0) as bigint) as n_items,
+            sha256(coalesce(names, '')) as items_sha256, coalesce(n_hit, 0) > 0 as contaminated
+        from d left join hit using (r) left join named using (r)"""
+
+
+def spelling_sql() -> str:
+    """crc32 byte by byte; near words share a deletion: at the same place (replaced), or one is the other's (inserted)."""
+    step = "case when {0} & 1 = 1 then xor(3988292384, {0} >> 1) else {0} >> 1 end"
+    table = "x"
+    for _ in range(8):
+        table = f"(select list_transform(l, lambda c: {step.format('c')}) from (select {table} as l))"
+    entries = table.replace("select x as l", "select list_transform(range(0, 256), lambda c: c) as l")
+    run = LOWER.format("unnest(regexp_extract_all(coalesce(text, ''), '[A-Za-z\u00C0-\u00FF]+'))")
+    text_bytes = "list_transform(range(1, strlen(t) + 1), lambda k: cast(concat('0x', substr(hex(encode(t)), 2 * k - 1, 2)) as bigint))"
+    crc = f"xor(4294967295, list_reduce({text_bytes}, lambda c, b: xor(entries[xor(c & 255, b) + 1], c >> 8), 4294967295))"
+    less = spelling.LEAST_LENGTH - 1
+    return f"""with recursive crc as materialized (select {entries} as entries),
+        runs as (select doc_id, run, count(*) as n from (select doc_id, {run} as run from documents) group by all),
+        hashed as (select run, n, {crc} as h from (select run, n, cast(doc_id as varchar) || ':' || run as t from runs where doc_id is not null), crc
+            union all select run, n, 1 from runs where doc_id is null),
+        counted as (select word, sum(n) as n from (select n, case when h % {spelling.DROPS} = 0 then run[:h % length(run)] || run[h % length(run) + 2:] else run end as word from hashed) group by word),
+        words as materialized (select word, cast(n as bigint) as n from counted where n >= {spelling.LEAST_COUNT} and length(word) > {less}),
+        cut as (select word, n, p, word[:p - 1] || word[p + 1:] as rest from (select word, n, unnest(range(1, length(word) + 1)) as p from words)),
+        near as materialized (select distinct * from (
+            select a.word, a.n, b.word as other, b.n as other_n from cut a join cut b on a.p = b.p and a.rest = b.rest and a.word <> b.word
+            union all select a.word, a.n, b.word, b.n from cut a join words b on a.rest = b.word
+            union all select b.word, b.n, a.word, a.n from cut a join words b on a.rest = b.word)),
+        best as (select word, any_value(n) as n, count(*) as n_near, arg_min(other, (-other_n, encode(other))) as other, max(other_n) as other_n from near group by word),
+        forms as materialized (select words.word, words.n, coalesce(n_near, 0) as n_near, case when other_n >= {spelling.RATIO} * words.n then other end as form, case when other_n >= {spelling.RATIO} * words.n then other_n end as form_n
+            from words left join best using (word)),
+        ways as (select word, word as at_ from forms union all select ways.word, forms.form from ways join forms on forms.word = ways.at_ where forms.form is not null),
+        ends as (select ways.word, at_ as root from ways join forms on forms.word = ways.at_ where forms.form is null)
+        select word, form, root, n, cast(n_near as bigint) as n_near, cast(form_n as bigint) as form_n from forms join ends using (word)"""

@@ -8,7 +8,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from areaflow.llm import check_sql, hmm, html_text, language, mixing, packing, quality, simhash, toxicity, vectors, warc, whitening
+from areaflow.llm import (
+    check_sql, decontaminate, hmm, html_text, language, mixing, packing, quality, simhash, spelling, toxicity, vectors, warc, whitening,
+)
 from areaflow.llm.common import bucket_of, saved, table
 from areaflow.runtime import scratch_path
 
@@ -17,6 +19,8 @@ CHECK_SQL: dict[str, str] = {
     "op1_mixing": check_sql.mixing_sql(),
     "op7_quality": check_sql.quality_sql(),
     "op9_vectors": check_sql.VECTORS_SQL,
+    "op11_spelling": check_sql.spelling_sql(),
+    "op12_decontaminate": check_sql.leaks_sql(),
 }
 
 
@@ -107,6 +111,18 @@ def op4_html(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html_text.extract(table(spark, sf_dir, "pages")).select("page_id", "url", "visible_text")
 
 
+@query
+def op11_spelling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.variants(table(spark, sf_dir, "documents"))
+
+
+@query
+def op12_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = decontaminate.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    names = F.sha2(F.concat_ws(",", "items"), 256)
+    return found.select("doc_id", "n_words", "n_hit", F.size("items").cast("long").alias("n_items"), names.alias("items_sha256"), (F.col("n_hit") > 0).alias("contaminated"))
+
+
 @query
 def op13_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = whitening.components(whitening.whitened(table(spark, sf_dir, "embeddings")))

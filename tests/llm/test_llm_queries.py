@@ -18,6 +18,8 @@ COLUMNS = {
     "op8_hmm": ("documents", {"doc_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score"}),
     "op9_vectors": ("embeddings", {"vec_id", "n_links", "component_id", "kept"}),
     "op10_toxicity": ("documents", {"doc_id", "held_out", "score", "predicted"}),
+    "op11_spelling": (None, {"word", "form", "root", "n", "n_near", "form_n"}),
+    "op12_decontaminate": ("documents", {"doc_id", "n_words", "n_hit", "n_items", "items_sha256", "contaminated"}),
     "op13_whitening": (None, {"vec_id", "component", "n", "deviation", "whitened", "explained", "identity_error"}),
 }
 
