@@ -2,18 +2,12 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
-from functools import reduce
-
-from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import types as T
 
 from areaflow.operators.aggregate import area_hour_trips
 from areaflow.plans.events import delay_events
-
-KEYS = ("entity_id", "stop_sequence", "snapshot_timestamp")
-HOUR = ("snapshot_date", "snapshot_hour")
+from areaflow.streaming.seen import BATCH, HOUR, KEEP, KEYS, run_new_rows
 
 
 def read_snapshots(
@@ -40,61 +34,27 @@ def run_available(stream: DataFrame, path: str, checkpoint: str, mode: str = "ap
     query.awaitTermination()
 
 
-def run_batches(stream: DataFrame, checkpoint: str, handle: Callable[[DataFrame, int], None]) -> None:
-    """Hand every file that is there now to a function of (rows, batch number), batch by batch, then stop."""
-    query = stream.writeStream.foreachBatch(handle).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
-    query.awaitTermination()
-
-
-def with_hour(rows: DataFrame) -> DataFrame:
-    """Add the date and hour by which rows are stored."""
-    time = F.col("snapshot_timestamp")
-    return rows.withColumns({"snapshot_date": F.to_date(time), "snapshot_hour": F.hour(time)})
-
-
-def stored_rows(spark: SparkSession, store: str, schema: T.StructType) -> DataFrame:
-    """Rows stored so far; none before the first batch."""
-    spark.createDataFrame([], schema).write.mode("ignore").parquet(store)
-    return spark.read.schema(schema).parquet(store)
-
-
-def store_new(batch: DataFrame, store: str, keys: tuple[str, ...] = KEYS) -> DataFrame:
-    """Append the rows of a batch whose key is not stored yet, however long ago it was; returns the hours touched.
-
-    A key holds the time of its row, so only the stored hours of the batch are read. Running a batch again adds
-    nothing.
-    """
-    rows = with_hour(batch).dropDuplicates(list(keys))
-    hours = rows.select(*HOUR).distinct()
-    old = stored_rows(batch.sparkSession, store, rows.schema)
-    same_hour = reduce(lambda a, b: a & b, [old[c].eqNullSafe(hours[c]) for c in HOUR])
-    old = old.join(hours, same_hour, "left_semi").select(*[F.col(k).alias(f"_old_{k}") for k in keys])
-    same = reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(f"_old_{k}")) for k in keys])
-    rows.join(old, same, "left_anti").write.mode("append").partitionBy(*HOUR).parquet(store)
-    return hours
-
-
-def run_deduplicated(stream: DataFrame, store: str, checkpoint: str, keys: tuple[str, ...] = KEYS) -> None:
-    """Store every row once, re-delivered files or not."""
-    run_batches(stream, checkpoint, lambda batch, _: store_new(batch, store, keys) and None)
+def run_deduplicated(
+    stream: DataFrame, store: str, checkpoint: str, keys: tuple[str, ...] = KEYS, order: str | None = None, keep: int = KEEP
+) -> None:
+    """Store every row once, re-delivered files or not, however long ago a row came first (see seen.new_rows)."""
+    run_new_rows(stream, store, checkpoint, keys=keys, order=order, keep=keep)
 
 
 def run_area_hours(
-    stream: DataFrame, stop_map: DataFrame, store: str, target: str, checkpoint: str, keys: tuple[str, ...] = KEYS
-) -> None:
+    stream: DataFrame, stop_map: DataFrame, store: str, target: str, checkpoint: str,
+    keys: tuple[str, ...] = KEYS, order: str | None = None, keep: int = KEEP,
+) -> None:
     """Keep delay measures per area and hour up to date, late rows and the last hours included.
 
-    Each batch stores its new rows, then the hours it touched are computed anew from all their stored rows and
-    replace their partitions of the target. So measures equal those of a batch run, exact distinct counts too.
+    Each batch stores its new rows, then the hours that got some are computed anew from all their stored rows and
+    replace their partitions of the target; no other hour is read. So measures equal those of a batch run, exact
+    distinct counts too.
     """
 
-    def refresh(batch: DataFrame, _: int) -> None:
-        hours = store_new(batch, store, keys).withColumnsRenamed({c: f"_{c}" for c in HOUR})
-        rows = stored_rows(batch.sparkSession, store, with_hour(batch).schema)
-        same = reduce(lambda a, b: a & b, [F.col(c).eqNullSafe(F.col(f"_{c}")) for c in HOUR])
-        touched = rows.join(hours, same, "left_semi").drop(*HOUR)
-        measures = area_hour_trips(delay_events(touched, stop_map))
+    def refresh(rows: DataFrame, _: list[Row]) -> None:
+        measures = area_hour_trips(delay_events(rows.drop(*HOUR, BATCH), stop_map))
         writer = measures.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
         writer.partitionBy(*HOUR).parquet(target)
 
-    run_batches(stream, checkpoint, refresh)
+    run_new_rows(stream, store, checkpoint, refresh, keys, order, keep)
