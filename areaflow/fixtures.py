@@ -99,9 +99,13 @@ class Tables:
 
     def __init__(self, spark: SparkSession, sf_dir: str) -> None:
         self.spark, self.sf_dir = spark, sf_dir.rstrip("/")
+        self._read: dict[str, DataFrame] = {}
 
     def given(self, name: str) -> DataFrame:
-        return self.spark.read.parquet(f"{self.sf_dir}/{name}.parquet")
+        """A given table; its schema is read once."""
+        if name not in self._read:
+            self._read[name] = self.spark.read.parquet(f"{self.sf_dir}/{name}.parquet")
+        return self._read[name]
 
     def derived(self, name: str) -> DataFrame:
         source, columns = DERIVED[name]
@@ -117,6 +121,6 @@ class Tables:
     def area_polygons(self) -> DataFrame:
         return self.areas.select("area_code", "area_name", F.expr(RINGS).alias("rings"))
 
-    def pipeline(self) -> Pipeline:
+    def pipeline(self, **options: bool) -> Pipeline:
         names = ("trip_updates", "service_alerts", "stop_area_map", "stops", "routes", "trips", "stop_times", "area_index")
-        return Pipeline(**{name: self.derived(name) for name in names})
+        return Pipeline(**{name: self.derived(name) for name in names}, **options)

@@ -1,4 +1,4 @@
-"""Grouped measures. Distinct counts stay exact; Spark pre-aggregates them per task before each shuffle."""
+"""Grouped measures. Distinct counts are exact and merge (see distinct.py)."""
 
 from __future__ import annotations
 
@@ -8,6 +8,7 @@ from pyspark.sql import types as T
 
 from areaflow.functions.parsing import to_whole
 from areaflow.functions.rules import is_late
+from areaflow.operators.distinct import Ids, distinct, merged, words
 from areaflow.runtime import lookup_join
 
 AREA_HOUR = ("snapshot_date", "snapshot_hour", "area_code")
@@ -19,45 +20,80 @@ def rate(part: Column, whole: Column) -> Column:
     return part.cast("double") / F.nullif(whole.cast("double"), F.lit(0.0))
 
 
-VISIT = ("trip_id", "stop_id")
+#: The ids counted in observations, in the order of their kinds.
+STOP, TRIP = 0, 1
 
 
-def visits(rows: DataFrame, keys: tuple[str, ...], late: Column, flag: Column, *more: Column) -> DataFrame:
-    """Observations of one trip at one stop added up by the keys. Snapshots repeat each visit many times, so the exact
-    distinct counts above this work on far fewer rows than there are observations."""
-    sums = [f(c).alias(f"_{n}_{c[:3]}") for c in ("arrival_delay_seconds", "departure_delay_seconds") for n, f in (("sum", F.sum), ("count", F.count), ("max", F.max))]
-    return rows.groupBy(*keys, *VISIT).agg(
-        F.count(F.lit(1)).alias("_rows"),
-        F.count_if(late).alias("_late"),
-        F.count_if(flag).alias("_flagged"),
-        *sums,
-        *more,
-    )
+def id_of(rows: DataFrame, name: str, **marks: Column) -> Ids:
+    """The id `<name>_id`, by the column `<name>_number` where rows have it."""
+    number = F.col(f"{name}_number") if f"{name}_number" in rows.columns else None
+    return Ids(number, F.col(f"{name}_id"), marks)
+
+
+def delay_totals(rows: DataFrame, late: Column) -> dict[str, tuple[str, Column]]:
+    """Sums of observations: rows, late rows, and sum and count of both delays."""
+    one, totals = F.lit(1).cast("long"), {}
+    totals["rows"], totals["late"] = ("sum", one), ("sum", F.coalesce(late, F.lit(False)).cast("long"))
+    for name, column in (("arr", "arrival_delay_seconds"), ("dep", "departure_delay_seconds")):
+        totals[f"sum_{name}"], totals[f"count_{name}"] = ("sum", F.col(column).cast("long")), ("sum", F.col(column).isNotNull().cast("long"))
+    return totals
 
 
 def mean(name: str) -> Column:
-    """Average of a delay column from the sums of visits, null without values."""
-    return rate(F.sum(f"_sum_{name}"), F.sum(f"_count_{name}"))
+    """Average of a delay from its totals, null without values."""
+    return rate(F.sum(f"sum_{name}"), F.sum(f"count_{name}"))
 
 
-def delay_visits(rows: DataFrame, *keys: str) -> DataFrame:
-    """Visits of classified delays."""
-    major = F.col("delay_severity_band") == "major_delay"
-    return visits(rows, keys, F.col("is_delayed"), major, F.max("max_delay_seconds").alias("_max_delay"))
+#: Measures of delay_words() and how they combine.
+DELAY_MEASURES = {
+    **dict.fromkeys(("rows", "late", "sum_arr", "count_arr", "sum_dep", "count_dep", "major", "late_delay"), "sum"),
+    "max_delay": "max",
+}
+#: The number of an area name, in the order of the names.
+NAME = "area_name_number"
+#: The grain at which a pipeline stores them: every area-hour and every route-day is a union of such groups.
+DELAY_GRAIN = (*AREA_HOUR, "route_id")
 
 
-def delay_measures(count_name: str) -> list[Column]:
-    """Measures over delay visits."""
-    return [
-        F.sum("_rows").alias(count_name),
-        F.count_distinct("trip_id").alias("distinct_trip_count"),
-        F.count_distinct("stop_id").alias("distinct_stop_count"),
-        F.sum("_late").alias("delayed_observation_count"),
+def delay_words(delays: DataFrame, keys: tuple[str, ...] = DELAY_GRAIN) -> DataFrame:
+    """Classified delays by the keys, with stops and trips as words of bits (see distinct.words) and marks of the late
+    ones. Any coarser measure follows from them by merging.
+
+    Where delays number their area names in the order of the names (NAME), the largest number is a measure; else the
+    name is one more key, since the largest of a text cannot be kept in a hash aggregate.
+    """
+    late = F.col("is_delayed")
+    measures = delay_totals(delays, late) | {
+        "major": ("sum", (F.col("delay_severity_band") == "major_delay").cast("long")),
+        "late_delay": ("sum", F.when(late, F.col("max_delay_seconds")).cast("long")),
+        "max_delay": ("max", F.col("max_delay_seconds")),
+    }
+    if NAME in delays.columns:
+        measures[NAME] = ("max", F.col(NAME))
+    elif "area_code" in keys:
+        keys = (*keys, "area_name")
+    return words(delays, keys, [id_of(delays, "stop", late=late), id_of(delays, "trip", late=late)], measures)
+
+
+def merged_delays(rows: DataFrame, keys: tuple[str, ...]) -> DataFrame:
+    """Delay words at coarser keys."""
+    name = {c: "max" for c in (NAME, "area_name") if c in rows.columns}
+    return merged(rows, keys, DELAY_MEASURES | name)
+
+
+def delay_measures(rows: DataFrame, keys: tuple[str, ...], count_name: str, *more: Column) -> DataFrame:
+    """Measures by the keys, over delay words merged at those keys."""
+    return rows.groupBy(*keys).agg(
+        *more,
+        F.sum("rows").alias(count_name),
+        distinct(TRIP).alias("distinct_trip_count"),
+        distinct(STOP).alias("distinct_stop_count"),
+        F.sum("late").alias("delayed_observation_count"),
         mean("arr").alias("avg_arrival_delay_seconds"),
         mean("dep").alias("avg_departure_delay_seconds"),
-        F.max("_max_delay").alias("max_delay_seconds"),
-        F.sum("_flagged").alias("major_delay_count"),
-    ]
+        F.max("max_delay").alias("max_delay_seconds"),
+        F.sum("major").alias("major_delay_count"),
+    )
 
 
 def alert_measures() -> list[Column]:
@@ -67,11 +103,24 @@ def alert_measures() -> list[Column]:
     ]
 
 
-def area_hour_trips(delays: DataFrame) -> DataFrame:
-    """Delay measures by date, hour and area, over observations with an area; the area name is the largest one among
-    the observations."""
-    rows = delay_visits(delays.where(F.col("area_code").isNotNull()), *AREA_HOUR, "area_name")
-    return rows.groupBy(*AREA_HOUR).agg(F.max("area_name").alias("area_name"), *delay_measures("observation_count"))
+def area_hour_measures(rows: DataFrame, names: DataFrame | None = None) -> DataFrame:
+    """Delay measures by date, hour and area from delay words at that grain, of observations with an area; the area name
+    is the largest one among the observations (by its number in `names`, where delays number it)."""
+    if names is None:
+        return delay_measures(rows, AREA_HOUR, "observation_count", F.max("area_name").alias("area_name"))
+    found = lookup_join(delay_measures(rows, AREA_HOUR, "observation_count", F.max(NAME).alias(NAME)), names, NAME)
+    return found.select(*AREA_HOUR, "area_name", *[c for c in found.columns if c not in (*AREA_HOUR, "area_name", NAME)])
+
+
+def area_hours(rows: DataFrame, names: DataFrame | None = None) -> DataFrame:
+    """Delay measures by date, hour and area from stored delay words."""
+    return area_hour_measures(merged_delays(rows.where(F.col("area_code").isNotNull()), AREA_HOUR), names)
+
+
+def area_hour_trips(delays: DataFrame, names: DataFrame | None = None) -> DataFrame:
+    """Delay measures by date, hour and area, over observations with an area."""
+    found = delay_words(delays.where(F.col("area_code").isNotNull()), AREA_HOUR)
+    return area_hour_measures(found if names is not None else merged_delays(found, AREA_HOUR), names)
 
 
 def area_hour_alerts(alerts: DataFrame) -> DataFrame:
@@ -79,10 +128,20 @@ def area_hour_alerts(alerts: DataFrame) -> DataFrame:
     return alerts.where(F.col("area_code").isNotNull()).groupBy(*AREA_HOUR).agg(*alert_measures())
 
 
+def route_day_measures(rows: DataFrame) -> DataFrame:
+    """Delay measures by date and route from delay words at that grain."""
+    return delay_measures(rows.withColumnRenamed("snapshot_date", "service_date"), ROUTE_DAY, "observed_trip_update_rows")
+
+
+def route_days(rows: DataFrame) -> DataFrame:
+    """Delay measures by date and route from stored delay words, of observations with a route: hours and areas merge,
+    no observation is read."""
+    return route_day_measures(merged_delays(rows.where(F.col("route_id").isNotNull()), ("snapshot_date", "route_id")))
+
+
 def route_day_trips(delays: DataFrame) -> DataFrame:
     """Delay measures by date and route, over observations with a route."""
-    rows = delays.where(F.col("route_id").isNotNull()).withColumnRenamed("snapshot_date", "service_date")
-    return delay_visits(rows, *ROUTE_DAY).groupBy(*ROUTE_DAY).agg(*delay_measures("observed_trip_update_rows"))
+    return route_day_measures(delay_words(delays.where(F.col("route_id").isNotNull()), ("snapshot_date", "route_id")))
 
 
 def route_day_alerts(alerts: DataFrame) -> DataFrame:
@@ -103,6 +162,13 @@ def routes_per_area(coverage: DataFrame) -> DataFrame:
     return coverage.groupBy("area_code").agg(F.count_distinct("route_id").alias("route_count"))
 
 
+def served_routes(stop_times: DataFrame, trips: DataFrame, stop_map: DataFrame) -> DataFrame:
+    """Each route and area with a stop time at a matched stop, once."""
+    areas = stop_map.where("is_matched = true").select("stop_id", "area_code")
+    located = lookup_join(stop_times.select("trip_id", "stop_id"), areas, "stop_id", "inner").select("trip_id", "area_code")
+    return located.join(trips.select("trip_id", "route_id"), "trip_id").select("route_id", "area_code").distinct()
+
+
 def covered_stop_times(stop_times: DataFrame, trips: DataFrame, stop_map: DataFrame) -> DataFrame:
     """Stop times at matched stops with the trip's route; stop times without a trip keep a null route."""
     areas = stop_map.where("is_matched = true").select("stop_id", "area_code", "area_name")
@@ -123,13 +189,13 @@ def route_area_coverage(
     rows = covered_stop_times(stop_times, trips, stop_map).withColumn(
         "stop_sequence", to_whole(sequence) if is_text else sequence.cast("bigint")
     )
-    keys, first, last = ("route_id", "area_code", "area_name"), F.min("stop_sequence"), F.max("stop_sequence")
-    stops = rows.groupBy(*keys, *VISIT).agg(first.alias("_first"), last.alias("_last"))
-    grouped = stops.groupBy(*keys).agg(
-        F.count_distinct("stop_id").alias("stop_count_in_area"),
-        F.count_distinct("trip_id").alias("trip_count_serving_area"),
-        F.min("_first").alias("first_stop_sequence"),
-        F.max("_last").alias("last_stop_sequence"),
+    keys, measures = ("route_id", "area_code", "area_name"), {"first": "min", "last": "max"}
+    found = words(rows, keys, [id_of(rows, "stop"), id_of(rows, "trip")], {name: (how, F.col("stop_sequence")) for name, how in measures.items()})
+    grouped = found.groupBy(*keys).agg(
+        distinct(STOP).alias("stop_count_in_area"),
+        distinct(TRIP).alias("trip_count_serving_area"),
+        F.min("first").alias("first_stop_sequence"),
+        F.max("last").alias("last_stop_sequence"),
     )
     names = routes.select("route_id", "route_short_name", "route_long_name", "route_type").distinct()
     return lookup_join(grouped, names, "route_id").select(
@@ -169,17 +235,22 @@ def observation_base(trip_updates: DataFrame, stop_map: DataFrame) -> DataFrame:
         {"snapshot_date": F.to_date(time).cast("string"), "snapshot_hour": F.hour(time)}
     )
     keys = ("snapshot_date", "snapshot_hour", "area_code", "area_name")
-    counted = visits(rows, keys, late, ~F.col("is_matched"), F.count("entity_id").alias("_entities"))
-    return counted.groupBy(*keys).agg(
-        F.sum("_entities").alias("observation_count"),
-        F.count_distinct("trip_id").alias("distinct_trip_count"),
-        F.count_distinct("stop_id").alias("distinct_stop_count"),
-        F.sum("_late").alias("delayed_observation_count"),
+    measures = delay_totals(rows, late) | {
+        "entities": ("sum", F.col("entity_id").isNotNull().cast("long")),
+        "unmatched": ("sum", (~F.col("is_matched")).cast("long")),
+        "max_arr": ("max", F.col("arrival_delay_seconds")),
+        "max_dep": ("max", F.col("departure_delay_seconds")),
+    }
+    return words(rows, keys, [id_of(rows, "stop"), id_of(rows, "trip")], measures).groupBy(*keys).agg(
+        F.sum("entities").alias("observation_count"),
+        distinct(TRIP).alias("distinct_trip_count"),
+        distinct(STOP).alias("distinct_stop_count"),
+        F.sum("late").alias("delayed_observation_count"),
         mean("arr").alias("avg_arrival_delay_seconds"),
         mean("dep").alias("avg_departure_delay_seconds"),
-        F.max("_max_arr").alias("max_arrival_delay_seconds"),
-        F.max("_max_dep").alias("max_departure_delay_seconds"),
-        F.sum("_flagged").alias("unmatched_stop_observation_count"),
+        F.max("max_arr").alias("max_arrival_delay_seconds"),
+        F.max("max_dep").alias("max_departure_delay_seconds"),
+        F.sum("unmatched").alias("unmatched_stop_observation_count"),
     )
 
 

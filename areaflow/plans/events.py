@@ -42,6 +42,13 @@ def with_snapshot_parts(df: DataFrame) -> DataFrame:
 
 def delay_events(trip_updates: DataFrame, stop_map: DataFrame, stops: DataFrame | None = None) -> DataFrame:
     """One row per trip update observation with area, largest delay, delay flags and band."""
+    return delays_at(trip_updates, stop_lookup(stop_map, stops))
+
+
+def delays_at(trip_updates: DataFrame, lookup: DataFrame) -> DataFrame:
+    """Delay events by a table of stop_lookup(); a stored one has a known size, so that the planner itself decides
+    whether observations are shuffled for the join. Its further columns are carried along."""
+    more = [c for c in lookup.columns if c not in ("stop_id", "stop_name", "area_code", "area_name")]
     arrival, departure = F.col("arrival_delay_seconds"), F.col("departure_delay_seconds")
     largest = max_delay(arrival, departure)
     observed = with_snapshot_parts(trip_updates).withColumns(
@@ -53,7 +60,7 @@ def delay_events(trip_updates: DataFrame, stop_map: DataFrame, stops: DataFrame
             "delay_severity_band": delay_band(largest),
         }
     )
-    return lookup_join(observed, stop_lookup(stop_map, stops), "stop_id").select(
+    return lookup_join(observed, lookup, "stop_id").select(
         "snapshot_timestamp",
         "snapshot_date",
         "snapshot_hour",
@@ -71,16 +78,18 @@ def delay_events(trip_updates: DataFrame, stop_map: DataFrame, stops: DataFrame
         "is_delayed",
         "delay_severity_band",
         *_lineage(trip_updates),
+        *more,
     )
 
 
 def alert_events(service_alerts: DataFrame, stop_map: DataFrame) -> DataFrame:
     """One row per alert row with area, disruption flag and band. Effects are matched by name."""
-    lookup = (
-        stop_lookup(stop_map)
-        .select("stop_id", "area_code", "area_name")
-        .withColumnRenamed("stop_id", "informed_stop_id")
-    )
+    return alerts_at(service_alerts, stop_lookup(stop_map))
+
+
+def alerts_at(service_alerts: DataFrame, lookup: DataFrame) -> DataFrame:
+    """Alert events by a table of stop_lookup()."""
+    lookup = lookup.select(F.col("stop_id").alias("informed_stop_id"), "area_code", "area_name")
     flagged = with_snapshot_parts(service_alerts).withColumns(
         {
             "is_disruption_alert": is_disruption(F.col("effect")),

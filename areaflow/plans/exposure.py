@@ -66,7 +66,11 @@ def area_counts(stop_map: DataFrame, coverage: DataFrame) -> DataFrame:
 
 def area_hour_exposure(delays: DataFrame, alerts: DataFrame, counts: DataFrame) -> DataFrame:
     """Exposure per date, hour and area with the area's routes and stops (of area_counts())."""
-    exposure = outer_exposure(delays, alerts)
+    return with_area_counts(outer_exposure(delays, alerts), counts)
+
+
+def with_area_counts(exposure: DataFrame, counts: DataFrame) -> DataFrame:
+    """Add the routes and stops of the area (of area_counts())."""
     named = counts.withColumnsRenamed({"stop_count": "stops_in_area", "route_count": "routes_serving_area"})
     joined = lookup_join(exposure, named, "area_code")
     return joined.select(*exposure.columns, _zero("routes_serving_area"), _zero("stops_in_area"))
@@ -74,7 +78,11 @@ def area_hour_exposure(delays: DataFrame, alerts: DataFrame, counts: DataFrame)
 
 def route_day_disruption(delays: DataFrame, alerts: DataFrame, routes: DataFrame) -> DataFrame:
     """Disruption per date and route with route names; routes unknown to the route table stay."""
-    measures = outer_route_day(delays, alerts)
+    return with_route_names(outer_route_day(delays, alerts), routes)
+
+
+def with_route_names(measures: DataFrame, routes: DataFrame) -> DataFrame:
+    """Add the names of routes."""
     names = routes.select("route_id", "route_short_name", "route_long_name", "route_type")
     joined = lookup_join(measures, names, "route_id")
     return joined.select(*measures.columns, "route_short_name", "route_long_name", "route_type")

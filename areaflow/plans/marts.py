@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from areaflow.functions.rules import HIGH_BANDS, peak_period, risk_band
 from areaflow.operators.aggregate import rate
+from areaflow.operators.distinct import days_and_hours
 
 HOTSPOT_COLUMNS = (
     "snapshot_date",
@@ -99,20 +100,32 @@ def area_day_summary(scores: DataFrame) -> DataFrame:
 
 
 def area_multi_day_summary(scores: DataFrame) -> DataFrame:
-    """Days, hours, average and highest impact and recurrence of high bands per area."""
-    high = F.count_if(F.col("equity_risk_band").isin(*HIGH_BANDS))
-    return scores.groupBy("area_code").agg(
-        *_largest("area_name", "decile", "disadvantage_weight"),
-        F.count_distinct("snapshot_date").alias("days_observed"),
-        F.count_distinct("snapshot_hour").alias("snapshot_hours_observed"),
-        _avg("equity_impact_score"),
-        F.max("equity_impact_score").alias("max_equity_impact_score"),
-        high.alias("high_or_above_snapshot_count"),
-        rate(high, F.count(F.lit(1))).alias("high_or_above_snapshot_rate"),
-        _avg("delay_observation_rate"),
-        _avg("disruption_score"),
-        *_largest("score_formula_version"),
-        risk_band(F.max("equity_impact_score")).alias("peak_equity_risk_band"),
+    """Days, hours, average and highest impact and recurrence of high bands per area.
+
+    Days and hours are counted in words of bits (see distinct.py), which ride with the sums; there is no Expand.
+    """
+    averages = ("equity_impact_score", "delay_observation_rate", "disruption_score")
+    largest = ("area_name", "decile", "disadvantage_weight", "score_formula_version", "equity_impact_score")
+    measures = {f"largest_{c}": ("max", F.col(c)) for c in largest}
+    for c in averages:
+        measures |= {f"sum_{c}": ("sum", F.col(c)), f"count_{c}": ("sum", F.col(c).isNotNull().cast("long"))}
+    measures["rows"] = ("sum", F.lit(1).cast("long"))
+    measures["high"] = ("sum", F.coalesce(F.col("equity_risk_band").isin(*HIGH_BANDS), F.lit(False)).cast("long"))
+    found = days_and_hours(scores, "area_code", "snapshot_date", "snapshot_hour", measures)
+    average = {c: rate(F.col(f"sum_{c}"), F.col(f"count_{c}")).alias(f"avg_{c}") for c in averages}
+    return found.select(
+        "area_code",
+        *[F.col(f"largest_{c}").alias(c) for c in largest[:3]],
+        F.col("days").alias("days_observed"),
+        F.col("hours").alias("snapshot_hours_observed"),
+        average["equity_impact_score"],
+        F.col("largest_equity_impact_score").alias("max_equity_impact_score"),
+        F.col("high").alias("high_or_above_snapshot_count"),
+        rate(F.col("high"), F.col("rows")).alias("high_or_above_snapshot_rate"),
+        average["delay_observation_rate"],
+        average["disruption_score"],
+        F.col("largest_score_formula_version").alias("score_formula_version"),
+        risk_band(F.col("largest_equity_impact_score")).alias("peak_equity_risk_band"),
     )
 
 

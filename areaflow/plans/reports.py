@@ -11,7 +11,8 @@ from areaflow.functions.rules import (
     decile_group,
     sufficiency,
 )
-from areaflow.operators.aggregate import rate
+from areaflow.operators.aggregate import TRIP, rate
+from areaflow.operators.distinct import distinct
 from areaflow.runtime import lookup_join
 
 TOP = 25
@@ -175,6 +176,25 @@ def route_contribution(delays: DataFrame, summary: DataFrame, k: int = TOP) -> D
     return top_k(totals, ["delayed_observations_in_high_impact_areas"], ["route_id"], k)
 
 
+def route_contribution_of_hours(hours: DataFrame, summary: DataFrame, k: int = TOP) -> DataFrame:
+    """route_contribution() from stored delay hours (see aggregate.delay_words): the marks of late stops and trips are
+    merged by route, no observation is read."""
+    late = hours.where(F.col("route_id").isNotNull() & (F.col("late_bits") != 0))
+    high = lookup_join(late, high_impact_areas(summary).select("area_code"), "area_code", "left_semi")
+    areas = high.groupBy("route_id", "area_code").agg(F.sum("late").alias("late"), F.sum("late_delay").alias("late_delay"))
+    by_area = areas.groupBy("route_id").agg(
+        F.sum("late").alias("delayed_observations_in_high_impact_areas"),
+        F.count("area_code").alias("high_impact_area_count"),
+        rate(F.sum("late_delay"), F.sum("late")).alias("avg_max_delay_seconds"),
+    )
+    trips = high.where(F.col("kind") == TRIP).groupBy("route_id", "kind", "word", "other").agg(F.bit_or("late_bits").alias("late_bits"))
+    totals = by_area.join(trips.groupBy("route_id").agg(distinct(TRIP, "late").alias("distinct_trip_count")), "route_id", "left")
+    totals = totals.withColumn("distinct_trip_count", F.coalesce("distinct_trip_count", F.lit(0))).select(
+        "route_id", "delayed_observations_in_high_impact_areas", "high_impact_area_count", "distinct_trip_count", "avg_max_delay_seconds"
+    )
+    return top_k(totals, ["delayed_observations_in_high_impact_areas"], ["route_id"], k)
+
+
 def hourly_marts(pattern: DataFrame) -> DataFrame:
     return pattern.orderBy("snapshot_hour")
 

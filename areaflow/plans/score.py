@@ -2,13 +2,13 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from areaflow.functions.rules import risk_band
 from areaflow.operators.aggregate import AREA_HOUR, min_max
 from areaflow.plans.context import NEUTRAL_WEIGHT
-from areaflow.runtime import lookup_join, with_bounds
+from areaflow.runtime import footer_bounds, lookup_join, with_bounds
 
 # Fixed values of the score formula.
 FORMULA_VERSION = "v1_transparent_weighted_proxy"
@@ -41,6 +41,20 @@ def score_bounds(exposure: DataFrame) -> DataFrame:
     return min_max(exposure, **_measures())
 
 
+#: Prefix of the columns in which stored exposure keeps the four scaled measures.
+SCALED = "scaled_"
+
+
+def with_scaled(exposure: DataFrame) -> DataFrame:
+    """Add the four scaled measures as columns, so that a stored table has their bounds in its file footers."""
+    return exposure.withColumns({f"{SCALED}{name}": c for name, c in _measures().items()})
+
+
+def stored_bounds(spark: SparkSession, path: str) -> DataFrame:
+    """score_bounds() of a stored table of with_scaled(), from the footers of its files: no row is read."""
+    return footer_bounds(spark, path, {name: f"{SCALED}{name}" for name in _measures()})
+
+
 def _position(value: Column, name: str) -> Column:
     low, high = F.col(f"min_{name}"), F.col(f"max_{name}")
     return (value - low) / F.nullif(high - low, F.lit(0.0))
@@ -54,8 +68,8 @@ def score_components(exposure: DataFrame, context: DataFrame, bounds: DataFrame
     """Component, disruption, disadvantage, network and impact scores.
 
     Scores are relative to the bounds of the loaded rows; bounds of an earlier run can be given so that
-    new rows are scored on the same scale. The exposure is read twice (bounds, rows), so give a table
-    that is written or cached. If only one of the two severity measures is flat, severity is null.
+    new rows are scored on the same scale. Without bounds the exposure is read twice; of a stored one they can be had
+    from stored_bounds(). If only one of the two severity measures is flat, severity is null.
     """
     m = _measures()
     frequency = F.when(_flat("delay_rate"), 0.0).otherwise(100.0 * _position(m["delay_rate"], "delay_rate"))

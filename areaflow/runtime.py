@@ -38,11 +38,34 @@ def materialize(df: DataFrame, label: str) -> DataFrame:
     The files live in the shared scratch folder, so a lost executor costs no recomputation of the
     (much larger) facts behind the table.
     """
-    path = scratch_path(df.sparkSession, label)
+    return materialize_at(df, scratch_path(df.sparkSession, label))
+
+
+def materialize_at(df: DataFrame, path: str) -> DataFrame:
+    """Write a table to a path, and return it read back."""
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def footer_bounds(spark: SparkSession, path: str, measures: dict[str, str]) -> DataFrame:
+    """One row with min_<name> and max_<name> of columns of a stored Parquet table, from the statistics in the footers.
+
+    The columns hold numbers without NaN. Spark answers min and max from footers in its newer Parquet source only,
+    so that is chosen for this read.
+    """
+    settings = {"spark.sql.sources.useV1SourceList": "", "spark.sql.parquet.aggregatePushdown": "true"}
+    before = {key: spark.conf.get(key, None) for key in settings}
+    try:
+        for key, value in settings.items():
+            spark.conf.set(key, value)
+        rows = spark.read.parquet(path)
+        bounds = rows.agg(*[f(F.col(c)).alias(f"{f.__name__}_{name}") for name, c in measures.items() for f in (F.min, F.max)])
+        return spark.createDataFrame([bounds.first()], bounds.schema)
+    finally:
+        for key, value in before.items():
+            spark.conf.set(key, value) if value is not None else spark.conf.unset(key)
+
+
 def lookup_join(
     fact: DataFrame, lookup: DataFrame, on: str | list[str], how: str = "left", condition: Column | None = None
 ) -> DataFrame:
