@@ -2,23 +2,15 @@
 
 The trie is walked as pairs of nodes: both nodes of a pair split at the next bit, a pair whose branches differ
 adds one to its differing bits, and a pair over the error budget is dropped with all that lies below it; so is a
-pair all of whose rows are linked already. To deal the walk out, fingerprints meet by equal heads:
-
-* `block_heads`: 64 bits in four blocks. Of two fingerprints with at most three differing bits one block is equal, so
-  the walk misses no link.
-* `sampled_heads`: for a similarity, bits of a wide fingerprint differ with a known probability; each of many heads
-  takes some of its bits, and two texts at the bound share one of them and are within the budget with a probability of 0.99.
-
+pair all of whose rows are linked already. To deal the walk out, fingerprints meet by equal heads, the four blocks of
+their 64 bits (`block_heads`): of two fingerprints with at most three differing bits one block is equal, so the walk
+misses no link.
 A subtrie with too many fingerprints is dealt out once more, by pairs of nodes a few bits below its root. Tasks return
 a spanning star for each linked set, not all pairs.
-
-Where the link is a similarity, sets linked by fingerprints are only candidates: `checked` compares the texts in
-each of them by their shingles and keeps the links that reach the similarity.
 """
 
 from __future__ import annotations
 
-import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -35,11 +27,6 @@ BLOCKS, BLOCK_BITS = 4, 16
 SUBTRIE_ROWS, SPLIT_BITS = 1 << 19, 8
 #: Pairs of nodes in one step of the walk, and the size below which a pair of nodes is compared directly.
 STEP_PAIRS, SMALL = 1 << 18, 8
-#: Wide fingerprints: words of 64 bits, heads sampled from their bits, the bits of a head, and standard deviations by which
-#: the budget lies above the mean of differing bits at the similarity.
-WIDE_WORDS, HEADS, HEAD_BITS, DEVIATIONS = 4, 48, 12, 3
-#: Texts of a candidate set that are compared in one task; larger sets are dealt out in chunks of about this size.
-CHUNK_TEXTS = 256
 SIGN = np.uint64(1 << 63)
 
 
@@ -69,14 +56,6 @@ def fingerprint(words: list[bytes], shingle: int, seed: int = 42, wide: int = 1)
     return majority(shingle_hashes(words, shingle, seed), wide) if words else [0] * wide
 
 
-def set_fingerprint(words: list[bytes], shingle: int, wide: int) -> list[int]:
-    """Majority vote over the distinct shingles, and a hash of their set; zeros without words."""
-    if not words:
-        return [0] * (wide + 1)
-    distinct = np.unique(shingle_hashes(words, shingle))
-    return [*majority(distinct, wide), xxhash.xxh64_intdigest(distinct.tobytes(), 1)]
-
-
 def majority(hashes: np.ndarray, wide: int) -> list[int]:
     out, n = [], len(hashes)
     for k in range(wide):
@@ -99,44 +78,11 @@ def fingerprints(text: Column, shingle: int = 3, seed: int = 42, wide: int = 1)
     return run.asNondeterministic()(text)
 
 
-def set_fingerprints(text: Column, shingle: int, wide: int) -> Column:
-    """`set_fingerprint` of a text column as an array of wide + 1 longs."""
-
-    @F.arrow_udf(T.ArrayType(T.LongType()))
-    def run(texts: pa.Array) -> pa.Array:
-        prints = np.array([set_fingerprint(words_of(t.as_py()), shingle, wide) for t in texts], dtype=np.uint64).reshape(-1)
-        return pa.FixedSizeListArray.from_arrays(pa.array(prints.view(np.int64)), wide + 1).cast(pa.list_(pa.int64()))
-
-    return run.asNondeterministic()(text)
-
-
 def block_heads(fp: Column) -> Column:
     """The four blocks of a 64-bit fingerprint."""
     return F.array(*[F.shiftrightunsigned(fp[0], BLOCK_BITS * k).bitwiseAND(F.lit((1 << BLOCK_BITS) - 1)) for k in range(BLOCKS)])
 
 
-def heads_for(rows: int) -> tuple[int, int]:
-    """Number of heads and their bits: longer heads for more fingerprints, so that groups stay small, and as many more
-    of them as keep the share of pairs that meet."""
-    more = min(BLOCK_BITS - HEAD_BITS, max(0, rows.bit_length() - 18))
-    return math.ceil(HEADS * 1.25**more), HEAD_BITS + more
-
-
-def sampled_heads(fp: Column, heads: int = HEADS, size: int = HEAD_BITS) -> Column:
-    """Heads of `size` bits each of a wide fingerprint, drawn once by a fixed seed."""
-    draw = np.random.default_rng(5)
-    picked = np.array([draw.choice(64 * WIDE_WORDS, size, replace=False) for _ in range(heads)])
-
-    @F.arrow_udf(T.ArrayType(T.LongType()))
-    def run(prints: pa.Array) -> pa.Array:
-        words = prints.flatten().to_numpy().reshape(len(prints), -1)[:, :WIDE_WORDS]
-        bits = np.unpackbits(np.ascontiguousarray(words, dtype="<i8").view(np.uint8), axis=1, bitorder="little")
-        found = (bits[:, picked].astype(np.int64) << np.arange(size)).sum(axis=2).reshape(-1)
-        return pa.FixedSizeListArray.from_arrays(pa.array(found), heads).cast(pa.list_(pa.int64()))
-
-    return run(fp)
-
-
 class Trie:
     """The walk over a block of rows sorted by group, side and fingerprint (words of 64 bits, the highest first).
 
@@ -264,94 +210,17 @@ def hex_print(fp: Column) -> Column:
     return F.lpad(F.lower(F.hex(fp)), 16, "0")
 
 
-def differing_bits(similarity: float, bits: int, deviations: float = 0) -> int:
-    """Bits in which fingerprints of texts differ whose shingles have this Jaccard similarity, on average and so many
-    standard deviations more: shingle vectors of such texts have the cosine 2s / (1 + s)."""
-    p = math.acos(2 * similarity / (1 + similarity)) / math.pi
-    return round(bits * p + deviations * math.sqrt(bits * p * (1 - p)))
-
-
-def join_alike(sets: list[np.ndarray], similarity: float, root: np.ndarray) -> None:
-    """Join the sets of roots, in place, of all shingle sets whose Jaccard similarity is large enough; pairs that are
-    joined already are not compared."""
-    sizes = np.array([len(s) for s in sets])
-    _, flat = np.unique(np.concatenate(sets), return_inverse=True)
-    parts = np.split(flat, np.cumsum(sizes)[:-1])
-    mark = np.zeros(flat.max() + 1, dtype=bool)
-    for i, own in enumerate(parts):
-        n = sizes[i]
-        later = np.arange(i + 1, len(parts))
-        later = later[(root[later] != root[i]) & (np.minimum(sizes[later], n) >= similarity * np.maximum(sizes[later], n) - 1e-9)]
-        if not len(later):
-            continue
-        mark[own] = True
-        starts = np.concatenate(([0], np.cumsum(sizes[later])[:-1]))
-        both = np.add.reduceat(mark[np.concatenate([parts[j] for j in later.tolist()])], starts, dtype=np.int64)
-        mark[own] = False
-        near = later[both >= similarity * (n + sizes[later] - both) - 1e-9]
-        join_sets(root, np.full(len(near), i), near)
-
-
-def compared(members: DataFrame, texts: DataFrame, shingle: int, similarity: float) -> DataFrame:
-    """Links (a, b) between the texts of each group (members: root, lo, hi, id, and known, equal for texts linked
-    already), from their shingles (texts: id, text): a star for each linked set."""
-    group = ["root", "lo", "hi"]
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for t, starts in whole_groups(batches, group, 1 << 12):
-            ids, known, column = t.column("id").to_numpy(), t.column("known").to_numpy(), t.column("text")
-            for lo, hi in zip(starts[:-1].tolist(), starts[1:].tolist()):
-                if hi - lo < 2:
-                    continue
-                sets = [np.unique(shingle_hashes(words_of(column[k].as_py()), shingle)) for k in range(lo, hi)]
-                _, first, at = np.unique(known[lo:hi], return_index=True, return_inverse=True)
-                root = first[at]
-                join_alike(sets, similarity, root)
-                new = np.flatnonzero(root != np.arange(hi - lo))
-                yield pa.RecordBatch.from_arrays([pa.array(ids[lo:hi][new]), pa.array(ids[lo:hi][root[new]])], names=["a", "b"])
-
-    rows = texts.join(members, "id").select(*group, "id", "known", "text")
-    return rows.repartition(*group).sortWithinPartitions(*group, "id").mapInArrow(run, "a long, b long")
-
-
-def checked(roots: DataFrame, texts: DataFrame, shingle: int, similarity: float) -> DataFrame:
-    """Components (v, root) by links of this similarity or more, within candidate sets (v, root).
-
-    A set is dealt out in chunks; every chunk also has the text that is the set's root, so that the chunks of a set
-    of close copies are connected. Where sets of several chunks are not, all pairs of their chunks are compared.
-    """
-    sizes = roots.groupBy("root").agg(F.ceil(F.count(F.lit(1)) / CHUNK_TEXTS).cast("int").alias("chunks"))
-    chunk = F.pmod(F.xxhash64("id"), F.col("chunks")).cast("int")
-    dealt = saved(roots.withColumnRenamed("v", "id").join(sizes, "root").select("root", "id", "chunks", chunk.alias("chunk")), "simhash-candidates")
-    everywhere = F.when(F.col("id") == F.col("root"), F.sequence(F.lit(0), F.col("chunks") - 1)).otherwise(F.array("chunk"))
-    once = dealt.select("root", "id", F.explode(everywhere).alias("lo"), F.col("id").alias("known")).withColumn("hi", F.col("lo"))
-    links = saved(compared(once, texts, shingle, similarity), "simhash-checked")
-    found = components(links, "simhash-alike")
-    large = dealt.filter("chunks > 1").join(found.select(F.col("v").alias("id"), F.col("root").alias("known")), "id", "left").withColumn("known", F.coalesce("known", "id"))
-    apart = saved(large.groupBy("root").agg(F.min("known").alias("x"), F.max("known").alias("y")).filter("x <> y").select("root"), "simhash-apart")
-    if apart.isEmpty():
-        return found
-    others = F.filter(F.sequence(F.lit(0), F.col("chunks") - 1), lambda k: k != F.col("chunk"))
-    pairs = large.join(apart, "root", "left_semi").select("root", "id", "known", "chunk", F.explode(others).alias("other"))
-    pairs = pairs.select("root", "id", "known", F.least("chunk", "other").alias("lo"), F.greatest("chunk", "other").alias("hi"))
-    return components(links.unionAll(compared(pairs, texts, shingle, similarity)), "simhash-alike")
-
-
-def drop_near_copies(docs: DataFrame, key: str = "doc_id", text: str = "text", shingle: int = 5, similarity: float = 0.8) -> DataFrame:
-    """The documents that stay: of each group of near copies the one with the smallest key (of rows with that key the
-    first; null keys come last), with the columns of the input.
-
-    Candidates are found by fingerprints of 256 bits; a link is kept if the Jaccard similarity of the distinct shingles
-    is large enough. Texts without words are copies of each other. An empty table gives no rows.
+def drop_near_copies(docs: DataFrame, key: str = "doc_id", text: str = "text", shingle: int = 3, budget: int = 3) -> DataFrame:
+    """The documents that stay: of each component of near_copies() the one with the smallest key (of rows with that key
+    the first; null keys come last), with the columns of the input. Texts without words are copies of each other. An
+    empty table gives no rows.
     """
+    if budget >= BLOCKS:
+        raise ValueError("four blocks find links of at most three differing bits")
     names = [f"_in{k}" for k in range(len(docs.columns))]
     at = lambda c: F.col(names[docs.columns.index(c)])
-    whole = docs.toDF(*names).withColumn("fp", set_fingerprints(at(text), shingle, WIDE_WORDS)).withColumn("row", F.monotonically_increasing_id())
+    whole = docs.toDF(*names).withColumn("fp", fingerprints(at(text), shingle)).withColumn("row", F.monotonically_increasing_id())
     whole = saved(whole, "simhash-docs")
-    budget = differing_bits(similarity, 64 * WIDE_WORDS, DEVIATIONS)
     nodes = nodes_of(whole.select(at(key).alias("key"), "row", "fp"))
-    heads = sampled_heads(F.col("fp"), *heads_for(nodes.count()))
-    candidates = components(linked(nodes.select("id", "fp"), heads, WIDE_WORDS, budget), "simhash")
-    roots = checked(candidates, whole.select(F.col("row").alias("id"), at(text).alias("text")), shingle, similarity)
-    _, owners = grouped(nodes, roots)
+    _, owners = grouped(nodes, components(linked(nodes.select("id", "fp"), block_heads(F.col("fp")), 1, budget), "simhash"))
     return whole.join(owners.select("row"), "row", "left_semi").select(*names).toDF(*docs.columns)
