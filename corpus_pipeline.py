@@ -29,7 +29,7 @@ def toxicity_filter(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 
 def simhash_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near copies: shingles of five words, a similarity of 0.8 or more."""
+    """One document of each group of near copies: fingerprints of three-word shingles that differ in three bits or less."""
     return simhash.drop_near_copies(docs)
 
 
