@@ -101,7 +101,7 @@ def mixed(
 
     The budget is `share` of all tokens; `domains` (weight and sources) and `languages` (weights) make the tree. Null languages and sources are nodes of their own ('' in the tree), and
     sources of no domain make up another one. Texts without words count no token and are taken in every whole
-    pass. Ties of the order (null or repeated keys) are broken by the text. An empty table gives no rows.
+    pass; a leaf of such texts alone is taken once. Texts may be of any length. Ties of the order (null or repeated keys) are broken by the text. An empty table gives no rows.
     """
     out = ("mix_domain", "mix_tokens", "mix_copies", "mix_budget")
     names = [f"_in{k}" for k in range(len(docs.columns))]
@@ -119,10 +119,11 @@ def mixed(
     )
     leaves = saved(leaves, "mixing-leaves")
     total = F.expr(f"cast((cast(sum(tokens) as decimal(30,0)) * {share[0]}) div {share[1]} as long)")
-    plan = budgets(leaves, total, max_epochs).withColumn("tokens", F.greatest("tokens", F.lit(1)))
+    none = F.col("_tokens") == 0  # a leaf of texts without words is taken once, for it costs nothing
+    plan = budgets(leaves, total, max_epochs).withColumnRenamed("tokens", "_tokens").withColumn("tokens", F.greatest("_tokens", F.lit(1)))
     plan = plan.select(
         *[F.col(c).alias(f"_{c}") for c in LEVELS], F.col("budget").alias("_budget"),
-        F.least(F.expr("budget div tokens"), F.lit(max_epochs).cast("long")).alias("_whole"),
+        F.when(none, F.lit(1).cast("long")).otherwise(F.least(F.expr("budget div tokens"), F.lit(max_epochs).cast("long"))).alias("_whole"),
         F.expr("budget % tokens").alias("_part"),
         F.expr(f"cast(shiftleft(cast(1 as bigint), cast(ceil(log2(greatest(1, docs / {RANGE_DOCS}))) as int)) as bigint)").alias("_ranges"),
     )

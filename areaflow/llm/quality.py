@@ -70,11 +70,15 @@ def repeated_words(hashes: Column, counted: Column) -> Column:
 def with_counts(docs: DataFrame, text: str = "text") -> DataFrame:
     """Add n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words and n_lines (all long) to the columns.
 
-    Counts cover the whole text. A null text is as an empty one: all counts are zero. Save the result before
+    Counts cover the whole text, of any length. A null text is as an empty one: all counts are zero. Repeated rows each
+    get their counts, an empty table gives no rows, and columns of the new names are replaced. Save the result before
     filtering by a count: a pushed-down filter would repeat the work on arrays in every reference to it.
     """
     new = {*BASE, "n_lines"}
-    own = [F.col(f"`{c}`") for c in docs.columns if c not in new]
+    kept = {f"_in{k}": c for k, c in enumerate(docs.columns) if c not in new}
+    text = f"_in{docs.columns.index(text)}"
+    docs = docs.toDF(*[f"_in{k}" for k in range(len(docs.columns))])
+    own = [F.col(c) for c in kept]
     body = F.coalesce(F.col(text), F.lit(""))
     lines = F.filter(F.split(body, "\n", -1), lambda x: x.rlike(r"[^\x20\x09-\x0D]"))
     split = docs.select(*own, body.alias("_body"), words(F.col(text)).alias("_words"), lines.alias("_lines"))
@@ -90,7 +94,7 @@ def with_counts(docs: DataFrame, text: str = "text") -> DataFrame:
     ).otherwise(F.array().cast("array<struct<h:bigint,p:int>>"))
     symbols = F.length("_body") - F.length(F.translate("_body", SYMBOLS, ""))
     return hashed.select("*", placed.alias("_placed")).select(
-        *own,
+        *[F.col(c).alias(name) for c, name in kept.items()],
         n.cast("long").alias("n_words"),
         F.length(F.array_join("_words", "")).cast("long").alias("word_chars"),
         symbols.cast("long").alias("n_symbols"),
@@ -156,14 +160,21 @@ def thresholds(counted: DataFrame, lang: str = "lang", source: str = "source") -
 
 
 def verdicts(counted: DataFrame, limits: DataFrame, lang: str = "lang", source: str = "source") -> DataFrame:
-    """Add base_failed and kept: no base rule failed, and no measure is outside the group's thresholds."""
-    limits = limits.withColumnsRenamed({c: f"_{c}" for c in limits.columns})
+    """Add base_failed and kept: no base rule failed, and no measure is outside the group's thresholds.
+
+    Null languages and sources are values of their own, repeated rows get the same verdict, a group without thresholds
+    has none to fail, and an empty table gives no rows. Columns of the new names are replaced.
+    """
+    mark = "_limit_"
+    while any(c.lower().startswith(mark) for c in counted.columns):
+        mark = "_" + mark
+    limits = limits.withColumnsRenamed({c: f"{mark}{c}" for c in limits.columns})
     if limits.count() <= BROADCAST_GROUPS:
         limits = F.broadcast(limits)
     own = [F.col(f"`{c}`") for c in counted.columns if c not in ("base_failed", "kept")]
-    joined = counted.join(limits, F.col(lang).eqNullSafe(F.col("_lang")) & F.col(source).eqNullSafe(F.col("_source")), "left")
+    joined = counted.join(limits, F.col(lang).eqNullSafe(F.col(f"{mark}lang")) & F.col(source).eqNullSafe(F.col(f"{mark}source")), "left")
     within = [
-        (thousandths(m) <= F.col(f"_high_{m.name}")) & ((thousandths(m) >= F.col(f"_low_{m.name}")) if m.low else F.lit(True))
+        (thousandths(m) <= F.col(f"{mark}high_{m.name}")) & ((thousandths(m) >= F.col(f"{mark}low_{m.name}")) if m.low else F.lit(True))
         for m in MEASURES
     ]
     fine = reduce(lambda a, b: a & b, [F.coalesce(x, F.lit(True)) for x in within])

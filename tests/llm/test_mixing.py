@@ -2,10 +2,12 @@
 
 import hashlib
 
+import duckdb
 import pytest
 from pyspark.sql import functions as F
 
 from areaflow.llm import mixing
+from areaflow.llm.check_sql import mixing_sql
 
 
 def share(budget, nodes):
@@ -85,9 +87,22 @@ def test_shortages_go_to_siblings_before_ancestors():
 def test_nulls_repeats_and_empty_tables(frame):
     schema = "doc_id long, text string, lang string, source string"
     docs = frame(schema, (None, None, None, None), (1, "", "en", "src0"), (1, "a b", "en", "src0"), (1, "a b", "en", "src0"), (None, "c", None, "src1"))
-    assert mixing.mixed(docs, share=(1, 1)).filter("mix_tokens > 0").count() >= 1
+    found = mixing.mixed(docs, share=(1, 1)).collect()
+    assert sorted((r["text"] or "", r["mix_tokens"], r["mix_copies"]) for r in found if r["mix_tokens"] == 0) == [("", 0, 1), ("", 0, 2)]
+    assert sum(r["mix_tokens"] * r["mix_copies"] for r in found) in (4, 5)
     assert mixing.mixed(docs.limit(0)).count() == 0
-    assert mixing.mixed(frame(schema, (1, None, None, None))).count() in (0, 1)
+    assert [r["mix_copies"] for r in mixing.mixed(frame(schema, (1, None, None, None))).collect()] == [1]
+
+
+def test_leaf_of_empty_texts_as_the_sql_has_it(frame):
+    rows = [(1, "", "en", "src0"), (2, None, "en", "src0"), (3, "a b c d e", "en", "src1"), (4, "f g h", "en", "src5")]
+    con = duckdb.connect()
+    con.execute("create table documents (doc_id bigint, text varchar, lang varchar, source varchar)")
+    con.executemany("insert into documents values (?, ?, ?, ?)", rows)
+    expected = con.execute(mixing_sql()).df()
+    found = mixing.mixed(frame("doc_id long, text string, lang string, source string", *rows)).select(*expected.columns).toPandas()
+    key = lambda df: sorted(map(tuple, df.astype(str).to_numpy().tolist()))
+    assert key(found) == key(expected) and {1, 2} <= set(found["doc_id"])
 
 
 def test_tree_of_other_sources(frame):

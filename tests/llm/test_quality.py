@@ -65,3 +65,16 @@ def test_sketch_quartiles_are_close(spark):
 def test_nulls_and_empty_tables(frame):
     docs = frame("doc_id long, text string, lang string, source string", (None, None, None, None), (1, "", "en", None))
     assert quality.keep_good(docs).count() == quality.keep_good(docs.limit(0)).count() == 0
+
+
+def test_clashing_names(frame):
+    names = ["_words", "_lines", "_body", "_hashes", "_placed", "_in0", "_lang", "_source", "_limit_lang", "n_words", "kept"]
+    schema = "doc_id long, text string, lang string, source string, " + ", ".join(f"{n} string" for n in names)
+    docs = frame(schema, *[(k, "one two three four five six seven eight nine ten " * (k % 3 + 1), "en", None, *names) for k in range(12)])
+    counted = quality.with_counts(docs)
+    found = quality.verdicts(counted, quality.thresholds(counted)).toPandas()
+    assert len(found) == 12 and set(found["n_words"]) == {10, 20, 30} and found["kept"].dtype == bool
+    assert all((found[n] == n).all() for n in names if n not in ("n_words", "kept"))
+    assert quality.keep_good(docs).columns == docs.columns
+    empty = quality.with_counts(docs.limit(0))
+    assert quality.verdicts(empty, quality.thresholds(empty)).count() == 0
