@@ -93,8 +93,8 @@ def with_counts(docs: DataFrame, text: str = "text") -> DataFrame:
         F.sort_array(F.transform("_hashes", lambda h, i: F.struct(h.alias("h"), i.alias("p")))),
     ).otherwise(F.array().cast("array<struct<h:bigint,p:int>>"))
     symbols = F.length("_body") - F.length(F.translate("_body", SYMBOLS, ""))
-    return hashed.select("*", placed.alias("_placed")).select(
-        *[F.col(c).alias(name) for c, name in kept.items()],
+    found = hashed.select("*", placed.alias("_placed")).select(
+        *own,
         n.cast("long").alias("n_words"),
         F.length(F.array_join("_words", "")).cast("long").alias("word_chars"),
         symbols.cast("long").alias("n_symbols"),
@@ -102,6 +102,7 @@ def with_counts(docs: DataFrame, text: str = "text") -> DataFrame:
         repeated_words(F.col("_hashes"), F.col("_placed")).alias("n_repeat_words"),
         F.size("_lines").cast("long").alias("n_lines"),
     )
+    return found.toDF(*kept.values(), *found.columns[len(kept) :])
 
 
 def base_failed() -> Column:
