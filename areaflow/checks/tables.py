@@ -252,6 +252,31 @@ def scan_all_string(t):
     return files.scan_all_string(t.spark, f"{root}/a", f"{root}/b")
 
 
+@query(
+    "scan_quoted",
+    """select cast(c_custkey as varchar) as c_custkey, c_name || chr(10) || '"' || c_mktsegment || '",' || chr(10) as note,
+        case when c_custkey % 2 = 0 then '' else 'a, b' end as tail from customer""",
+)
+def scan_quoted(t):
+    """Every record spans lines and holds quotes and commas, in files of one task's rows each, read in small ranges."""
+    path = scratch_path(t.spark, "quoted")
+    note = F.concat("c_name", F.lit('\n"'), "c_mktsegment", F.lit('",\n')).alias("note")
+    tail = F.when(F.col("c_custkey") % 2 == 0, "").otherwise("a, b").alias("tail")
+    sinks.write_partitioned(t.given("customer").select(F.col("c_custkey").cast("string"), note, tail), path, file_format="csv")
+    return files.scan_all_string(t.spark, path, split=True)
+
+
+@query(
+    "lost_values",
+    """select 'stops' as dataset, col as "column", 'decimal(10,7)' as type, cast(lost as bigint) as lost from (
+        select 'stop_lat' as col, count(*) filter (try_cast(stop_lat * 1000 as decimal(10,7)) is null and stop_lat is not null) as lost from stops
+        union all select 'stop_lon', count(*) filter (try_cast(stop_lon as decimal(10,7)) is null and stop_lon is not null) from stops)""",
+)
+def lost_values(t):
+    stops = t.stops.withColumn("stop_lat", F.col("stop_lat") * 1000)
+    return standardize.lost_values(stops, get_contract("stops")).where("type like 'decimal%'")
+
+
 @query("latest_load", "select trip_id, route_id, service_id, '2026-05-08' as load_date from trips")
 def latest_load(t):
     """The newest load holds two files and an even newer one only the other."""

@@ -8,21 +8,22 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from areaflow.functions.parsing import path_part, snapshot_time_of
+from areaflow.sources.quoted import CSV_FORM, scan_quoted
 
 SNAPSHOT_PARTS = ("feed", "year", "month", "day", "hour", "minute")
 
 
-#: Fields may be quoted, with doubled quotes and, where text is free, line breaks inside.
-CSV_FORM = {"header": True, "quote": '"', "escape": '"'}
 
-
-def scan_all_string(spark: SparkSession, *paths: str, free_text: bool = True) -> DataFrame:
-    """Read header text files as strings, aligned by column name.
+def scan_all_string(spark: SparkSession, *paths: str, free_text: bool = True, split: bool = False) -> DataFrame:
+    """Read header text files as strings, aligned by column name. With split, many tasks share a large file although its
+    fields may hold line breaks (see quoted.py); without, a file of free text is read by one task.
 
     Paths that share a header can be given as one glob; differing headers as separate paths. Empty
     fields become empty strings, while a column that a file lacks gives null. Files without line breaks in fields
     can be read with free_text=False, which lets several tasks share a file.
     """
+    if free_text and split:
+        return scan_quoted(spark, *paths)
     frames = [spark.read.options(**CSV_FORM, multiLine=free_text).csv(path).na.fill("") for path in paths]
     return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), frames)
 
@@ -32,7 +33,9 @@ def with_source_label(df: DataFrame, column: str = "source_file") -> DataFrame:
     return df.withColumn(column, F.col("_metadata.file_path"))
 
 
-def latest_load(spark: SparkSession, root: str, name: str | None = None, partition: str = "load_date") -> DataFrame:
+def latest_load(
+    spark: SparkSession, root: str, name: str | None = None, partition: str = "load_date", free_text: bool = True, split: bool = False
+) -> DataFrame:
     """All-string rows of the newest load below root: of the file (or folder of parts) `name` in the newest load
     that holds it, or of all files of the newest load. The newest value comes from the file listing, so only these files are read."""
     paths = snapshot_files(spark, root)
@@ -42,7 +45,7 @@ def latest_load(spark: SparkSession, root: str, name: str | None = None, partiti
     if newest is None:
         raise FileNotFoundError(f"No {partition}= directory with {name or 'files'} below {root}")
     path = f"{root}/{partition}={newest}" + (f"/{name}" if name else "")
-    return spark.read.options(**CSV_FORM, multiLine=True).csv(path).na.fill("").withColumn(partition, F.lit(newest))
+    return scan_all_string(spark, path, free_text=free_text, split=split).withColumn(partition, F.lit(newest))
 
 
 def scan_snapshots(spark: SparkSession, root: str, feed: str, columns: str) -> DataFrame:
