@@ -40,6 +40,23 @@ DERIVED = {
         not (s_suppkey%13=0 or s_suppkey%17=0) as is_matched,
         case when s_suppkey%13=0 then 'invalid_coordinates' else 'within' end as mapping_method""",
     ),
+    # areas of many corners, round a centre at changing distance, with a hole, and places among them
+    "area_corners": (
+        "(select *, row_number() over (partition by c_nationkey order by c_custkey) as k, count(*) over (partition by c_nationkey) as m from {customer})",
+        """cast(200000000+c_nationkey as string) as area_code, 0 as ring, cast(k as int) as k,
+        round(10*(c_nationkey % 5) + (3 + cast((c_custkey*37)%100 as double)/50) * cos(2*pi()*k/m), 6) as x,
+        round(10*floor(c_nationkey/5) + (3 + cast((c_custkey*37)%100 as double)/50) * sin(2*pi()*k/m), 6) as y""",
+    ),
+    "area_holes": (
+        "{nation} cross join (values (0, 1.5, 0.0), (1, 0.0, 1.5), (2, -1.5, 0.0), (3, 0.0, -1.5)) as v(k, dx, dy)",
+        """cast(200000000+n_nationkey as string) as area_code, 1 as ring, k,
+        cast(10*(n_nationkey % 5) + dx as double) as x, cast(10*floor(n_nationkey/5) + dy as double) as y""",
+    ),
+    "places": (
+        "{orders}",
+        """'O' || cast(o_orderkey as string) as place, cast((o_orderkey*7919) % 50000 as double)/1000 - 5 as x,
+        cast((cast(o_custkey as bigint)*104729 + o_orderkey*31) % 50000 as double)/1000 - 5 as y""",
+    ),
     "routes": (
         "{part}",
         """distinct 'R' || cast(p_partkey % 24 as string) as route_id, 'L' || cast(p_partkey % 24 as string) as route_short_name,
@@ -121,6 +138,13 @@ class Tables:
     def area_polygons(self) -> DataFrame:
         return self.areas.select("area_code", "area_name", F.expr(RINGS).alias("rings"))
 
+    @property
+    def winding_areas(self) -> DataFrame:
+        """The areas of many corners, with their rings as the spatial operators take them."""
+        corners = F.array_sort(F.collect_list(F.struct("k", "x", "y")))
+        rings = self.area_corners.unionByName(self.area_holes).groupBy("area_code", "ring").agg(F.transform(corners, lambda c: F.struct(c["x"].alias("x"), c["y"].alias("y"))).alias("corners"))
+        return rings.groupBy("area_code").agg(F.lit("winding").alias("area_name"), F.collect_list("corners").alias("rings"))
+
     def pipeline(self, **options: bool) -> Pipeline:
         names = ("trip_updates", "service_alerts", "stop_area_map", "stops", "routes", "trips", "stop_times", "area_index")
         return Pipeline(**{name: self.derived(name) for name in names}, **options)

@@ -28,9 +28,7 @@ def polygon_edges(rings: Column) -> Column:
     return F.flatten(F.transform(rings, ring_edges))
 
 
-def strictly_within(edges: Column, x: Column, y: Column) -> Column:
-    """Even-odd rule over all edges (holes are rings of their own); a point on an edge is outside."""
-
+def on_an_edge(edges: Column, x: Column, y: Column) -> Column:
     def on_edge(e: Column) -> Column:
         turn = (e["bx"] - e["ax"]) * (y - e["ay"]) - (e["by"] - e["ay"]) * (x - e["ax"])
         inside_box = x.between(F.least(e["ax"], e["bx"]), F.greatest(e["ax"], e["bx"])) & y.between(
@@ -38,13 +36,24 @@ def strictly_within(edges: Column, x: Column, y: Column) -> Column:
         )
         return (turn == 0) & inside_box
 
+    return F.exists(edges, on_edge)
+
+
+def edges_crossed(edges: Column, x: Column, y: Column) -> Column:
+    """The edges that a ray to the right crosses."""
+
     def crosses(e: Column) -> Column:
         spans = (e["ay"] > y) != (e["by"] > y)
         # The division is evaluated only for edges that span the point's height, so by - ay is not zero.
         height = F.when(spans, (e["bx"] - e["ax"]) * (y - e["ay"]) / (e["by"] - e["ay"]) + e["ax"])
         return spans & (x < height)
 
-    return (F.size(F.filter(edges, crosses)) % 2 == 1) & ~F.exists(edges, on_edge)
+    return F.filter(edges, crosses)
+
+
+def strictly_within(edges: Column, x: Column, y: Column) -> Column:
+    """Even-odd rule over all edges (holes are rings of their own); a point on an edge is outside."""
+    return (F.size(edges_crossed(edges, x, y)) % 2 == 1) & ~on_an_edge(edges, x, y)
 
 
 def _cell(degrees: Column, cell: float) -> Column:

@@ -4,7 +4,7 @@ import random
 
 from pyspark.sql import functions as F
 
-from areaflow.operators import spatial
+from areaflow.operators import covering, spatial
 
 RING = "array<struct<x: double, y: double>>"
 AREAS = f"area_code string, area_name string, rings array<{RING}>"
@@ -100,3 +100,40 @@ def test_located_points_keep_those_outside(spark):
     joined = spatial.located_points(points, areas, "left")
     assert found(joined) == {("s0", "A"), ("s1", None)}
     assert joined.where(F.col("area_code").isNull()).count() == 1
+
+
+def test_cells_agree_with_brute_force_and_compare_fewer_edges(spark):
+    rng = random.Random(8)
+    teeth = [(i / 20, 3.0 + (i % 2) * 0.9 + rng.random() / 50) for i in range(200, -1, -1)]
+    comb = [(0.0, 0.0), (10.0, 0.0), *teeth]
+    hole = [(3.0, 1.0), (4.0, 1.0), (4.0, 2.0), (3.0, 2.0)]
+    areas = polygons(spark, ("A", [comb, hole]), ("B", [STAR]), ("C", [SQUARE, HOLE]))
+    points = [(rng.uniform(-1, 16), rng.uniform(-1, 7)) for _ in range(3000)] + [(float("nan"), 1.0), (1e12, 1.0)]
+    expected = set()
+    for i, (x, y) in enumerate(points):
+        for code, rings in (("A", [comb, hole]), ("B", [STAR]), ("C", [SQUARE, HOLE])):
+            if sum(crossings(r, x, y) for r in rings) % 2 and x < 1e9:
+                expected.add((f"s{i}", code))
+    cells = covering.area_covering(areas)
+    assert cells.agg(F.max("level") - F.min("level")).first()[0] >= 3
+    assert found(covering.located_by_cells(stops(spark, *points), cells)) == expected
+    report = covering.covering_report(stops(spark, *points), cells).first()
+    boxes = spatial.area_boxes(areas)
+    bands = spatial.area_bands(boxes).withColumnRenamed("cell_y", "row").select("polygon", "row", F.size("edges").alias("n"))
+    boxed = stops(spark, *points[:-2]).join(boxes, F.expr("stop_lon between min_x and max_x and stop_lat between min_y and max_y"))
+    rows = boxed.withColumn("row", F.floor(F.col("stop_lat") / spatial.CELL_DEGREES).cast("int")).join(bands, ["polygon", "row"])
+    finer = covering.covering_report(stops(spark, *points), covering.area_covering(areas, leaf_edges=2)).first()
+    assert finer["settled"] > report["settled"] > 0 and finer["edges_compared"] < report["edges_compared"]
+    by_bands = rows.agg(F.sum("n")).first()[0]
+    assert report["edges_compared"] * 2 < by_bands and finer["edges_compared"] * 4 < by_bands, (report, finer, by_bands)
+
+
+def test_cells_at_borders_corners_and_odd_areas(spark):
+    areas = polygons(spark, ("A", [SQUARE, HOLE]), ("N", None), ("E", []), ("P", [[(7.0, 7.0)]]))
+    points = [(0, 2), (4, 4), (2, 0), (1.5, 1.5), (1, 1.5), (3, 3), (7, 7)]
+    for leaf in (0, 2, 16):
+        cells = covering.area_covering(areas, leaf_edges=leaf, max_level=6)
+        assert found(covering.located_by_cells(stops(spark, *points), cells)) == {("s5", "A")}
+    assert found(covering.located_by_cells(stops(spark, *points), cells, "left")) >= {("s0", None), ("s5", "A")}
+    empty = covering.area_covering(areas.limit(0))
+    assert covering.located_by_cells(stops(spark, *points), empty).count() == 0
