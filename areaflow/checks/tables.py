@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from dataclasses import replace
 from functools import reduce
 
 from pyspark.sql import DataFrame
@@ -19,7 +20,7 @@ from areaflow.plans import marts
 from areaflow.plans.build import build
 from areaflow.plans.table_tests import TABLE_TESTS, run_table_tests
 from areaflow.runtime import scratch_path, with_bounds
-from areaflow.sources import feeds, files, sinks
+from areaflow.sources import catalog, feeds, files, sinks
 from areaflow.streaming import streams
 
 SLOT = """date_trunc('day', snapshot_timestamp)
@@ -289,6 +290,24 @@ def latest_load(t):
     return files.latest_load(t.spark, root, "trips.txt")
 
 
+@query(
+    "source_file_audit",
+    """select 'trips' as dataset_name, '' as slot, count(*) as row_count from trips
+        union all select feed, strftime(slot, '%Y-%m-%d %H:%M'), count(*) from snapshot_rows group by 1, 2""",
+)
+def source_file_audit(t):
+    """Rows of the source files of three datasets, found by name: the newest of two loads and all snapshots of two feeds."""
+    root = scratch_path(t.spark, "sources")
+    for date, rows in (("2026-05-01", t.trips.limit(0)), ("2026-05-08", t.trips)):
+        sinks.write_partitioned(rows, f"{root}/{catalog.LAYOUT['trips'].folder}/load_date={date}/trips.txt", file_format="csv")
+    rows = files.with_snapshot_parts(snapshot_rows(t)).drop("snapshot_timestamp")
+    sinks.write_partitioned(rows, f"{root}/gtfs_realtime", list(files.SNAPSHOT_PARTS), "csv")
+    layout = {n: replace(catalog.LAYOUT[n], file="") if n != "trips" else catalog.LAYOUT[n] for n in ("trips", "trip_updates", "service_alerts")}
+    audit = catalog.source_files(t.spark, root, BATCH, layout)
+    slot = F.coalesce(F.date_format(parsing.snapshot_time_of(F.col("source_path")), "yyyy-MM-dd HH:mm"), F.lit(""))
+    return audit.groupBy("dataset_name", slot.alias("slot")).agg(F.sum("row_count").alias("row_count"))
+
+
 @query(
     "scan_snapshots",
     """select feed, entity_id, stop_sequence, cast(extract(year from slot) as integer) as year,
