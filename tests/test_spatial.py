@@ -1,5 +1,6 @@
 """Point in polygon against an independent brute-force test."""
 
+import math
 import random
 
 from pyspark.sql import functions as F
@@ -137,3 +138,18 @@ def test_cells_at_borders_corners_and_odd_areas(spark):
     assert found(covering.located_by_cells(stops(spark, *points), cells, "left")) >= {("s0", None), ("s5", "A")}
     empty = covering.area_covering(areas.limit(0))
     assert covering.located_by_cells(stops(spark, *points), empty).count() == 0
+
+
+def test_cells_of_a_wide_fan_grow_slower_than_the_square_of_its_edges(spark):
+    rng = random.Random(5)
+    hole = [(0.0, 1.5), (1.5, 0.0), (0.0, -1.5), (-1.5, 0.0)]
+    kept = {}
+    for n in (500, 4000):
+        rays = [((3 + 2 * rng.random()), 2 * math.pi * k / n) for k in range(n)]
+        fan = [(round(r * math.cos(a), 6), round(r * math.sin(a), 6)) for r, a in rays]
+        cells = covering.area_covering(polygons(spark, ("A", [fan, hole])))
+        kept[n] = cells.agg(F.sum(F.size("edges"))).first()[0]
+        points = [(rng.uniform(-6, 6), rng.uniform(-6, 6)) for _ in range(400)]
+        expected = {(f"s{i}", "A") for i, (x, y) in enumerate(points) if (crossings(fan, x, y) + crossings(hole, x, y)) % 2}
+        assert found(covering.located_by_cells(stops(spark, *points), cells)) == expected
+    assert kept[4000] < 32 * kept[500], kept
