@@ -29,6 +29,8 @@ BATCH = "stored_batch"
 #: How long after its hour the keys of an hour stay in state, and into how many groups an hour is dealt.
 KEEP, BUCKETS = 72 * 3_600_000, 4
 DIGEST = 16
+#: Tasks of the state for each core, at most.
+TASKS_A_CORE = 2
 #: Columns that travel with the rows.
 SHARE = {"hour": "_seen_hour", "bucket": "_seen_bucket", "digest": "_seen_digest", "order": "_seen_order", "whole": "_seen_whole"}
 
@@ -158,16 +160,20 @@ def store_batch(rows: DataFrame, number: int, store: str, keys: tuple[str, ...]
             stored_rows(spark, store, columns)
         writer = fresh.drop(SHARE["whole"]).withColumn(BATCH, F.lit(number).cast("long")).write.mode("overwrite")
         writer.option("partitionOverwriteMode", "dynamic").partitionBy(*HOUR, BATCH).parquet(store)
+        return fresh.select(*HOUR).distinct().collect()
     finally:
         dated.unpersist()
-    return stored_rows(spark, store, columns).where(F.col(BATCH) == number).select(*HOUR).distinct().collect()
 
 
 def run_new_rows(
     stream: DataFrame, store: str, checkpoint: str, after: Callable[[DataFrame, list[Row]], None] | None = None,
     keys: tuple[str, ...] = KEYS, order: str | None = None, keep: int = KEEP, buckets: int = BUCKETS,
 ) -> None:
-    """Store every row of what is there now once, and hand the stored rows of the hours that got new ones to `after`.
+    """Store every row of what is there now once, then hand the stored rows of the hours that got new ones to `after`.
+
+    `after` is called once for all batches of a run, so that an hour is read once however many batches bring rows of it.
+    The last batch that it has seen is kept beside the checkpoint: hours of batches that a failed run left behind are in
+    the next call.
 
     Store and checkpoint belong together: a new checkpoint for a store that has rows is an error, since its keys would
     not be known.
@@ -178,12 +184,28 @@ def run_new_rows(
         raise ValueError(f"{store} holds rows, but {checkpoint} is new")
 
     def handle(rows: DataFrame, number: int) -> None:
-        hours = store_batch(rows, number, store, keys)
-        if after and hours:
-            after(in_hours(stored_rows(rows.sparkSession, store, stream.schema), hours), hours)
+        store_batch(rows, number, store, keys)
 
     found = new_rows(stream, keys, order, keep, buckets)
-    found.writeStream.foreachBatch(handle).option("checkpointLocation", checkpoint).trigger(availableNow=True).start().awaitTermination()
+    writer = found.writeStream.foreachBatch(handle).option("checkpointLocation", checkpoint).trigger(availableNow=True)
+    # each task of the state starts Python and opens a store in every batch, so a new checkpoint gets as many as the
+    # cores can use; an old one keeps its number
+    shuffles = "spark.sql.shuffle.partitions"
+    before = spark.conf.get(shuffles)
+    spark.conf.set(shuffles, min(int(before), TASKS_A_CORE * spark.sparkContext.defaultParallelism))
+    try:
+        query = writer.start()  # takes the settings of this moment
+    finally:
+        spark.conf.set(shuffles, before)
+    query.awaitTermination()
+    if after:
+        rows, done = stored_rows(spark, store, stream.schema), f"{checkpoint}/handed_on"
+        last = spark.read.parquet(done).first()[0] if _exists(spark, f"{done}/_SUCCESS") else -1
+        hours = rows.where(F.col(BATCH) > last).select(*HOUR, BATCH).distinct().collect()  # as many as folders
+        if hours:
+            after(in_hours(rows, list({(h[0], h[1]) for h in hours})), sorted({Row(**{c: h[c] for c in HOUR}) for h in hours}, key=str))
+            newest = spark.createDataFrame([(max(h[BATCH] for h in hours),)], "batch long")
+            newest.coalesce(1).write.mode("overwrite").parquet(done)
 
 
 def _exists(spark: SparkSession, path: str) -> bool:

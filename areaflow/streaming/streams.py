@@ -47,8 +47,8 @@ def run_area_hours(
 ) -> None:
     """Keep delay measures per area and hour up to date, late rows and the last hours included.
 
-    Each batch stores its new rows, then the hours that got some are computed anew from all their stored rows and
-    replace their partitions of the target; no other hour is read. So measures equal those of a batch run, exact
+    Batches store their new rows; when the backlog is worked off, the hours that got some are computed anew from all
+    their stored rows and replace their partitions of the target; no other hour is read. So measures equal those of a batch run, exact
     distinct counts too.
     """
 

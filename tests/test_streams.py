@@ -103,3 +103,30 @@ def test_area_hours_equal_a_batch_run(spark, frame, tmp_path):
     expected = area_hour_trips(delay_events(frame(KIND, *every.values()), stops))
     found = spark.read.schema(expected.schema).parquet(places["out"]).select(*expected.columns)
     assert sorted(map(str, found.collect())) == sorted(map(str, expected.collect()))
+
+
+def test_hours_are_handed_on_once_for_all_batches_and_again_after_a_failure(spark, frame, tmp_path):
+    places = {name: f"file://{tmp_path}/{name}" for name in ("in", "store", "state")}
+    calls, before = [], spark.conf.get("spark.sql.shuffle.partitions")
+
+    def run(after):
+        stream = streams.read_snapshots(spark, places["in"], KIND, files_per_batch=1)
+        seen.run_new_rows(stream, places["store"], places["state"], after)
+
+    def note(rows, hours):
+        calls.append((rows.count(), sorted(h["snapshot_hour"] for h in hours)))
+
+    def fail(rows, hours):
+        raise RuntimeError("no room")
+
+    for k in range(3):  # three files, three batches
+        frame(KIND, row(k, 1), row(10 + k, 2)).coalesce(1).write.mode("append").parquet(places["in"])
+    run(note)
+    assert calls == [(6, [1, 2])]
+    frame(KIND, row(20, 2), row(0, 1)).coalesce(1).write.mode("append").parquet(places["in"])
+    with pytest.raises(RuntimeError, match="no room"):
+        run(fail)
+    run(note)
+    run(note)
+    assert calls == [(6, [1, 2]), (4, [2])]
+    assert spark.conf.get("spark.sql.shuffle.partitions") == before
