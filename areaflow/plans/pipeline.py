@@ -16,6 +16,7 @@ from areaflow.operators.aggregate import (
     area_hour_trips,
     area_hours,
     delay_words,
+    observation_base,
     route_area_coverage,
     route_day_alerts,
     route_day_trips,
@@ -61,6 +62,11 @@ class Pipeline:
     def matched(self) -> DataFrame:
         return materialize(stop_lookup(self.stop_area_map), "matched-stops")
 
+    @cached_property
+    def stop_areas(self) -> DataFrame:
+        """The stop map, unmatched stops included, with the columns that observations and stop times are joined for."""
+        return materialize(self.stop_area_map.select("stop_id", "area_code", "area_name", "is_matched"), "stop-areas")
+
     @cached_property
     def trip_routes(self) -> DataFrame:
         return materialize(self.trips.select("trip_id", "route_id"), "trip-routes")
@@ -98,9 +104,14 @@ class Pipeline:
 
     @cached_property
     def coverage(self) -> DataFrame:
-        rows = route_area_coverage(self.stop_times, self.trips, self.stop_area_map, self.routes)
+        rows = route_area_coverage(self.stop_times, self.trips, self.stop_areas, self.routes)
         return self.once(rows, "coverage")
 
+    @cached_property
+    def observations(self) -> DataFrame:
+        """The observation base."""
+        return observation_base(self.trip_updates, self.stop_areas)
+
     @cached_property
     def counts(self) -> DataFrame:
         served = served_routes(self.stop_times, self.trip_routes, self.matched.withColumn("is_matched", F.lit(True)))

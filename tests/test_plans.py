@@ -1,5 +1,6 @@
 """Events, aggregates, context, scores, marts and reports on small frames, with their special cases."""
 
+import re
 from datetime import date, datetime
 
 import pytest
@@ -7,6 +8,7 @@ from pyspark.sql import functions as F
 
 from areaflow.operators import aggregate as agg
 from areaflow.plans import context, events, exposure, marts, reports, score
+from areaflow.plans.pipeline import Pipeline
 
 UPDATES = (
     "snapshot_timestamp timestamp, entity_id string, trip_id string, route_id string, stop_id string, "
@@ -277,3 +279,19 @@ def test_published_invariants(updates, stop_map, alerts, spark):
     assert by_route == updates.where("route_id is not null").count()
     by_area = agg.area_hour_trips(delays).agg(F.sum("delayed_observation_count")).first()[0]
     assert by_area == delays.where("is_delayed and area_code is not null").count()
+
+
+def test_observations_and_stop_times_are_not_shuffled_for_the_stop_map(updates, spark, frame):
+    n = 200_000  # so large that its size has to be known to be joined without a shuffle
+    numbers = spark.range(n).selectExpr("concat('S', id) as stop_id", "id % 50 as k")
+    names = spark.range(50).selectExpr("id as k", "concat('A', id) as area_code", "concat('Area ', id) as area_name", "true as is_matched")
+    stop_map = numbers.join(names, "k").drop("k")
+    stop_times = frame("trip_id string, stop_id string, stop_sequence int", ("t1", "S1", 1), ("t1", "S51", 2))
+    trips = frame("trip_id string, route_id string", ("t1", "r1"))
+    routes = frame("route_id string, route_short_name string, route_long_name string, route_type int", ("r1", "1", "One", 3))
+    p = Pipeline(updates, None, stop_map, None, routes, trips, stop_times, None)
+    for table in (p.coverage, p.observations):
+        plan = table._jdf.queryExecution().executedPlan().toString()
+        assert "stop-areas" in plan and not re.search(r"hashpartitioning\(stop_id", plan), plan
+    assert [(r["area_code"], r["stop_count_in_area"]) for r in p.coverage.collect()] == [("A1", 2)]
+    assert p.stop_areas.count() == n
