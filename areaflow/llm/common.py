@@ -25,11 +25,11 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def saved(df: DataFrame, label: str) -> DataFrame:
+def saved(df: DataFrame, label: str, compression: str | None = None) -> DataFrame:
     """Write a table to the shared folder and read it back: later steps survive lost executors without the work
     behind it, and never run it twice."""
     path = scratch_path(df.sparkSession, f"llm-{label}")
-    df.write.parquet(path)
+    df.write.parquet(path, compression=compression)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 

@@ -10,8 +10,8 @@ Each text is encoded once: numbers of words in a bounded dictionary of frequent
 these words themselves. The latter meet their counts in joins (rare words have no hot keys by nature). A Baum-Welch
 round is a pass over the encoded training texts: every task adds up expected counts, a grouped sum merges them, and
 the new class parameters, of fixed size, go out again. The last round also sums the expected counts by word and state:
-those of dictionary words go out with the model, those of all others stay a table that scoring joins. First rounds on a
-bounded sample only choose where the full rounds start from.
+those of dictionary words go out with the model, those of all others stay a table that scoring joins. Where the rounds
+start from follows from exact counts of neighbours over all training texts, in groups of classes (see started).
 """
 
 from __future__ import annotations
@@ -21,26 +21,29 @@ import zlib
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
+from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from areaflow.llm.common import part_of, saved, words_of
+from areaflow.llm.common import saved, words_of
 
 #: Words that are classes of their own, shared classes of the others, and frequent words whose counts every task has.
 OWN_CLASSES, SHARED_CLASSES, DICTIONARY = 8_192, 2_048, 200_000
-STATES, FULL_ROUNDS = 6, 2
+STATES, FULL_ROUNDS = 6, 2  # packed() has room for six states
 #: Weight, in expected counts, of a word's overall share of its class beside its counts in a state.
 SHARE_WEIGHT = 20.0
 #: Steps of one in which the states of a token outside the dictionary are counted, so that sums travel as small integers.
 STEPS = 1024
-#: Rounds that choose the start, and texts (about) and tokens (at most) of their sample.
-START_ROUNDS, START_TEXTS, START_TOKENS = 8, 2_000, 200_000
+#: Frequent classes that are groups of their own where neighbours are counted, all groups, and rounds over these counts.
+OWN_GROUPS, GROUPS, START_ROUNDS = 448, 512, 100
 #: Tokens that are in memory together (a longer text is taken alone), and words counted before a task hands them on.
 BATCH_TOKENS, COUNTED = 1 << 18, 100_000
+COMPRESSION = "zstd"  # of stored tables
 END = b""  # no word is empty
 
 
@@ -88,10 +91,11 @@ class Vocabulary:
         """Share of the words that training texts do not have, by class (0 in classes of one word)."""
         return np.concatenate([np.zeros(OWN_CLASSES), 1 / (self.class_tokens + self.class_words + 1)])
 
-    def classes_of(self, codes: np.ndarray) -> np.ndarray:
-        """Classes of encoded words: places in the dictionary, or its size plus the class of another word."""
-        size = len(self.classes)
-        return np.where(codes < size, self.classes[np.minimum(codes, size - 1)], codes - size)
+
+def classes_of(classes: np.ndarray, codes: np.ndarray) -> np.ndarray:
+    """Classes of encoded words: places in the dictionary (with these classes), or its size plus the class of another word."""
+    size = len(classes)
+    return np.where(codes < size, classes[np.minimum(codes, size - 1)], codes - size)
 
 
 def vocabulary(counts: DataFrame) -> Vocabulary:
@@ -136,7 +140,7 @@ def vocabulary(counts: DataFrame) -> Vocabulary:
 
 def encoded(docs: DataFrame, text: str, vocab: Vocabulary) -> DataFrame:
     """Encode all texts: the columns of docs without the text, row, n_tokens, codes (32-bit numbers, see
-    Vocabulary.classes_of), known, base (log10 sum over dictionary words), and rare (the other words, in their order)."""
+    classes_of), known, base (log10 sum over dictionary words), and rare (the other words, in their order)."""
     shared = docs.sparkSession.sparkContext.broadcast(vocab)  # bounded by DICTIONARY
     kind = "n_tokens long, codes binary, known long, base double, rare array<binary>"
 
@@ -150,7 +154,7 @@ def encoded(docs: DataFrame, text: str, vocab: Vocabulary) -> DataFrame:
             cols: dict[str, list] = {k.split()[0]: [] for k in kind.split(", ")}
             for t in texts:
                 words = words_of(t.as_py())
-                codes = np.array([place(w, -1) for w in words] + [end], dtype=np.int64)
+                codes = np.append(np.fromiter(map(place, words, repeat(-1)), dtype=np.int64, count=len(words)), end)
                 missing = np.flatnonzero(codes < 0)
                 rare = [words[k] for k in missing.tolist()]
                 at = codes[codes >= 0]
@@ -187,10 +191,9 @@ class Sequences:
         time = np.arange(len(text)) - np.repeat(np.cumsum(lengths) - lengths, lengths)
         where = self.first[time] + text
         flat = np.concatenate([sequences[k] for k in self.order.tolist()] or [np.zeros(0, dtype=np.int64)])
-        self.ids, self.text, self.before = np.empty(len(flat), dtype=np.int64), np.empty(len(flat), dtype=np.int64), np.empty(len(flat), dtype=np.int64)
+        self.ids, self.text = np.empty(len(flat), dtype=np.int64), np.empty(len(flat), dtype=np.int64)
         self.where = where  # places of the tokens of all sequences, one after the other by descending length
         self.ids[where], self.text[where] = flat, text
-        self.before[where] = np.where(time > 0, self.first[np.maximum(time - 1, 0)] + text, -1)
 
     def forward(self, m: Model, keep: bool = False, within: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray, np.ndarray | None]:
         """Log10 likelihood of each text in the order given, scales by token, and scaled forward values; `within` are
@@ -230,7 +233,9 @@ class Sequences:
     def posterior(self, m: Model) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Expected counts of starts and moves, and the states' probabilities at each token."""
         _, scale, alpha = self.forward(m, keep=True)
-        over = m.emit.T[self.ids] / scale[:, None]  # emission over scale; times the backward value below
+        over = m.emit.T[self.ids]  # emission over scale; times the backward value below
+        over /= scale[:, None]
+        moves = np.zeros_like(m.move)
         gamma = np.ones_like(over)
         back = None
         for t in range(len(self.active) - 1, -1, -1):
@@ -240,9 +245,10 @@ class Sequences:
                 b[: len(back)] = back @ m.move.T
             over[lo : lo + n] *= b
             back = over[lo : lo + n]
+            if t:
+                moves += alpha[int(self.first[t - 1]) :][:n].T @ back
         gamma *= alpha
-        later = np.flatnonzero(self.before >= 0)
-        moves = m.move * (alpha[self.before[later]].T @ over[later])
+        moves *= m.move
         return gamma[: int(self.active[0]) if len(self.active) else 0].sum(axis=0), moves, gamma
 
 
@@ -278,27 +284,55 @@ def prior_of(vocab: Vocabulary) -> np.ndarray:
     return n / n.sum()
 
 
+def group_of(classes: np.ndarray) -> np.ndarray:
+    """Groups of classes: the most frequent ones alone, all others dealt over the rest."""
+    return np.where(classes < OWN_GROUPS, classes, OWN_GROUPS + classes % (GROUPS - OWN_GROUPS))
+
+
+def neighbours(train: DataFrame, vocabs) -> np.ndarray:
+    """How often each group follows each (rows: the one before), counted exactly over all training texts."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        classes, found = vocabs.value, np.zeros(GROUPS * GROUPS, dtype=np.int64)
+        for batch in batches:
+            for _, sequences in batches_of(batch.column(0)):
+                groups = group_of(classes_of(classes, np.concatenate(sequences)))
+                inside = np.ones(len(groups), dtype=bool)
+                inside[np.cumsum([len(s) for s in sequences]) - 1] = False  # nothing follows the end of a text
+                found += np.bincount((groups[:-1] * GROUPS + groups[1:])[inside[:-1]], minlength=len(found))
+        met = np.flatnonzero(found)
+        yield pa.RecordBatch.from_arrays([pa.array(met.astype(np.int32)), pa.array(found[met])], names=["pair", "c"])
+
+    pairs = train.select("codes").mapInArrow(run, "pair int, c long").groupBy("pair").agg(F.sum("c").alias("c")).toArrow()  # GROUPS squared rows at most
+    found = np.zeros(GROUPS * GROUPS)
+    found[pairs.column("pair").to_numpy()] = pairs.column("c").to_numpy()
+    return found.reshape(GROUPS, GROUPS)
+
+
+def started(pairs: np.ndarray, prior: np.ndarray, seed: int) -> Model:
+    """Where Baum-Welch starts from: states that explain the counts of neighbours best, by expectation maximisation over
+    these counts alone. A class has its group's emissions, by its share of the group."""
+    group = group_of(np.arange(len(prior)))
+    share = np.bincount(group, weights=prior, minlength=GROUPS)
+    start, move = np.full(STATES, 1 / STATES), np.full((STATES, STATES), 0.3 / STATES) + 0.7 * np.eye(STATES)
+    emit = share * np.random.default_rng(seed).uniform(0.5, 1.5, (STATES, GROUPS))
+    emit /= emit.sum(axis=1, keepdims=True)
+    for _ in range(START_ROUNDS):
+        both = start[:, None] * move
+        ratio = pairs / np.maximum(emit.T @ both @ emit, 1e-300)
+        before, after = both @ emit @ ratio.T, both.T @ emit @ ratio  # states by groups
+        first = emit * before
+        moves = both * (emit @ ratio @ emit.T)
+        start, move, emit = (lambda m: (m.start, m.move, m.emit))(updated(first.sum(axis=1), moves, first + emit * after, share))
+    return Model(start, move, (emit / share)[:, group] * prior)
+
+
 def trained(train: DataFrame, vocab: Vocabulary, seed: int = 3) -> tuple[Model, np.ndarray, np.ndarray, DataFrame]:
     """Baum-Welch over the encoded training texts (columns codes, rare). Gives the model of classes, the expected counts
-    by state of classes and of dictionary words, and a table of those of all other words (word, e in steps)."""
+    by state of classes and of dictionary words, and a table of those of all other words (word, e: its count, then steps)."""
     prior = prior_of(vocab)
-    noise = np.random.default_rng(seed).uniform(0.5, 1.5, (STATES, len(prior)))
-    first = np.full(STATES, 1 / STATES)
-    stay = np.full((STATES, STATES), 0.3 / STATES) + 0.7 * np.eye(STATES)
-    model = Model(first, stay, prior * noise / (prior * noise).sum(axis=1, keepdims=True))
-    short = train.filter(F.octet_length("codes") <= 4 * START_TOKENS // 20)
-    sample = part_of(short.select("codes"), F.col("codes"), START_TEXTS).distinct().orderBy(F.xxhash64("codes"), "codes")  # START_TEXTS bounds it
-    sequences, total = [], 0
-    for x in sample.toArrow().column(0):
-        s = vocab.classes_of(codes_of(x))
-        if total + len(s) <= START_TOKENS:
-            sequences.append(s)
-            total += len(s)
-    if sequences:
-        laid = Sequences(sequences)
-        for _ in range(START_ROUNDS):
-            model = updated(*laid.expected(model), prior)
-    vocabs = train.sparkSession.sparkContext.broadcast(vocab)  # bounded by DICTIONARY
+    vocabs = train.sparkSession.sparkContext.broadcast(vocab.classes)  # bounded by DICTIONARY
+    model = started(neighbours(train, vocabs), prior, seed)
     for k in range(FULL_ROUNDS):
         start, moves, emits, found, others = full_round(train, model, vocabs, by_word=k == FULL_ROUNDS - 1)
         model = updated(start, moves, emits, prior)
@@ -312,61 +346,76 @@ def trained(train: DataFrame, vocab: Vocabulary, seed: int = 3) -> tuple[Model,
 def full_round(train: DataFrame, model: Model, vocabs, by_word: bool) -> tuple[np.ndarray, np.ndarray, np.ndarray, DataFrame, DataFrame]:
     """Expected counts over all training texts, and two tables by state: (number, e) with one row for starts and each
     state's moves (numbers below zero), each class (its number) and, by word, each dictionary word of a shared class
-    (place after all classes); and (word, e in steps) for each other word. Tasks send sums."""
+    (place after all classes); and (word, e: its count, then steps) for each other word. Tasks send sums."""
     shared = train.sparkSession.sparkContext.broadcast(model)  # of fixed size
     classes = model.emit.shape[1]
 
-    def rows(numbers: np.ndarray | None, words: list[bytes] | None, values: np.ndarray, name: str = "v") -> pa.RecordBatch:
-        n = len(values)
-        number = pa.array(numbers, type=pa.int64()) if numbers is not None else pa.nulls(n, pa.int64())
-        word = pa.array(words, type=pa.binary()) if words is not None else pa.nulls(n, pa.binary())
-        flat = pa.array(np.ascontiguousarray(values).reshape(-1)) if name == "v" else pa.array(np.rint(values * STEPS).astype(np.int64).reshape(-1))
-        v = pa.FixedSizeListArray.from_arrays(flat, STATES).cast(pa.list_(flat.type))
-        none = pa.nulls(n, pa.list_(pa.int64() if name == "v" else pa.float64()))
-        return pa.RecordBatch.from_arrays([number, word, *((v, none) if name == "v" else (none, v))], names=["number", "word", "v", "n"])
+    def rows(numbers: np.ndarray, values: np.ndarray) -> pa.RecordBatch:
+        v = pa.FixedSizeListArray.from_arrays(pa.array(values.reshape(-1)), STATES).cast(pa.list_(pa.float64()))
+        return batch_of(pa.array(numbers, type=pa.int64()), pa.nulls(len(v), pa.binary()), v, pa.nulls(len(v), pa.list_(pa.int64())))
+
+    def word_rows(words: list[pa.Array], steps: list[np.ndarray]) -> pa.RecordBatch:
+        met, e = pa.concat_arrays(words).dictionary_encode(), np.concatenate(steps)
+        k, size = met.indices.to_numpy(), len(met.dictionary)
+        sums = [np.bincount(k, minlength=size), *(np.bincount(k, weights=e[:, j], minlength=size) for j in range(STATES))]
+        flat = pa.array(np.stack(sums, axis=1).astype(np.int64).reshape(-1))
+        n = pa.FixedSizeListArray.from_arrays(flat, 1 + STATES).cast(pa.list_(pa.int64()))
+        return batch_of(pa.nulls(len(n), pa.int64()), met.dictionary, pa.nulls(len(n), pa.list_(pa.float64())), n)
+
+    def batch_of(*columns: pa.Array) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays(list(columns), names=["number", "word", "v", "n"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        m, v = shared.value, vocabs.value
-        size = len(v.classes)
+        m, known = shared.value, vocabs.value
+        size = len(known)
         head, emits, listed = np.zeros((1 + STATES, STATES)), np.zeros((classes, STATES)), np.zeros((size if by_word else 0, STATES))
-        held: dict[bytes, np.ndarray] = {}
+        words: list[pa.Array] = []
+        held: list[np.ndarray] = []
+        tokens = 0
         for batch in batches:
+            others, ends = batch.column(1).flatten(), np.cumsum(pc.list_value_length(batch.column(1)).to_numpy())
             for at, sequences in batches_of(batch.column(0)):
                 codes = np.concatenate(sequences)
-                laid = Sequences([v.classes_of(s) for s in sequences])
+                laid = Sequences([classes_of(known, s) for s in sequences])
                 start, moves, gamma = laid.posterior(m)
                 head += np.concatenate([start[None], moves])
                 at_token = laid.placed(codes)
                 mine = codes < size
-                gamma[at_token[~mine]] = np.rint(gamma[at_token[~mine]] * STEPS) / STEPS
+                steps = np.rint(gamma[at_token[~mine]] * STEPS)
+                gamma[at_token[~mine]] = steps / STEPS
                 for k in range(STATES):
                     emits[:, k] += np.bincount(laid.ids, weights=gamma[:, k], minlength=classes)
                 if not by_word:
                     continue
-                gamma = gamma[at_token]
+                at_token = at_token[mine]
                 for k in range(STATES):
-                    listed[:, k] += np.bincount(codes[mine], weights=gamma[mine, k], minlength=size)
-                rare = [w for r in at for w in batch.column(1)[r].as_py() or []]
-                for w, e in zip(rare, gamma[~mine]):
-                    held[w] = held[w] + e if w in held else e
-                if len(held) > COUNTED:
-                    yield rows(None, list(held), np.stack(list(held.values())), "n")
-                    held.clear()
+                    listed[:, k] += np.bincount(codes[mine], weights=gamma[at_token, k], minlength=size)
+                words.append(others.take(pa.array(np.concatenate([np.arange(ends[r - 1] if r else 0, ends[r]) for r in at]))))
+                held.append(steps.astype(np.int32))
+                tokens += len(steps)
+                if tokens > COUNTED:
+                    yield word_rows(words, held)
+                    words, held, tokens = [], [], 0
         met = np.flatnonzero(emits.sum(axis=1) > 0)
-        yield rows(np.concatenate([np.arange(1 + STATES) - 1 - STATES, met]), None, np.concatenate([head, emits[met]]))
+        yield rows(np.concatenate([np.arange(1 + STATES) - 1 - STATES, met]), np.concatenate([head, emits[met]]))
         if by_word:
-            met = np.flatnonzero((listed.sum(axis=1) > 0) & (v.classes >= OWN_CLASSES))
-            yield rows(classes + met, None, listed[met])
-        if held:
-            yield rows(None, list(held), np.stack(list(held.values())), "n")
+            met = np.flatnonzero((listed.sum(axis=1) > 0) & (known >= OWN_CLASSES))
+            yield rows(classes + met, listed[met])
+        if tokens:
+            yield word_rows(words, held)
 
     found = train.select("codes", "rare").mapInArrow(run, "number long, word binary, v array<double>, n array<long>")
     if by_word:
-        found = saved(found, "hmm-found")
-    each = lambda c: [F.sum(F.col(c)[k]).alias(f"e{k}") for k in range(STATES)]
-    together = F.array(*[f"e{k}" for k in range(STATES)]).alias("e")
-    merged = saved(found.filter("word is null").groupBy("number").agg(*each("v")).select("number", together), "hmm-expected")
-    words = found.filter("word is not null").groupBy("word").agg(*each("n")).select("word", together)
+        found = saved(found, "hmm-found", COMPRESSION)
+
+    def summed(rows: DataFrame, key: str, values: list[Column]) -> DataFrame:
+        sums = rows.groupBy(key).agg(*[F.sum(v).alias(f"e{k}") for k, v in enumerate(values)])
+        return sums.select(key, F.array(*[f"e{k}" for k in range(len(values))]).alias("e"))
+
+    merged = saved(summed(found.filter("word is null"), "number", [F.col("v")[k] for k in range(STATES)]), "hmm-expected")
+    # tasks have summed what they could: rare words travel as they are, in few integers
+    sent = found.filter("word is not null").select("word", packed(F.col("n")).alias("n")).repartition("word")
+    words = summed(sent, "word", [part_in(F.col("n"), k) for k in range(1 + STATES)])
     mine = merged.filter(f"number < {classes}").select("number", "e").toArrow()  # of fixed size
     number, values = mine.column("number").to_numpy(), np.zeros((0, STATES))
     if len(mine):
@@ -377,6 +426,30 @@ def full_round(train: DataFrame, model: Model, vocabs, by_word: bool) -> tuple[n
     return head[0], head[1:], emits, merged, words
 
 
+def packed(e: Column) -> Column:
+    """The count of a word and its steps by state as few integers: two, in parts of 8 and 18 bits, up to a count of 255;
+    above, all of them below zero (-1 less each)."""
+    at = lambda k: F.shiftleft(e[k], 18 * (2 - (k - 1) % 3))
+    return F.when(e[0] < 256, F.array(F.shiftleft(e[0], 54) + at(1) + at(2) + at(3), at(4) + at(5) + at(6))).otherwise(F.transform(e, lambda x: -1 - x))
+
+
+def part_in(v: Column, k: int) -> Column:
+    """The count (k is 0) or the steps of a state (k from 1) in a packed word."""
+    small = F.shiftright(v[0], 54) if k == 0 else F.shiftright(v[(k - 1) // 3], 18 * (2 - (k - 1) % 3)).bitwiseAND(F.lit((1 << 18) - 1))
+    return F.when(v[0] < 0, -1 - F.get(v, F.lit(k))).otherwise(small)
+
+
+def unpacked(v: np.ndarray) -> np.ndarray:
+    """Counts and steps of packed words that follow each other."""
+    large = v < 0
+    head = np.where(large, (np.cumsum(large) - 1) % (1 + STATES), (np.cumsum(~large) - 1) % 2) == 0
+    large_word, pairs = large[head], v[~large].reshape(-1, 2)
+    out = np.empty((len(large_word), 1 + STATES), dtype=np.int64)
+    out[large_word] = -1 - v[large].reshape(-1, 1 + STATES)
+    out[~large_word] = np.concatenate([pairs[:, :1] >> 54, *((pairs[:, k // 3, None] >> 18 * (2 - k % 3)) & 0x3FFFF for k in range(STATES))], axis=1)
+    return out
+
+
 def within_class(e: np.ndarray, c: np.ndarray, unknown: np.ndarray, whole: np.ndarray) -> np.ndarray:
     """Probabilities of words with counts c in their classes by state, from the expected counts by state of the words
     and of the classes, and the classes' shares of unknown words (which count 0)."""
@@ -396,9 +469,9 @@ def scored(docs: DataFrame, allowed: Column, text: str = "text") -> DataFrame:
     names = {f"_in{k}": c for k, c in enumerate(docs.columns) if c not in (*new, text)}
     own = list(names)
     tagged = docs.select(*[F.col(f"`{c}`").alias(k) for k, c in names.items()], F.col(text).alias("_text"), F.coalesce(allowed, F.lit(False)).alias("_train"))
-    counts = saved(counts_of(tagged.filter("_train"), "_text"), "hmm-counts")
+    counts = saved(counts_of(tagged.filter("_train"), "_text"), "hmm-counts", COMPRESSION)
     vocab = vocabulary(counts)
-    data = saved(encoded(tagged, "_text", vocab), "hmm-encoded")
+    data = saved(encoded(tagged, "_text", vocab), "hmm-encoded", COMPRESSION)
     model, whole, listed, others = trained(data.filter("_train"), vocab)
     unknown = vocab.unknown()
     factors = within_class(listed, vocab.counts, unknown[vocab.classes], whole.T[vocab.classes])
@@ -417,18 +490,18 @@ def scored(docs: DataFrame, allowed: Column, text: str = "text") -> DataFrame:
                 ids = np.where(mine, classes[np.minimum(codes, size - 1)], codes - size)
                 within = factors[np.minimum(codes, size - 1)]
                 if not mine.all():
-                    v = np.concatenate([found[r].values.to_numpy() for r in rows if found[r].is_valid]).reshape(-1, STATES + 1).astype(np.float64)
+                    v = unpacked(np.concatenate([found[r].values.to_numpy() for r in rows if found[r].is_valid]))
                     within[~mine] = within_class(v[:, 1:] / STEPS, v[:, 0], unknown[ids[~mine]], whole.T[ids[~mine]])
                 ends = np.cumsum([len(s) for s in sequences])[:-1]
                 out[rows] = Sequences(np.split(ids, ends)).forward(m, within=within)[0]
             yield pa.array(out)
 
     # every other word of the corpus: its count and its expected counts by state
-    known = others.join(counts, "word").select("word", F.concat(F.array("c"), "e").alias("v"))
+    known = others.select("word", packed(F.col("e")).alias("v"))
     rare = data.filter(F.size("rare") > 0).select("row", F.posexplode("rare").alias("pos", "word"))
-    none = F.array(*[F.lit(0).cast("long")] * (STATES + 1))
+    none = F.array(*[F.lit(0).cast("long")] * 2)
     met = rare.join(known, "word", "left").select("row", "pos", F.coalesce("v", none).alias("v")).repartition("row")
-    c = F.col("v")[0]
+    c = part_in(F.col("v"), 0)
     summed = met.groupBy("row").agg(
         F.count_if(c > 0).alias("r_known"),
         F.sum(F.log10((c + 1) / F.lit(float(vocab.tokens + vocab.words + 1)))).alias("r_base"),

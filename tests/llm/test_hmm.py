@@ -165,3 +165,34 @@ def test_every_word_has_emissions_of_its_own(frame, monkeypatch):
                 total += math.log10(a.sum())
                 a = a / a.sum()
             assert scores[i] == pytest.approx(total)
+
+
+def test_start_counts_neighbours_of_all_training_texts(frame, monkeypatch):
+    """More texts than the sample that used to choose the start: every one of them is counted."""
+    texts = [f"w{i} the w{i % 7}" if i % 3 else "" for i in range(5_000)]
+    docs = frame("doc_id long, text string", *enumerate(texts))
+    neighbours, made = hmm.neighbours, []
+
+    def found(train, vocabs):
+        made.append((neighbours(train, vocabs), vocabs.value))
+        return made[-1][0]
+
+    vocabulary = hmm.vocabulary
+    monkeypatch.setattr(hmm, "neighbours", found)
+    monkeypatch.setattr(hmm, "vocabulary", lambda counts: made.append(vocabulary(counts)) or made[-1])
+    hmm.scored(docs, F.col("doc_id") % 5 > 0)
+    vocab, (pairs, classes) = made
+    expected = np.zeros((hmm.GROUPS, hmm.GROUPS))
+    for i, t in enumerate(texts):
+        if i % 5:
+            groups = hmm.group_of(classes[[vocab.places[w] for w in [*words_of(t), b""]]])
+            np.add.at(expected, (groups[:-1], groups[1:]), 1)
+    assert (pairs == expected).all() and pairs.sum() == 3 * sum(1 for i in range(5_000) if i % 3 and i % 5)
+
+
+def test_packed_counts_come_back(frame):
+    e = [[1, 1024, 0, 0, 0, 0, 0], [255, 255 * 1024, 0, 3, 4, 5, 255 * 1024], [256, 256 * 1024, 1, 0, 0, 9, 0], [0] * 7, [1 << 40, 0, 1 << 50, 0, 7, 0, 0], [3, 512, 512, 512, 512, 512, 512]]
+    rows = frame("k int, e array<long>", *enumerate(e)).select("k", hmm.packed(F.col("e")).alias("v"))
+    found = rows.select("v", F.array(*[hmm.part_in(F.col("v"), k) for k in range(7)]).alias("e")).orderBy("k").collect()
+    assert [r["e"] for r in found] == e and [len(r["v"]) for r in found] == [2, 2, 7, 2, 7, 2]
+    assert hmm.unpacked(np.array([x for r in found for x in r["v"]])).tolist() == e
