@@ -68,8 +68,8 @@ def partition_parts(df: DataFrame, path: str = "file_path") -> DataFrame:
 
 def with_snapshot_parts(df: DataFrame) -> DataFrame:
     """Add year to minute as zero-padded text, as used in snapshot directory names."""
-    patterns = {"year": "yyyy", "month": "MM", "day": "dd", "hour": "HH", "minute": "mm"}
-    return df.withColumns({part: F.date_format("snapshot_timestamp", p) for part, p in patterns.items()})
+    text = F.split(F.date_format("snapshot_timestamp", "yyyy-MM-dd-HH-mm"), "-")  # formatted once
+    return df.withColumns({part: text[k] for k, part in enumerate(SNAPSHOT_PARTS[1:])})
 
 
 def snapshot_files(spark: SparkSession, root: str) -> DataFrame:

@@ -6,7 +6,9 @@ from datetime import datetime
 import pytest
 from pyspark.sql import functions as F
 
+from areaflow.checks import tables
 from areaflow.contracts import get_contract
+from areaflow.fixtures import Tables
 from areaflow.operators import coverage, standardize
 from areaflow.sources import feeds, files, sinks
 from areaflow.streaming import streams
@@ -199,3 +201,24 @@ def test_newest_load_of_one_file(spark, tmp_path):
         (tmp_path / f"load_date={date}" / name).write_text(text)
     assert [tuple(r) for r in files.latest_load(spark, str(tmp_path), "stops.txt").collect()] == [("a", "1")]
     assert [tuple(r) for r in files.latest_load(spark, str(tmp_path), "routes.txt").collect()] == [("c", "2")]
+
+
+def test_paths_are_parsed_once_and_not_for_every_row(spark, tmp_path, monkeypatch):
+    spark.sql("select id as l_orderkey, id % 3 as l_linenumber, id as l_partkey, id as l_suppkey from range(200)").write.parquet(f"{tmp_path}/lineitem.parquet")
+    spark.sql("select id as o_orderkey, id as o_custkey from range(200)").write.parquet(f"{tmp_path}/orders.parquet")
+    spark.sql("select id as event_id, id as user_id, 'click' as event_type from range(50)").write.parquet(f"{tmp_path}/events.parquet")
+    counted, parts = [], files.partition_parts
+    monkeypatch.setattr(files, "partition_parts", lambda df: counted.append(df) or parts(df))
+    rows = tables.partition_parts(Tables(spark, str(tmp_path)))
+    assert counted[0].count() == counted[0].select("file_path").distinct().count()
+    assert rows.groupBy().sum("n").first()[0] == 250
+    plan = rows._jdf.queryExecution().optimizedPlan().toString()
+    assert "regexp_extract" in plan and "csv" not in plan
+
+
+def test_snapshot_parts_of_a_time(frame):
+    rows = frame("k int, t string", (1, "2026-05-01 03:04:59"), (2, None), (3, "0987-12-31 23:00:00"), (4, "+12026-01-02 00:09:00"))
+    found = files.with_snapshot_parts(rows.withColumn("snapshot_timestamp", F.to_timestamp("t"))).orderBy("k").drop("t", "snapshot_timestamp", "k").collect()
+    patterns = ("yyyy", "MM", "dd", "HH", "mm")
+    each = rows.withColumn("s", F.to_timestamp("t")).orderBy("k").select(*[F.date_format("s", p) for p in patterns]).collect()
+    assert [tuple(r) for r in found] == [tuple(r) for r in each]
