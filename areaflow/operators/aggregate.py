@@ -8,7 +8,7 @@ from pyspark.sql import types as T
 
 from areaflow.functions.parsing import to_whole
 from areaflow.functions.rules import is_late
-from areaflow.operators.distinct import Ids, distinct, merged, words
+from areaflow.operators.distinct import Ids, distinct, merged, totalled, with_counts, words
 from areaflow.runtime import lookup_join
 
 AREA_HOUR = ("snapshot_date", "snapshot_hour", "area_code")
@@ -55,9 +55,8 @@ NAME = "area_name_number"
 DELAY_GRAIN = (*AREA_HOUR, "route_id")
 
 
-def delay_words(delays: DataFrame, keys: tuple[str, ...] = DELAY_GRAIN) -> DataFrame:
-    """Classified delays by the keys, with stops and trips as words of bits (see distinct.words) and marks of the late
-    ones. Any coarser measure follows from them by merging.
+def word_measures(delays: DataFrame, keys: tuple[str, ...]) -> tuple[tuple[str, ...], dict[str, tuple[str, Column]]]:
+    """The keys and measures of classified delays.
 
     Where delays number their area names in the order of the names (NAME), the largest number is a measure; else the
     name is one more key, since the largest of a text cannot be kept in a hash aggregate.
@@ -72,28 +71,73 @@ def delay_words(delays: DataFrame, keys: tuple[str, ...] = DELAY_GRAIN) -> DataF
         measures[NAME] = ("max", F.col(NAME))
     elif "area_code" in keys:
         keys = (*keys, "area_name")
+    return keys, measures
+
+
+def delay_words(delays: DataFrame, keys: tuple[str, ...] = DELAY_GRAIN) -> DataFrame:
+    """Classified delays by the keys (and the area name, see word_measures()), with stops and trips as words of bits (see
+    distinct.words) and marks of the late ones. Any coarser measure follows from them by merging."""
+    late = F.col("is_delayed")
+    keys, measures = word_measures(delays, keys)
     return words(delays, keys, [id_of(delays, "stop", late=late), id_of(delays, "trip", late=late)], measures)
 
 
+def id_words(rows: DataFrame, keys: tuple[str, ...], **marks: Column) -> DataFrame:
+    """Stops and trips by the keys as words of bits, without measures."""
+    return words(rows, keys, [id_of(rows, "stop", **marks), id_of(rows, "trip", **marks)], {})
+
+
 def merged_delays(rows: DataFrame, keys: tuple[str, ...]) -> DataFrame:
     """Delay words at coarser keys."""
     name = {c: "max" for c in (NAME, "area_name") if c in rows.columns}
     return merged(rows, keys, DELAY_MEASURES | name)
 
 
-def delay_measures(rows: DataFrame, keys: tuple[str, ...], count_name: str, *more: Column) -> DataFrame:
-    """Measures by the keys, over delay words merged at those keys."""
-    return rows.groupBy(*keys).agg(
+def merged_apart(rows: DataFrame, keys: tuple[str, ...]) -> tuple[DataFrame, DataFrame]:
+    """Measures and ids of delay words at coarser keys, each of its own: ids are merged without the measures, and measures
+    without the many rows of trips."""
+    values = {c: (how, F.col(c)) for c, how in DELAY_MEASURES.items()}
+    if "area_code" in keys and NAME in rows.columns:
+        values[NAME] = ("max", F.col(NAME))
+    grain = (*keys, "area_name") if "area_code" in keys and "area_name" in rows.columns else keys
+    return totalled(rows.where(F.col("rows").isNotNull()), grain, values), merged(rows.select(*keys, "kind", "word", "other", "bits"), keys, {})
+
+
+def words_apart(delays: DataFrame, keys: tuple[str, ...], **marks: Column) -> tuple[DataFrame, DataFrame]:
+    """Measures and ids of classified delays by the keys, each of its own."""
+    grain, measures = word_measures(delays, keys)
+    return totalled(delays, grain, measures), id_words(delays, keys, **marks)
+
+
+def split_words(delays: DataFrame, keys: tuple[str, ...] = DELAY_GRAIN) -> DataFrame:
+    """delay_words() with the measures in rows that have no id.
+
+    Ids come once a row where they do not repeat, so the hash table that combines them in a task is as long as its rows;
+    without the measures it is half as wide, and stays in memory. Delays are classified twice, from the same exchange.
+    """
+    totals, ids = words_apart(delays, keys, late=F.col("is_delayed"))
+    kind = totals.withColumns({"kind": F.lit(STOP), "word": F.lit(None).cast("long"), "other": F.lit(None).cast("string")})
+    return kind.unionByName(ids, allowMissingColumns=True)
+
+
+def delay_measures(rows: DataFrame, keys: tuple[str, ...], count_name: str, *more: Column, ids: DataFrame | None = None) -> DataFrame:
+    """Measures by the keys, over delay words merged at those keys, or over measures alone with their `ids` apart."""
+    counts = [distinct(TRIP).alias("distinct_trip_count"), distinct(STOP).alias("distinct_stop_count")]
+    found = rows.groupBy(*keys).agg(
         *more,
         F.sum("rows").alias(count_name),
-        distinct(TRIP).alias("distinct_trip_count"),
-        distinct(STOP).alias("distinct_stop_count"),
+        *(counts if ids is None else []),
         F.sum("late").alias("delayed_observation_count"),
         mean("arr").alias("avg_arrival_delay_seconds"),
         mean("dep").alias("avg_departure_delay_seconds"),
         F.max("max_delay").alias("max_delay_seconds"),
         F.sum("major").alias("major_delay_count"),
     )
+    if ids is None:
+        return found
+    at = found.columns.index(count_name) + 1
+    order = [*found.columns[:at], "distinct_trip_count", "distinct_stop_count", *found.columns[at:]]
+    return with_counts(found, ids, keys, counts).select(*order)
 
 
 def alert_measures() -> list[Column]:
@@ -103,23 +147,29 @@ def alert_measures() -> list[Column]:
     ]
 
 
-def area_hour_measures(rows: DataFrame, names: DataFrame | None = None) -> DataFrame:
+def area_hour_measures(rows: DataFrame, names: DataFrame | None = None, ids: DataFrame | None = None) -> DataFrame:
     """Delay measures by date, hour and area from delay words at that grain, of observations with an area; the area name
     is the largest one among the observations (by its number in `names`, where delays number it)."""
     if names is None:
-        return delay_measures(rows, AREA_HOUR, "observation_count", F.max("area_name").alias("area_name"))
-    found = lookup_join(delay_measures(rows, AREA_HOUR, "observation_count", F.max(NAME).alias(NAME)), names, NAME)
+        return delay_measures(rows, AREA_HOUR, "observation_count", F.max("area_name").alias("area_name"), ids=ids)
+    found = lookup_join(delay_measures(rows, AREA_HOUR, "observation_count", F.max(NAME).alias(NAME), ids=ids), names, NAME)
     return found.select(*AREA_HOUR, "area_name", *[c for c in found.columns if c not in (*AREA_HOUR, "area_name", NAME)])
 
 
 def area_hours(rows: DataFrame, names: DataFrame | None = None) -> DataFrame:
     """Delay measures by date, hour and area from stored delay words."""
-    return area_hour_measures(merged_delays(rows.where(F.col("area_code").isNotNull()), AREA_HOUR), names)
-
-
-def area_hour_trips(delays: DataFrame, names: DataFrame | None = None) -> DataFrame:
-    """Delay measures by date, hour and area, over observations with an area."""
-    found = delay_words(delays.where(F.col("area_code").isNotNull()), AREA_HOUR)
+    totals, ids = merged_apart(rows.where(F.col("area_code").isNotNull()), AREA_HOUR)
+    return area_hour_measures(totals, names, ids)
+
+
+def area_hour_trips(delays: DataFrame, names: DataFrame | None = None, apart: bool = False) -> DataFrame:
+    """Delay measures by date, hour and area, over observations with an area. With `apart` the distinct counts are an
+    aggregate of their own (see distinct.with_counts): for queries that show none of them."""
+    rows = delays.where(F.col("area_code").isNotNull())
+    if apart:
+        totals, ids = words_apart(rows, AREA_HOUR)
+        return area_hour_measures(totals, names, ids)
+    found = delay_words(rows, AREA_HOUR)
     return area_hour_measures(found if names is not None else merged_delays(found, AREA_HOUR), names)
 
 
@@ -128,20 +178,23 @@ def area_hour_alerts(alerts: DataFrame) -> DataFrame:
     return alerts.where(F.col("area_code").isNotNull()).groupBy(*AREA_HOUR).agg(*alert_measures())
 
 
-def route_day_measures(rows: DataFrame) -> DataFrame:
+def route_day_measures(rows: DataFrame, ids: DataFrame | None = None) -> DataFrame:
     """Delay measures by date and route from delay words at that grain."""
-    return delay_measures(rows.withColumnRenamed("snapshot_date", "service_date"), ROUTE_DAY, "observed_trip_update_rows")
+    day = {"snapshot_date": "service_date"}
+    ids = ids if ids is None else ids.withColumnsRenamed(day)
+    return delay_measures(rows.withColumnsRenamed(day), ROUTE_DAY, "observed_trip_update_rows", ids=ids)
 
 
 def route_days(rows: DataFrame) -> DataFrame:
     """Delay measures by date and route from stored delay words, of observations with a route: hours and areas merge,
     no observation is read."""
-    return route_day_measures(merged_delays(rows.where(F.col("route_id").isNotNull()), ("snapshot_date", "route_id")))
+    return route_day_measures(*merged_apart(rows.where(F.col("route_id").isNotNull()), ("snapshot_date", "route_id")))
 
 
-def route_day_trips(delays: DataFrame) -> DataFrame:
-    """Delay measures by date and route, over observations with a route."""
-    return route_day_measures(delay_words(delays.where(F.col("route_id").isNotNull()), ("snapshot_date", "route_id")))
+def route_day_trips(delays: DataFrame, apart: bool = False) -> DataFrame:
+    """Delay measures by date and route, over observations with a route; for `apart` see area_hour_trips()."""
+    rows, keys = delays.where(F.col("route_id").isNotNull()), ("snapshot_date", "route_id")
+    return route_day_measures(*words_apart(rows, keys)) if apart else route_day_measures(delay_words(rows, keys))
 
 
 def route_day_alerts(alerts: DataFrame) -> DataFrame:
@@ -177,9 +230,9 @@ def covered_stop_times(stop_times: DataFrame, trips: DataFrame, stop_map: DataFr
 
 
 def route_area_coverage(
-    stop_times: DataFrame, trips: DataFrame, stop_map: DataFrame, routes: DataFrame
+    stop_times: DataFrame, trips: DataFrame, stop_map: DataFrame, routes: DataFrame, apart: bool = False
 ) -> DataFrame:
-    """Stops, trips and stop sequence range per route and area.
+    """Stops, trips and stop sequence range per route and area; for `apart` see area_hour_trips().
 
     Grouping by route id first means that route names are joined to the few result rows instead of to
     every stop time. A route id with several different names gives one row for each, as grouping by name does.
@@ -189,14 +242,16 @@ def route_area_coverage(
     rows = covered_stop_times(stop_times, trips, stop_map).withColumn(
         "stop_sequence", to_whole(sequence) if is_text else sequence.cast("bigint")
     )
-    keys, measures = ("route_id", "area_code", "area_name"), {"first": "min", "last": "max"}
-    found = words(rows, keys, [id_of(rows, "stop"), id_of(rows, "trip")], {name: (how, F.col("stop_sequence")) for name, how in measures.items()})
+    keys, measures = ("route_id", "area_code", "area_name"), {name: (how, F.col("stop_sequence")) for name, how in (("first", "min"), ("last", "max"))}
+    counts = [distinct(STOP).alias("stop_count_in_area"), distinct(TRIP).alias("trip_count_serving_area")]
+    found = totalled(rows, keys, measures) if apart else words(rows, keys, [id_of(rows, "stop"), id_of(rows, "trip")], measures)
     grouped = found.groupBy(*keys).agg(
-        distinct(STOP).alias("stop_count_in_area"),
-        distinct(TRIP).alias("trip_count_serving_area"),
+        *([] if apart else counts),
         F.min("first").alias("first_stop_sequence"),
         F.max("last").alias("last_stop_sequence"),
     )
+    if apart:
+        grouped = with_counts(grouped, id_words(rows, keys), keys, counts)
     names = routes.select("route_id", "route_short_name", "route_long_name", "route_type").distinct()
     return lookup_join(grouped, names, "route_id").select(
         "route_id",
@@ -227,8 +282,8 @@ def observations_with_area(trip_updates: DataFrame, stop_map: DataFrame) -> Data
     return lookup_join(observed, areas, "stop_id").withColumn("is_matched", F.coalesce("is_matched", F.lit(False)))
 
 
-def observation_base(trip_updates: DataFrame, stop_map: DataFrame) -> DataFrame:
-    """Observations by date, hour and area, with the group of no area kept."""
+def observation_base(trip_updates: DataFrame, stop_map: DataFrame, apart: bool = False) -> DataFrame:
+    """Observations by date, hour and area, with the group of no area kept; for `apart` see area_hour_trips()."""
     late = is_late(F.col("arrival_delay_seconds")) | is_late(F.col("departure_delay_seconds"))
     time = F.col("snapshot_timestamp")
     rows = observations_with_area(trip_updates, stop_map).withColumns(
@@ -241,10 +296,11 @@ def observation_base(trip_updates: DataFrame, stop_map: DataFrame) -> DataFrame:
         "max_arr": ("max", F.col("arrival_delay_seconds")),
         "max_dep": ("max", F.col("departure_delay_seconds")),
     }
-    return words(rows, keys, [id_of(rows, "stop"), id_of(rows, "trip")], measures).groupBy(*keys).agg(
+    found = totalled(rows, keys, measures) if apart else words(rows, keys, [id_of(rows, "stop"), id_of(rows, "trip")], measures)
+    counts = [distinct(TRIP).alias("distinct_trip_count"), distinct(STOP).alias("distinct_stop_count")]
+    base = found.groupBy(*keys).agg(
         F.sum("entities").alias("observation_count"),
-        distinct(TRIP).alias("distinct_trip_count"),
-        distinct(STOP).alias("distinct_stop_count"),
+        *([] if apart else counts),
         F.sum("late").alias("delayed_observation_count"),
         mean("arr").alias("avg_arrival_delay_seconds"),
         mean("dep").alias("avg_departure_delay_seconds"),
@@ -252,6 +308,11 @@ def observation_base(trip_updates: DataFrame, stop_map: DataFrame) -> DataFrame:
         F.max("max_dep").alias("max_departure_delay_seconds"),
         F.sum("unmatched").alias("unmatched_stop_observation_count"),
     )
+    if not apart:
+        return base
+    rest = [c for c in base.columns if c not in (*keys, "observation_count")]
+    joined = with_counts(base, id_words(rows, keys), keys, counts)
+    return joined.select(*keys, "observation_count", "distinct_trip_count", "distinct_stop_count", *rest)
 
 
 def observation_report(trip_updates: DataFrame, stop_map: DataFrame) -> DataFrame:

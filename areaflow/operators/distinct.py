@@ -95,6 +95,21 @@ def distinct(kind: int, mark: str | None = None) -> Column:
     return F.coalesce(F.sum(F.when(F.col("kind") == kind, n)), F.lit(0))
 
 
+def totalled(rows: DataFrame, keys: tuple[str, ...], measures: dict[str, tuple[str, Column]]) -> DataFrame:
+    """The measures of words() by the keys, without the ids."""
+    return rows.groupBy(*keys).agg(*[COMBINE[how](c).alias(name) for name, (how, c) in measures.items()])
+
+
+def with_counts(totals: DataFrame, ids: DataFrame, keys: tuple[str, ...], counts: list[Column]) -> DataFrame:
+    """Measures by the keys with counts over ids merged at those keys, where both are kept apart.
+
+    A key has one row of counts, so Catalyst leaves out the join, and with it the ids, where a query shows no count of them.
+    The key is a struct: null keys meet.
+    """
+    found = ids.groupBy(F.struct(*keys).alias("_key")).agg(*counts)
+    return totals.withColumn("_key", F.struct(*keys)).join(found, "_key", "left").drop("_key")
+
+
 def numbered(rows: DataFrame, column: str, output: str) -> DataFrame:
     """Rows with a number for each value of a column, null for null; without gaps where no value repeats, but for those
     between tasks. Numbers hold for rows that are stored: another run may number differently."""

@@ -15,13 +15,13 @@ from areaflow.operators.aggregate import (
     area_hour_alerts,
     area_hour_trips,
     area_hours,
-    delay_words,
     observation_base,
     route_area_coverage,
     route_day_alerts,
     route_day_trips,
     route_days,
     served_routes,
+    split_words,
 )
 from areaflow.operators.distinct import numbered
 from areaflow.plans.context import area_context
@@ -42,7 +42,9 @@ class Pipeline:
 
     With store, what the score reads more than once is written too: counts, coverage and exposure, the bounds of
     which then come from file footers. With merge_hours, observations are read once for everything: they become delay
-    hours, which are stored, and area hours, route days and reports follow by merging these."""
+    hours, which are stored, and area hours, route days and reports follow by merging these. With apart, distinct counts of
+    observations and stop times are aggregates of their own, which a query that shows none of them goes without; a query
+    that does reads its rows twice."""
 
     trip_updates: DataFrame
     service_alerts: DataFrame
@@ -54,6 +56,7 @@ class Pipeline:
     area_index: DataFrame
     store: bool = False
     merge_hours: bool = False
+    apart: bool = False
 
     def once(self, df: DataFrame, label: str) -> DataFrame:
         return materialize(df, label) if self.store else df
@@ -99,18 +102,18 @@ class Pipeline:
 
     @cached_property
     def delay_hours(self) -> DataFrame:
-        """All observations by hour, area and route, as words that merge (see aggregate.delay_words)."""
-        return materialize(delay_words(self.numbered_delays), "delay-hours")
+        """All observations by hour, area and route, as words that merge (see aggregate.split_words)."""
+        return materialize(split_words(self.numbered_delays), "delay-hours")
 
     @cached_property
     def coverage(self) -> DataFrame:
-        rows = route_area_coverage(self.stop_times, self.trips, self.stop_areas, self.routes)
+        rows = route_area_coverage(self.stop_times, self.trips, self.stop_areas, self.routes, self.apart)
         return self.once(rows, "coverage")
 
     @cached_property
     def observations(self) -> DataFrame:
         """The observation base."""
-        return observation_base(self.trip_updates, self.stop_areas)
+        return observation_base(self.trip_updates, self.stop_areas, self.apart)
 
     @cached_property
     def counts(self) -> DataFrame:
@@ -122,12 +125,12 @@ class Pipeline:
         if self.merge_hours:
             delays = area_hours(self.delay_hours, self.area_names)
         else:
-            delays = area_hour_trips(self.numbered_delays, self.area_names)
+            delays = area_hour_trips(self.numbered_delays, self.area_names, self.apart)
         return outer_measures(delays, area_hour_alerts(self.alerts), AREA_HOUR, "observation_count")
 
     @cached_property
     def route_day_measures(self) -> DataFrame:
-        delays = route_days(self.delay_hours) if self.merge_hours else route_day_trips(self.numbered_delays)
+        delays = route_days(self.delay_hours) if self.merge_hours else route_day_trips(self.numbered_delays, self.apart)
         return outer_measures(delays, route_day_alerts(self.alerts), ROUTE_DAY, "observed_trip_update_rows")
 
     @cached_property

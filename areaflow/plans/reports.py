@@ -13,7 +13,7 @@ from areaflow.functions.rules import (
 )
 from areaflow.operators.aggregate import TRIP, rate
 from areaflow.operators.distinct import distinct
-from areaflow.runtime import lookup_join
+from areaflow.runtime import lookup_join, materialize
 
 TOP = 25
 
@@ -155,10 +155,15 @@ def high_impact_areas(summary: DataFrame) -> DataFrame:
     )
 
 
+def high_impact_codes(summary: DataFrame) -> DataFrame:
+    """Codes of the high-impact areas, stored: their size is known, so observations are not shuffled to be joined with few."""
+    return materialize(high_impact_areas(summary).select("area_code"), "high-areas")
+
+
 def delayed_in_high_impact(delays: DataFrame, summary: DataFrame) -> DataFrame:
     """Delayed observations with a route, in high-impact areas. Areas are unique, so a semi-join is enough."""
     late = delays.where(F.col("is_delayed") & F.col("route_id").isNotNull())
-    return lookup_join(late, high_impact_areas(summary).select("area_code"), "area_code", "left_semi")
+    return lookup_join(late, high_impact_codes(summary), "area_code", "left_semi")
 
 
 def route_contribution(delays: DataFrame, summary: DataFrame, k: int = TOP) -> DataFrame:
@@ -177,11 +182,11 @@ def route_contribution(delays: DataFrame, summary: DataFrame, k: int = TOP) -> D
 
 
 def route_contribution_of_hours(hours: DataFrame, summary: DataFrame, k: int = TOP) -> DataFrame:
-    """route_contribution() from stored delay hours (see aggregate.delay_words): the marks of late stops and trips are
+    """route_contribution() from stored delay hours (see aggregate.split_words): the marks of late stops and trips are
     merged by route, no observation is read."""
-    late = hours.where(F.col("route_id").isNotNull() & (F.col("late_bits") != 0))
-    high = lookup_join(late, high_impact_areas(summary).select("area_code"), "area_code", "left_semi")
-    areas = high.groupBy("route_id", "area_code").agg(F.sum("late").alias("late"), F.sum("late_delay").alias("late_delay"))
+    late = hours.where(F.col("route_id").isNotNull() & ((F.col("late") > 0) | (F.col("late_bits") != 0)))
+    high = lookup_join(late, high_impact_codes(summary), "area_code", "left_semi")
+    areas = high.where(F.col("late") > 0).groupBy("route_id", "area_code").agg(F.sum("late").alias("late"), F.sum("late_delay").alias("late_delay"))
     by_area = areas.groupBy("route_id").agg(
         F.sum("late").alias("delayed_observations_in_high_impact_areas"),
         F.count("area_code").alias("high_impact_area_count"),

@@ -90,3 +90,37 @@ def test_bounds_come_from_footers(spark, tmp_path):
     assert spark.conf.get("spark.sql.sources.useV1SourceList") == before
     with_scan = spark.conf.get("spark.sql.parquet.aggregatePushdown")
     assert with_scan == "false"
+
+
+DELAYS = """snapshot_date date, snapshot_hour int, area_code string, area_name string, route_id string, trip_id string, stop_id string, arrival_delay_seconds int,
+    departure_delay_seconds int, max_delay_seconds int, is_delayed boolean, delay_severity_band string"""
+
+
+def delay_rows(n=300):
+    draw = random.Random(7)
+    pick = lambda *values: draw.choice([*values, None])
+    days = (dt.date(2026, 5, 1), dt.date(2026, 5, 2))
+    return [
+        (pick(*days), pick(6, 7), pick("a", "b"), pick("A", "B"), pick("r", "s"), pick(*"tuv"), pick("S1", "S2"), pick(0, 400), pick(10, 500), pick(400, 900), pick(True, False), pick("major_delay", "minor_delay"))
+        for _ in range(n)
+    ]
+
+
+def test_counts_apart_are_the_same_and_left_out_where_not_shown(frame):
+    """Null dates, hours and ids included; without a count shown, the plan has no words of ids."""
+    delays = frame(DELAYS, *delay_rows()).repartition(3)
+    stored = [f(delays).localCheckpoint() for f in (agg.delay_words, agg.split_words)]
+    for plain, *others in (
+        (agg.area_hour_trips(delays), agg.area_hour_trips(delays, apart=True), *map(agg.area_hours, stored)),
+        (agg.route_day_trips(delays), agg.route_day_trips(delays, apart=True), *map(agg.route_days, stored)),
+    ):
+        for other in others:
+            assert plain.columns == other.columns and "bit_or" in plan(other)
+            assert sorted(map(str, plain.collect())) == sorted(map(str, other.collect()))
+            assert "bit_or" not in plan(other.drop("distinct_trip_count", "distinct_stop_count"))
+
+
+def test_delays_are_not_shuffled_for_the_high_areas(spark):
+    p = Tables(spark, SF_DIR).pipeline(merge_hours=True)
+    for df in (reports.route_contribution_of_hours(p.delay_hours, p.multi_day), reports.route_contribution(p.delays, p.multi_day)):
+        assert "high-areas" in plan(df) and "hashpartitioning(area_code" not in plan(df)
