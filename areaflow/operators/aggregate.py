@@ -113,7 +113,7 @@ def split_words(delays: DataFrame, keys: tuple[str, ...] = DELAY_GRAIN) -> DataF
     """delay_words() with the measures in rows that have no id.
 
     Ids come once a row where they do not repeat, so the hash table that combines them in a task is as long as its rows;
-    without the measures it is half as wide, and stays in memory. Delays are classified twice, from the same exchange.
+    without the measures it is half as wide, and stays in memory. Delays are classified twice, from the same exchange where one feeds them.
     """
     totals, ids = words_apart(delays, keys, late=F.col("is_delayed"))
     kind = totals.withColumns({"kind": F.lit(STOP), "word": F.lit(None).cast("long"), "other": F.lit(None).cast("string")})

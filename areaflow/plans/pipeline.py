@@ -41,8 +41,8 @@ class Pipeline:
     shuffling observations, and their numbers are fixed. All else is lazy, so that a report computes only what it shows.
 
     With store, what the score reads more than once is written too: counts, coverage and exposure, the bounds of
-    which then come from file footers. With merge_hours, observations are read once for everything: they become delay
-    hours, which are stored, and area hours, route days and reports follow by merging these. With apart, distinct counts of
+    which then come from file footers. With merge_hours, observations become delay hours once for everything (ids and
+    measures in a pass each, from the same exchange where one feeds them), which are stored, and area hours, route days and reports follow by merging these. With apart, distinct counts of
     observations and stop times are aggregates of their own, which a query that shows none of them goes without; a query
     that does reads its rows twice."""
 

@@ -133,6 +133,14 @@ def test_table_tests_read_no_ids(spark):
         assert a.columns == b.columns and a.exceptAll(b).isEmpty() and b.exceptAll(a).isEmpty()
 
 
+def test_rules_of_the_observation_base_read_no_ids(spark):
+    from areaflow.checks.tables import contract_tables
+
+    base = contract_tables(Tables(spark, SF_DIR), ("observation_base",))["observation_base"][1]
+    assert "distinct_trip_count" in base.columns and "bit_or" in plan(base)
+    assert "bit_or" not in plan(base.drop("distinct_trip_count", "distinct_stop_count"))
+
+
 def test_delays_are_not_shuffled_for_the_high_areas(spark):
     p = Tables(spark, SF_DIR).pipeline(merge_hours=True)
     for df in (reports.route_contribution_of_hours(p.delay_hours, p.multi_day), reports.route_contribution(p.delays, p.multi_day)):
