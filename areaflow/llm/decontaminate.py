@@ -3,8 +3,9 @@
 Each task cuts its documents into shards of some SHARD_WORDS words. A shard holds its words as numbers, and the suffix
 array: every position, in the order of the words from there on. The array is built by doubling, only positions whose
 order is still open are sorted again, and it is exact to the depth of the longest test item, which is all that a
-search for an item's suffixes can tell apart. Shards are a stored table, so that they outlive lost executors and serve
-any number of searches.
+search for an item's suffixes can tell apart. A shard is searched by all blocks of items where it was built, and then
+let go: shards as rows of a table, of several MB each, take more memory in Spark's readers and writers than here. What
+is found is stored, so that it outlives lost executors.
 
 Every suffix of every item is looked up in every shard by binary search, all suffixes of a block of items at once, word
 by word: the positions of a prefix are a range of the array, which the next word narrows. Ranges of a whole window
@@ -18,11 +19,10 @@ import math
 from collections import defaultdict
 from collections.abc import Iterator
 from dataclasses import dataclass
-from functools import reduce
 
 import numpy as np
 import pyarrow as pa
-from pyspark import TaskContext
+from pyspark import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -76,52 +76,6 @@ def suffix_array(ids: np.ndarray, depth: int) -> np.ndarray:
         width *= 2
 
 
-def index(docs: DataFrame, depth: int, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """Shards of documents: shard (a number), keys and ends (of documents, in words), vocabulary (words, in the order of
-    their numbers from 1), ids and suffixes (32-bit numbers). A 0 stands after every document."""
-    kind = T.StructType([T.StructField("shard", T.LongType()), T.StructField("keys", T.ArrayType(docs.schema[key].dataType))])
-    for name in ("ends", "vocabulary", "ids", "suffixes"):
-        kind = kind.add(name, T.BinaryType())
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        keys: list[pa.Array] = []
-        ends: list[int] = []
-        ids: list[np.ndarray] = []
-        numbers: dict[bytes, int] = defaultdict(lambda: len(numbers) + 1)
-        size, made = 0, 0
-
-        def shard() -> pa.RecordBatch:
-            row = np.concatenate(ids)
-            names = pa.concat_arrays(keys)
-            columns = [
-                pa.array([(TaskContext.get().partitionId() << 33) + made]),
-                pa.ListArray.from_arrays(pa.array([0, len(names)], pa.int32()), names),
-                *[pa.array([v], pa.binary()) for v in (np.array(ends, dtype=np.int64).tobytes(), b" ".join(numbers), row.tobytes(), suffix_array(row, depth).astype(np.int32).tobytes())],
-            ]
-            return pa.RecordBatch.from_arrays(columns, names=["shard", "keys", "ends", "vocabulary", "ids", "suffixes"])
-
-        for batch in batches:
-            start = 0
-            for k, words in enumerate(map(words_of, (t.as_py() for t in batch.column(1)))):
-                if ends and size + len(words) >= SHARD_WORDS:
-                    if k > start:
-                        keys.append(batch.column(0).slice(start, k - start))
-                    yield shard()
-                    keys, ends, ids, size, made, start = [], [], [], 0, made + 1, k
-                    numbers.clear()
-                row = np.zeros(len(words) + 1, dtype=np.int32)
-                row[:-1] = np.fromiter(map(numbers.__getitem__, words), dtype=np.int32, count=len(words))
-                ids.append(row)
-                size += len(row)
-                ends.append(size)
-            if batch.num_rows > start:
-                keys.append(batch.column(0).slice(start))
-        if ends:
-            yield shard()
-
-    return docs.select(key, text).mapInArrow(run, kind)
-
-
 @dataclass
 class Items:
     """A block of test items: keys, all their words one after another as places in `names`, and where items end."""
@@ -132,13 +86,13 @@ class Items:
     ends: np.ndarray
 
 
-def blocks(items: DataFrame, key: str, text: str) -> tuple[list[DataFrame], int]:
-    """Items with words, as text keys, dealt by key into blocks of about BLOCK_BYTES; and the most words of an item."""
+def blocks(items: DataFrame, key: str, text: str) -> tuple[list[Broadcast[Items]], int]:
+    """Items with words, as text keys, dealt by key into blocks of about BLOCK_BYTES; and the most words of an item, 1 at least."""
     rows = saved(items.select(F.col(key).cast("string").alias("key"), F.coalesce(F.col(text), F.lit("")).alias("text")), "leak-items")
     total = rows.agg(F.sum(F.octet_length("text").cast("long")).alias("bytes"), F.max(F.regexp_count("text", F.lit(WORDS))).alias("longest")).first()
     parts = max(1, math.ceil((total["bytes"] or 0) / BLOCK_BYTES))
     of = F.pmod(F.xxhash64("key"), F.lit(parts))
-    return [rows.filter(of == b) for b in range(parts)], total["longest"] or 0
+    return [rows.sparkSession.sparkContext.broadcast(collected(rows.filter(of == b))) for b in range(parts)], max(total["longest"] or 0, 1)
 
 
 def collected(block: DataFrame) -> Items:
@@ -155,17 +109,14 @@ def collected(block: DataFrame) -> Items:
 
 @dataclass
 class Shard:
-    """A shard in arrays."""
+    """Documents of a task: their keys and ends (in words, a 0 stands after each), the numbers of words from 1, the words
+    as numbers and the suffix array (32 bits both)."""
 
+    keys: pa.Array
     ends: np.ndarray
+    numbers: dict[bytes, int]
     ids: np.ndarray
     suffixes: np.ndarray
-    words: list[bytes]
-
-    @classmethod
-    def read(cls, batch: pa.RecordBatch, row: int) -> Shard:
-        ends, vocabulary, ids, suffixes = (batch.column(name)[row].as_buffer() for name in ("ends", "vocabulary", "ids", "suffixes"))
-        return cls(np.frombuffer(ends, dtype=np.int64), np.frombuffer(ids, dtype=np.int32), np.frombuffer(suffixes, dtype=np.int32), vocabulary.to_pybytes().split())
 
     def document(self, at: np.ndarray) -> np.ndarray:
         return np.searchsorted(self.ends, at, side="right")
@@ -174,6 +125,46 @@ class Shard:
         return np.concatenate(([0], self.ends[:-1]))
 
 
+def shards(batches: Iterator[pa.RecordBatch], depth: int) -> Iterator[Shard]:
+    """The documents (key, text) of a task as shards, in their order; one is in memory at a time."""
+    keys: list[pa.Array] = []
+    ends: list[int] = []
+    ids: list[np.ndarray] = []
+    numbers: dict[bytes, int] = defaultdict(lambda: len(numbers) + 1)
+    size = 0
+
+    def shard() -> Shard:
+        row = np.concatenate(ids)
+        return Shard(pa.concat_arrays(keys), np.array(ends, dtype=np.int64), numbers, row, suffix_array(row, depth).astype(np.int32))
+
+    for batch in batches:
+        start = 0
+        for k, words in enumerate(map(words_of, (t.as_py() for t in batch.column(1)))):
+            if ends and size + len(words) >= SHARD_WORDS:
+                if k > start:
+                    keys.append(batch.column(0).slice(start, k - start))
+                yield shard()
+                keys, ends, ids, size, start = [], [], [], 0, k
+                numbers.clear()
+            row = np.zeros(len(words) + 1, dtype=np.int32)
+            row[:-1] = np.fromiter(map(numbers.__getitem__, words), dtype=np.int32, count=len(words))
+            ids.append(row)
+            size += len(row)
+            ends.append(size)
+        if batch.num_rows > start:
+            keys.append(batch.column(0).slice(start))
+    if ends:
+        yield shard()
+
+
+def in_turn(shared: list[Broadcast[Items]]) -> Iterator[Items]:
+    """Blocks of items; where there are several, a task holds one of them at a time."""
+    for block in shared:
+        yield block.value
+        if len(shared) > 1 and getattr(block, "_path", None):  # else it cannot be read again
+            vars(block).pop("_value", None)
+
+
 @dataclass
 class Ranges:
     """Per suffix of the items: its item, its place there, the words matched at most, and the range of the suffix array
@@ -189,8 +180,7 @@ class Ranges:
 
 def search(shard: Shard, items: Items, window: int) -> Ranges:
     """Look up every suffix of the items, all at once, by binary search for one word more each time."""
-    number = {w: k + 1 for k, w in enumerate(shard.words)}
-    test = np.array([number.get(w, -1) for w in items.names], dtype=np.int64)[items.words]
+    test = np.array([shard.numbers.get(w, -1) for w in items.names], dtype=np.int64)[items.words]
     begins = np.concatenate(([0], items.ends[:-1]))
     item = np.repeat(np.arange(len(items.ends)), items.ends - begins)
     place = np.arange(len(test)) - begins[item]
@@ -260,36 +250,28 @@ def hits(shard: Shard, found: Ranges) -> tuple[np.ndarray, np.ndarray]:
     return marks.cumsum()[:-1] > 0, np.unique(np.concatenate(pairs), axis=0)
 
 
-#: Result of one block for one document: its place among the documents, and what the block hits there.
-HITS = "shard long, place int, n_words long, spans array<struct<start:int,end:int>>, items array<string>"
+#: What the items hit in one document.
+HITS = "n_words long, spans array<struct<start:int,end:int>>, items array<string>"
 SPAN = pa.struct([("start", pa.int32()), ("end", pa.int32())])
 
 
-def block_hits(shards: DataFrame, block: DataFrame, key: str, window: int) -> DataFrame:
-    shared = shards.sparkSession.sparkContext.broadcast(collected(block))  # bounded by BLOCK_BYTES
-    kind = T.StructType([T.StructField(key, shards.schema["keys"].dataType.elementType), *T.StructType.fromDDL(HITS)])
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        items = shared.value
-        for batch in batches:
-            for row in range(batch.num_rows):
-                shard = Shard.read(batch, row)
-                hit, pairs = hits(shard, search(shard, items, window))
-                edges = np.diff(np.concatenate(([0], hit.astype(np.int8), [0])))
-                first, last = np.flatnonzero(edges == 1), np.flatnonzero(edges == -1)
-                of, starts = shard.document(first), shard.starts()
-                n = len(shard.ends)
-                cut = np.searchsorted(of, np.arange(n + 1)).astype(np.int32)
-                spans = pa.StructArray.from_arrays([pa.array((v - starts[of]).astype(np.int32)) for v in (first, last)], fields=list(SPAN))
-                names = pa.array([items.keys[k] for k in pairs[:, 1]], pa.string())
-                where = np.searchsorted(pairs[:, 0], np.arange(n + 1)).astype(np.int32)
-                yield pa.RecordBatch.from_arrays(
-                    [batch.column("keys")[row].values, pa.array(np.full(n, batch.column("shard")[row].as_py())), pa.array(np.arange(n, dtype=np.int32)),
-                     pa.array(shard.ends - starts - 1), pa.ListArray.from_arrays(pa.array(cut), spans), pa.ListArray.from_arrays(pa.array(where), names)],
-                    names=kind.fieldNames(),
-                )
-
-    return shards.mapInArrow(run, kind)
+def shard_hits(shard: Shard, shared: list[Broadcast[Items]], window: int, names: list[str]) -> pa.RecordBatch:
+    """A row of HITS, after its key, for each document of a shard: what the items of all blocks hit there."""
+    hit, of_item, keys = np.zeros(len(shard.ids), dtype=bool), [np.zeros(0, dtype=np.int64)], []
+    for items in in_turn(shared):
+        there, pairs = hits(shard, search(shard, items, window))
+        hit |= there
+        of_item.append(pairs[:, 0])
+        keys.append(pa.array([items.keys[k] for k in pairs[:, 1]], pa.string()))
+    edges = np.diff(np.concatenate(([0], hit.astype(np.int8), [0])))
+    first, last = np.flatnonzero(edges == 1), np.flatnonzero(edges == -1)
+    of, starts, documents = shard.document(first), shard.starts(), np.arange(len(shard.ends) + 1)
+    spans = pa.StructArray.from_arrays([pa.array((v - starts[of]).astype(np.int32)) for v in (first, last)], fields=list(SPAN))
+    named = np.concatenate(of_item)
+    order = np.argsort(named, kind="stable")
+    cut, where = (np.searchsorted(v, documents).astype(np.int32) for v in (of, named[order]))
+    items_hit = pa.ListArray.from_arrays(pa.array(where), pa.concat_arrays(keys).take(pa.array(order)))
+    return pa.RecordBatch.from_arrays([shard.keys, pa.array(shard.ends - starts - 1), pa.ListArray.from_arrays(pa.array(cut), spans), items_hit], names=names)
 
 
 def contamination(docs: DataFrame, items: DataFrame, key: str = "doc_id", text: str = "text", item: str = "item_id", item_text: str = "text", window: int = WINDOW) -> DataFrame:
@@ -302,28 +284,15 @@ def contamination(docs: DataFrame, items: DataFrame, key: str = "doc_id", text:
     but are not named. Documents of any length are searched whole. An empty table gives no rows, without items nothing is
     hit. Columns other than those named are not read.
     """
-    parts, depth = blocks(items, item, item_text)
-    shards = saved(index(docs, max(depth, 1), key, text), "leak-shards")
-    found = [block_hits(shards, b, "_key", window) for b in parts]
-    names = F.array_sort(F.array_distinct(F.array_compact("items")))
-    if len(found) == 1:
-        return counted(found[0], key, "spans", names)
-    rows = reduce(DataFrame.unionAll, found).groupBy("shard", "place")
-    several = rows.agg(F.any_value("_key").alias("_key"), F.any_value("n_words").alias("n_words"), F.flatten(F.collect_list("spans")).alias("spans"), F.flatten(F.collect_list("items")).alias("items"))
-    return counted(several.withColumn("spans", joined("spans")), key, "spans", names)
-
-
-def joined(spans: str) -> F.Column:
-    """Spans in order, those that overlap or meet made one."""
-    kind = "array<struct<start:int,end:int>>"
-    last = lambda done: F.element_at(done, -1)
+    shared, depth = blocks(items, item, item_text)
+    kind = T.StructType([T.StructField("_key", docs.schema[key].dataType), *T.StructType.fromDDL(HITS)])
 
-    def add(done: F.Column, span: F.Column) -> F.Column:
-        longer = F.struct(last(done)["start"].alias("start"), F.greatest(last(done)["end"], span["end"]).alias("end"))
-        joins = (F.size(done) > 0) & (F.try_element_at(done, F.lit(-1))["end"] >= span["start"])
-        return F.when(joins, F.concat(F.slice(done, 1, F.greatest(F.size(done) - 1, F.lit(0))), F.array(longer))).otherwise(F.concat(done, F.array(span)))
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for shard in shards(batches, depth):
+            yield shard_hits(shard, shared, window, kind.fieldNames())
 
-    return F.aggregate(F.array_sort(spans), F.array().cast(kind), add)
+    names = F.array_sort(F.array_distinct(F.array_compact("items")))
+    return counted(saved(docs.select(key, text).mapInArrow(run, kind), "leak-hits"), key, "spans", names)
 
 
 def counted(rows: DataFrame, key: str, spans: str, names: F.Column) -> DataFrame:
@@ -342,34 +311,26 @@ def longest_matches(docs: DataFrame, items: DataFrame, key: str = "doc_id", text
     """The longest verbatim matches of each item with words in common with a document, and where they are: item (as
     text), words (the length), item_start, key, start (in words of the item and the document). One row for each place
     of the longest match, ties included; items with a null key count as one."""
-    parts, depth = blocks(items, item, item_text)
-    shards = saved(index(docs, max(depth, 1), key, text), "leak-shards")
+    shared, depth = blocks(items, item, item_text)
     kind = T.StructType([T.StructField("_key", docs.schema[key].dataType), *T.StructType.fromDDL("item string, words int, item_start int, start long")])
 
-    def places(block: DataFrame) -> DataFrame:
-        shared = shards.sparkSession.sparkContext.broadcast(collected(block))  # bounded by BLOCK_BYTES
-
-        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            items = shared.value
-            for batch in batches:
-                for row in range(batch.num_rows):
-                    shard = Shard.read(batch, row)
-                    found = search(shard, items, WINDOW)
-                    most = np.zeros(len(items.ends), dtype=np.int64)
-                    np.maximum.at(most, found.item, found.length)
-                    best = np.flatnonzero((found.length == most[found.item]) & (found.length > 0))
-                    for k, at in listed(found.low[best], found.high[best]):
-                        position, suffix = shard.suffixes[at].astype(np.int64), best[k]
-                        of = shard.document(position)
-                        yield pa.RecordBatch.from_arrays(
-                            [batch.column("keys")[row].values.take(pa.array(of)), pa.array([items.keys[j] for j in found.item[suffix]], pa.string()),
-                             pa.array(found.length[suffix].astype(np.int32)), pa.array(found.place[suffix].astype(np.int32)), pa.array(position - shard.starts()[of])],
-                            names=kind.fieldNames(),
-                        )
-
-        return shards.mapInArrow(run, kind)
-
-    rows = saved(reduce(DataFrame.unionAll, [places(b) for b in parts]), "leak-matches")
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for shard in shards(batches, depth):
+            for items in in_turn(shared):
+                found = search(shard, items, WINDOW)
+                most = np.zeros(len(items.ends), dtype=np.int64)
+                np.maximum.at(most, found.item, found.length)
+                best = np.flatnonzero((found.length == most[found.item]) & (found.length > 0))
+                for k, at in listed(found.low[best], found.high[best]):
+                    position, suffix = shard.suffixes[at].astype(np.int64), best[k]
+                    of = shard.document(position)
+                    yield pa.RecordBatch.from_arrays(
+                        [shard.keys.take(pa.array(of)), pa.array([items.keys[j] for j in found.item[suffix]], pa.string()),
+                         pa.array(found.length[suffix].astype(np.int32)), pa.array(found.place[suffix].astype(np.int32)), pa.array(position - shard.starts()[of])],
+                        names=kind.fieldNames(),
+                    )
+
+    rows = saved(docs.select(key, text).mapInArrow(run, kind), "leak-matches")
     most = rows.groupBy(F.col("item").alias("_item")).agg(F.max("words").alias("_most"))
     same = rows["item"].eqNullSafe(most["_item"]) & (rows["words"] == most["_most"])
     return rows.join(most, same).select("item", "words", "item_start", F.col("_key").alias(key), "start").distinct()

@@ -2,6 +2,7 @@
 
 import random
 import re
+from pathlib import Path
 
 import numpy as np
 import pytest
@@ -110,3 +111,19 @@ def test_empty_tables(frame):
     docs, items = frame("doc_id long, text string", (1, "a b")), frame("item_id long, text string", (1, "a"))
     assert found(docs, items.limit(0)) == [(1, 2, 0, [])] and found(docs.limit(0), items) == []
     assert dc.longest_matches(docs, items.limit(0)).count() == 0
+
+
+@pytest.mark.parametrize("block", [8 << 20, 200])
+def test_shards_are_not_stored(spark, frame, monkeypatch, block):
+    monkeypatch.setattr(dc, "BLOCK_BYTES", block)
+    scratch = Path(spark.conf.get("spark.checkpoint.dir").removeprefix("file://"))
+
+    def stored():
+        return {f: f.stat().st_size for f in scratch.rglob("*.parquet")}
+
+    draw, before = random.Random(5), stored()
+    docs = [(k, " ".join(draw.choice(["a", "b", "c", "d"]) for _ in range(20_000))) for k in range(4)]
+    items = [(k, " ".join(draw.choice(["x", "y", "z"]) for _ in range(40))) for k in range(8)]
+    rows = dc.contamination(frame("doc_id long, text string", *docs, (9, items[3][1])), frame("item_id long, text string", *items))
+    assert [(r["doc_id"], r["items"]) for r in rows.filter("n_hit > 0").collect()] == [(9, ["3"])]
+    assert sum(size for f, size in stored().items() if f not in before) < sum(len(text) for _, text in docs) / 4
