@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from areaflow.functions.rules import alert_band, delay_band, is_disruption, is_late, max_delay
-from areaflow.runtime import lookup_join
+from areaflow.operators.aggregate import NAME
+from areaflow.operators.distinct import numbered
+from areaflow.runtime import lookup_join, materialize
 
 LINEAGE = ("warehouse_dataset", "source_file", "prepared_at")
 
@@ -34,6 +36,19 @@ def stop_lookup(stop_map: DataFrame, stops: DataFrame | None = None) -> DataFram
     return both.select("stop_id", F.coalesce("stop_name", "_name").alias("stop_name"), "area_code", "area_name")
 
 
+def stop_table(stop_map: DataFrame, stops: DataFrame | None = None) -> DataFrame:
+    """stop_lookup(), stored, with a number for each stop, and for each area name in the order of the names (there
+    are as many as areas, so one task ranks them)."""
+    names = stop_lookup(stop_map).where("area_name is not null").select("area_name").distinct()
+    ranked = names.withColumn(NAME, F.row_number().over(Window.orderBy("area_name")).cast("bigint"))
+    return materialize(numbered(lookup_join(stop_lookup(stop_map, stops), ranked, "area_name"), "stop_id", "stop_number"), "stop-table")
+
+
+def area_names(stops: DataFrame) -> DataFrame:
+    """Area names of a stop_table() and their numbers."""
+    return stops.where(F.col(NAME).isNotNull()).select("area_name", NAME).distinct()
+
+
 def with_snapshot_parts(df: DataFrame) -> DataFrame:
     """Date and hour of the snapshot time, in the session zone (UTC)."""
     time = F.col("snapshot_timestamp")

@@ -5,7 +5,7 @@ from __future__ import annotations
 from dataclasses import dataclass
 from functools import cached_property
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from areaflow.operators.aggregate import (
@@ -23,13 +23,12 @@ from areaflow.operators.aggregate import (
     served_routes,
     split_words,
 )
-from areaflow.operators.distinct import numbered
 from areaflow.plans.context import area_context
-from areaflow.plans.events import alerts_at, delays_at, stop_lookup
+from areaflow.plans.events import alerts_at, area_names, delays_at, stop_lookup, stop_table
 from areaflow.plans.exposure import area_counts, outer_measures, with_area_counts, with_route_names
 from areaflow.plans.marts import area_multi_day_summary
 from areaflow.plans.score import area_hour_score, score_components, stored_bounds, with_scaled
-from areaflow.runtime import lookup_join, materialize, materialize_at, scratch_path
+from areaflow.runtime import materialize, materialize_at, scratch_path
 
 
 @dataclass(frozen=True, eq=False)
@@ -76,17 +75,13 @@ class Pipeline:
 
     @cached_property
     def stop_table(self) -> DataFrame:
-        """Area and name per stop, with a number for each stop, and for each area name in the order of the names (there
-        are as many as areas, so one task ranks them)."""
-        lookup = stop_lookup(self.stop_area_map, self.stops)
-        names = stop_lookup(self.stop_area_map).where("area_name is not null").select("area_name").distinct()
-        ranked = names.withColumn(NAME, F.row_number().over(Window.orderBy("area_name")).cast("bigint"))
-        return materialize(numbered(lookup_join(lookup, ranked, "area_name"), "stop_id", "stop_number"), "stop-table")
+        """Area and name per stop, numbered."""
+        return stop_table(self.stop_area_map, self.stops)
 
     @cached_property
     def area_names(self) -> DataFrame:
         """Area names and their numbers."""
-        return self.stop_table.where(F.col(NAME).isNotNull()).select("area_name", NAME).distinct()
+        return area_names(self.stop_table)
 
     @cached_property
     def numbered_delays(self) -> DataFrame:

@@ -9,6 +9,9 @@ is recognised whatever its age.
 
 The store is partitioned by date, hour and batch. A batch that runs again after a failure writes the same partitions
 again, so every row is stored exactly once.
+
+Where the stored rows of the hours with new rows are read at the end of a run anyway (run_hours), no state is kept: batches
+are set down as they come, and one grouping of all rows of the run and the keys stored in their hours finds the new ones.
 """
 
 from __future__ import annotations
@@ -31,6 +34,8 @@ KEEP, BUCKETS = 72 * 3_600_000, 4
 DIGEST = 16
 #: Tasks of the state for each core, at most.
 TASKS_A_CORE = 2
+#: Rows of an hour that one task groups, where no state is kept; and the hour of rows without a time.
+HOUR_ROWS, NO_HOUR = 1 << 18, -(1 << 62)
 #: Columns that travel with the rows.
 SHARE = {"hour": "_seen_hour", "bucket": "_seen_bucket", "digest": "_seen_digest", "order": "_seen_order", "whole": "_seen_whole"}
 
@@ -78,19 +83,11 @@ def new_rows(stream: DataFrame, keys: tuple[str, ...] = KEYS, order: str | None
     Where rows of one key differ within a batch, the one with the largest `order` is taken (null last), then the
     first by the digest of the whole row. Rows without a time are an hour of their own, whose keys are never let go.
     """
-
-    def text(columns: tuple[str, ...] | list[str]) -> Column:
-        """Digest of columns; times with all their digits, which JSON would cut."""
-        times = (T.TimestampType, T.TimestampNTZType)
-        exact = [F.unix_micros(F.col(c).cast("timestamp")).alias(c) if isinstance(stream.schema[c].dataType, times) else F.col(c) for c in columns]
-        return F.md5(F.to_json(F.struct(*exact), {"ignoreNullFields": "false"}))
-
-    hours = F.floor(F.unix_seconds(F.col(TIME)) / 3600)
     marked = stream.withColumns(
         {
-            SHARE["hour"]: hours.cast("long"),
-            SHARE["digest"]: F.unhex(text(keys)),
-            SHARE["order"]: F.concat(_turned(stream, order), text(stream.columns)),
+            SHARE["hour"]: _hour(),
+            SHARE["digest"]: F.unhex(_digest(stream, keys)),
+            SHARE["order"]: F.concat(_turned(stream, order), _digest(stream, stream.columns)),
         }
     ).withColumn(SHARE["bucket"], F.pmod(F.xxhash64(SHARE["digest"]), F.lit(buckets)).cast("int"))
     # the clock is a copy of the time: rows behind it are late, but they are rows all the same
@@ -99,6 +96,17 @@ def new_rows(stream: DataFrame, keys: tuple[str, ...] = KEYS, order: str | None
     return clocked.groupBy(SHARE["hour"], SHARE["bucket"]).transformWithState(SeenKeys(stream.columns, keep), kind, "append", "eventTime")
 
 
+def _hour() -> Column:
+    return F.floor(F.unix_seconds(F.col(TIME)) / 3600).cast("long")
+
+
+def _digest(stream: DataFrame, columns: tuple[str, ...] | list[str]) -> Column:
+    """Digest of columns; times with all their digits, which JSON would cut."""
+    times = (T.TimestampType, T.TimestampNTZType)
+    exact = [F.unix_micros(F.col(c).cast("timestamp")).alias(c) if isinstance(stream.schema[c].dataType, times) else F.col(c) for c in columns]
+    return F.md5(F.to_json(F.struct(*exact), {"ignoreNullFields": "false"}))
+
+
 def _turned(stream: DataFrame, order: str | None) -> Column:
     """Text that sorts the larger values of a time or number first, and null last."""
     if order is None:
@@ -180,8 +188,7 @@ def run_new_rows(
     """
     spark = stream.sparkSession
     spark.conf.set("spark.sql.streaming.stateStore.providerClass", "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider")
-    if not _exists(spark, f"{checkpoint}/offsets") and _exists(spark, f"{store}/_SUCCESS"):
-        raise ValueError(f"{store} holds rows, but {checkpoint} is new")
+    _belong(spark, store, checkpoint)
 
     def handle(rows: DataFrame, number: int) -> None:
         store_batch(rows, number, store, keys)
@@ -199,13 +206,88 @@ def run_new_rows(
         spark.conf.set(shuffles, before)
     query.awaitTermination()
     if after:
-        rows, done = stored_rows(spark, store, stream.schema), f"{checkpoint}/handed_on"
-        last = spark.read.parquet(done).first()[0] if _exists(spark, f"{done}/_SUCCESS") else -1
-        hours = rows.where(F.col(BATCH) > last).select(*HOUR, BATCH).distinct().collect()  # as many as folders
+        rows = stored_rows(spark, store, stream.schema)
+        hours = rows.where(F.col(BATCH) > _handed_on(spark, checkpoint)).select(*HOUR, BATCH).distinct().collect()  # as many as folders
         if hours:
             after(in_hours(rows, list({(h[0], h[1]) for h in hours})), sorted({Row(**{c: h[c] for c in HOUR}) for h in hours}, key=str))
-            newest = spark.createDataFrame([(max(h[BATCH] for h in hours),)], "batch long")
-            newest.coalesce(1).write.mode("overwrite").parquet(done)
+            _hand_on(spark, checkpoint, max(h[BATCH] for h in hours))
+
+
+def fresh_rows(
+    arrived: DataFrame, stored: DataFrame, keys: tuple[str, ...] = KEYS, order: str | None = None, buckets: dict[int, int] | None = None
+) -> DataFrame:
+    """Rows that arrived (with their batch) under keys that are not stored for their hour, one for each key and hour: the
+    first batch's, and within it the one that new_rows() takes. Without state: one grouping of both tables, dealt out by hour, so
+    that a task writes whole hours; large hours are dealt into `buckets`."""
+    columns = [c for c in arrived.columns if c != BATCH]
+    others = [c for c in columns if c not in keys]
+    one = (SHARE["hour"], SHARE["bucket"], *keys)
+    rows = arrived.withColumn(SHARE["order"], F.concat(_turned(arrived, order), _digest(arrived, columns))) if others else arrived
+    both = rows.unionByName(stored.select(*{*keys, TIME}).withColumn(BATCH, F.lit(-1).cast("long")), allowMissingColumns=True)
+    parts = F.create_map(*[F.lit(v).cast("long") for pair in (buckets or {NO_HOUR: 1}).items() for v in pair])
+    dealt = both.withColumn(SHARE["hour"], F.coalesce(_hour(), F.lit(NO_HOUR).cast("long"))).withColumn(
+        SHARE["bucket"], F.pmod(F.xxhash64(*keys), F.coalesce(F.try_element_at(parts, F.col(SHARE["hour"])), F.lit(1).cast("long")))
+    )
+    groups = dealt.repartition(SHARE["hour"], SHARE["bucket"]).groupBy(*one)
+    if not others:
+        return groups.agg(F.min(BATCH).alias(BATCH)).where(F.col(BATCH) >= 0).select(*columns)
+    first = groups.agg(F.min(BATCH).alias(BATCH), F.min_by(F.struct(*others), F.struct(BATCH, SHARE["order"])).alias("_others"))
+    return first.where(F.col(BATCH) >= 0).select(*keys, "_others.*").select(*columns)
+
+
+def run_hours(
+    stream: DataFrame, store: str, checkpoint: str, after: Callable[[DataFrame, list[Row]], None], keys: tuple[str, ...] = KEYS, order: str | None = None
+) -> None:
+    """As run_new_rows() with `after`, for callers that read the hours with new rows in every run.
+
+    Batches are only set down, beside the checkpoint and each in a folder of its own, which it writes again after a failure. When the
+    backlog is worked off, the new rows of all batches are stored at once under the number of the last one, hours that got some are
+    handed on, and what was set down is removed. A run that fails before that leaves its batches to the next. So the
+    work of a run does not grow with its number of batches, and no hour is read that got no rows.
+    """
+    spark, down = stream.sparkSession, f"{checkpoint}/arrived"
+    _belong(spark, store, checkpoint)
+
+    def handle(rows: DataFrame, number: int) -> None:
+        rows.write.mode("overwrite").parquet(f"{down}/{BATCH}={number}")
+
+    stream.writeStream.foreachBatch(handle).option("checkpointLocation", checkpoint).trigger(availableNow=True).start().awaitTermination()
+    if not _exists(spark, down):
+        return
+    kind, last = T.StructType([*stream.schema.fields, T.StructField(BATCH, T.LongType())]), _handed_on(spark, checkpoint)
+    arrived = spark.read.schema(kind).parquet(down).where(F.col(BATCH) > last)
+    hour = F.coalesce(_hour(), F.lit(NO_HOUR).cast("long")).alias(SHARE["hour"])
+    found = with_hour(arrived).groupBy(*HOUR, hour).agg(F.max(BATCH).alias(BATCH), F.count(F.lit(1)).alias("rows")).collect()
+    if not found:
+        return
+    newest, rows = max(h[BATCH] for h in found), stored_rows(spark, store, stream.schema)
+    earlier = in_hours(rows, list({(h[0], h[1]) for h in found})).where(F.col(BATCH) != newest)
+    large = {h[SHARE["hour"]]: -(-h["rows"] // HOUR_ROWS) for h in found if h["rows"] > HOUR_ROWS}
+    fresh = with_hour(fresh_rows(arrived, earlier, keys, order, large)).withColumn(BATCH, F.lit(newest).cast("long"))
+    writer = fresh.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+    writer.partitionBy(*HOUR, BATCH).parquet(store)
+    rows = stored_rows(spark, store, stream.schema)
+    hours = rows.where(F.col(BATCH) > last).select(*HOUR).distinct().collect()  # also those of a run that failed
+    if hours:
+        after(in_hours(rows, hours), sorted(hours, key=str))
+    _hand_on(spark, checkpoint, newest)
+    place = spark._jvm.org.apache.hadoop.fs.Path(down)
+    place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
+
+
+def _belong(spark: SparkSession, store: str, checkpoint: str) -> None:
+    if not _exists(spark, f"{checkpoint}/offsets") and _exists(spark, f"{store}/_SUCCESS"):
+        raise ValueError(f"{store} holds rows, but {checkpoint} is new")
+
+
+def _handed_on(spark: SparkSession, checkpoint: str) -> int:
+    """The last batch whose hours were handed on."""
+    done = f"{checkpoint}/handed_on"
+    return spark.read.parquet(done).first()[0] if _exists(spark, f"{done}/_SUCCESS") else -1
+
+
+def _hand_on(spark: SparkSession, checkpoint: str, batch: int) -> None:
+    spark.createDataFrame([(batch,)], "batch long").coalesce(1).write.mode("overwrite").parquet(f"{checkpoint}/handed_on")
 
 
 def _exists(spark: SparkSession, path: str) -> bool:

@@ -6,8 +6,8 @@ from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import types as T
 
 from areaflow.operators.aggregate import area_hour_trips
-from areaflow.plans.events import delay_events
-from areaflow.streaming.seen import BATCH, HOUR, KEEP, KEYS, run_new_rows
+from areaflow.plans.events import area_names, delays_at, stop_table
+from areaflow.streaming.seen import BATCH, HOUR, KEEP, KEYS, run_hours, run_new_rows
 
 
 def read_snapshots(
@@ -43,18 +43,19 @@ def run_deduplicated(
 
 def run_area_hours(
     stream: DataFrame, stop_map: DataFrame, store: str, target: str, checkpoint: str,
-    keys: tuple[str, ...] = KEYS, order: str | None = None, keep: int = KEEP,
+    keys: tuple[str, ...] = KEYS, order: str | None = None,
 ) -> None:
     """Keep delay measures per area and hour up to date, late rows and the last hours included.
 
-    Batches store their new rows; when the backlog is worked off, the hours that got some are computed anew from all
+    When the backlog is worked off, its new rows are stored, and the hours that got rows are computed anew from all
     their stored rows and replace their partitions of the target; no other hour is read. So measures equal those of a batch run, exact
-    distinct counts too.
+    distinct counts too. Keys are compared with the stored ones of these hours, so no state is kept (see seen.run_hours).
     """
 
     def refresh(rows: DataFrame, _: list[Row]) -> None:
-        measures = area_hour_trips(delay_events(rows.drop(*HOUR, BATCH), stop_map))
+        stops = stop_table(stop_map)  # of known size and numbered, so that observations are not shuffled to join it
+        measures = area_hour_trips(delays_at(rows.drop(*HOUR, BATCH), stops), area_names(stops))
         writer = measures.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
         writer.partitionBy(*HOUR).parquet(target)
 
-    run_new_rows(stream, store, checkpoint, refresh, keys, order, keep)
+    run_hours(stream, store, checkpoint, refresh, keys, order)

@@ -130,3 +130,60 @@ def test_hours_are_handed_on_once_for_all_batches_and_again_after_a_failure(spar
     run(note)
     assert calls == [(6, [1, 2]), (4, [2])]
     assert spark.conf.get("spark.sql.shuffle.partitions") == before
+
+
+def test_new_rows_of_a_run_are_found_at_once(spark, frame):
+    arrived = frame(f"{KIND}, {seen.BATCH} long", *[(*r, n) for r, n in ((row(1, 0, 5), 1), (row(1, 0, 9), 1), (row(1, 0, 70), 2), (row(1, 1, 7), 2), (row(2, 0), 2), (row(3, None), 3), (row(3, None), 1), (row(4, None, 1), 1))])
+    stored = seen.with_hour(frame(KIND, row(2, 0, 60), row(4, None, 60), row(1, 2))).withColumn(seen.BATCH, F.lit(0).cast("long"))
+    found = seen.fresh_rows(arrived, stored, order="arrival_delay_seconds")
+    assert found.columns == arrived.drop(seen.BATCH).columns
+    kept = [(r["entity_id"], str(r["snapshot_timestamp"] or "")[11:13], r["arrival_delay_seconds"]) for r in found.collect()]
+    assert sorted(kept) == [("e1", "00", 9), ("e1", "01", 7), ("e3", "", 0)]
+    many = {int(START.timestamp()) // 3600: 3, seen.NO_HOUR: 2}
+    assert sorted(seen.fresh_rows(arrived, stored, order="arrival_delay_seconds", buckets=many).collect(), key=str) == sorted(found.collect(), key=str)
+    whole = seen.fresh_rows(arrived, stored, tuple(arrived.drop(seen.BATCH).columns))
+    assert sorted(r["arrival_delay_seconds"] for r in whole.collect()) == [0, 0, 1, 5, 7, 9, 70]
+
+
+def test_area_hours_keep_no_state_and_go_on_after_a_failure(spark, frame, tmp_path, monkeypatch):
+    places = {name: f"file://{tmp_path}/{name}" for name in ("in", "store", "state")}
+    calls = []
+    monkeypatch.setattr(seen, "HOUR_ROWS", 2)
+
+    def run(after):
+        seen.run_hours(streams.read_snapshots(spark, places["in"], KIND, files_per_batch=1), places["store"], places["state"], after)
+
+    def note(rows, hours):
+        calls.append((rows.count(), [h["snapshot_hour"] for h in hours]))
+
+    def fail(rows, hours):
+        raise RuntimeError("no room")
+
+    def deliver(*rows):
+        frame(KIND, *rows).coalesce(1).write.mode("append").parquet(places["in"])
+
+    for k in range(3):  # three files, three batches
+        deliver(row(k, 1), row(10 + k, 2))
+    run(note)
+    assert calls == [(6, [1, 2])] and not (tmp_path / "state" / "state").exists() and not (tmp_path / "state" / "arrived").exists()
+    deliver(row(20, 2), row(0, 1))  # hour 1 gets a row again, but no new one
+    with pytest.raises(RuntimeError, match="no room"):
+        run(fail)
+    deliver(row(20, 2), row(21, 3))
+    run(note)
+    run(note)
+    assert calls == [(6, [1, 2]), (5, [2, 3])]
+    assert spark.read.parquet(places["store"]).count() == 8
+    with pytest.raises(ValueError, match="is new"):
+        seen.run_hours(streams.read_snapshots(spark, places["in"], KIND), places["store"], f"file://{tmp_path}/other", note)
+
+
+def test_area_hours_do_not_shuffle_observations_for_the_stop_map(spark, frame, tmp_path, monkeypatch):
+    stops = frame("stop_id string, stop_name string, area_code string, area_name string, is_matched boolean", ("s1", "S", "a", "A", True))
+    plans, measure = [], streams.area_hour_trips
+    monkeypatch.setattr(streams, "area_hour_trips", lambda *a: plans.append(measure(*a)) or plans[-1])
+    frame(KIND, row(1, 0, 700)).write.parquet(f"file://{tmp_path}/in")
+    stream = streams.read_snapshots(spark, f"file://{tmp_path}/in", KIND)
+    streams.run_area_hours(stream, stops.join(stops.select("stop_id"), "stop_id"), *[f"file://{tmp_path}/{name}" for name in ("store", "out", "state")])
+    plan = plans[0]._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin" not in plan and "SortAggregate" not in plan
